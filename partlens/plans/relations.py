@@ -204,6 +204,16 @@ def checker_sql(sql: str) -> str:
     return ("WITH RECURSIVE " + ",\n".join(ctes) + "\n" if ctes else "") + body
 
 
+def _explode_lists(sql: str) -> str:
+    """Spark's form of a join with a literal list: an explode on every row."""
+
+    def form(m: re.Match) -> str:
+        values = ", ".join(re.findall(r"\((\d+)\)", m[1]))
+        return f"LATERAL VIEW explode(array({values})) {m[2]} AS {m[3]}"
+
+    return re.sub(r"JOIN \(VALUES ((?:\(\d+\)(?:, )?)+)\) AS (\w+)\((\w+)\) ON true", form, sql)
+
+
 class Data:
     """The given tables of one folder and the relations derived from them."""
 
@@ -215,7 +225,7 @@ class Data:
     def _load(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        sql = RELATIONS[name].replace('"window"', "window")
+        sql = _explode_lists(RELATIONS[name])
         words = set(re.findall(r"\w+", sql))
         inputs = {n: self.load(n) for n in words & {*TABLES, *RELATIONS} if self._reads(sql, n)}
         named = re.sub(
