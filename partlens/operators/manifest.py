@@ -37,19 +37,14 @@ def collection_summary(parts: DataFrame) -> DataFrame:
 def geometry_kinds(parts: DataFrame) -> DataFrame:
     """Polygon, line and point flags per collection; polygon when no type is known."""
 
-    def names(word: str):
-        return F.exists("geometry_types", lambda g: g.contains(word))
-
-    def only(word: str, *before: str):
-        clear = lambda g: F.lit(True) if not before else ~F.array_contains(
-            F.array(*(g.contains(b) for b in before)), True
-        )
-        return F.exists("geometry_types", lambda g: g.contains(word) & clear(g))
+    def has(test):
+        return F.max(F.coalesce(F.exists("geometry_types", test), F.lit(False)))
 
+    line = lambda g: g.contains("LineString") & ~g.contains("Polygon")
     flags = parts.groupBy("collection").agg(
-        F.max(F.coalesce(names("Polygon"), F.lit(False))).alias("polygon"),
-        F.max(F.coalesce(only("LineString", "Polygon"), F.lit(False))).alias("line"),
-        F.max(F.coalesce(only("Point", "Polygon", "LineString"), F.lit(False))).alias("point"),
+        has(lambda g: g.contains("Polygon")).alias("polygon"),
+        has(line).alias("line"),
+        has(lambda g: g.contains("Point") & ~g.contains("Polygon") & ~g.contains("LineString")).alias("point"),
     )
     none = ~(F.col("polygon") | F.col("line") | F.col("point"))
     return flags.withColumn("polygon", F.col("polygon") | none)

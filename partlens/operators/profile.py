@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partlens.operators.spatial import Scope, sample
+from partlens.session import cut_lineage
 
 # Columns that identify, locate or describe a row in free form.
 SKIP = (
@@ -79,30 +80,38 @@ def _comparable(kinds: Mapping[str, str]) -> list[str]:
     return [c for c, kind in kinds.items() if kind != OTHER]
 
 
-def few_valued(df: DataFrame, columns: Sequence[str], limit: int) -> list[str]:
-    """Columns that may hold at most ``limit`` distinct values, from one pass over ``df``.
+@dataclass(frozen=True)
+class Survey:
+    """Rows of a sample and the columns that may be few-valued."""
+
+    rows: int
+    few: list[str]
+
 
-    Each value sets one of 32,768 bits. Set bits never outnumber distinct values, so a
-    column with more than ``limit`` bits is surely over the limit and need not be
-    counted; the columns returned here still are. One row comes back, whatever the size
-    of ``df``, and an identifier column is never shuffled.
+def survey(df: DataFrame, columns: Sequence[str], limit: int) -> Survey:
+    """Count the rows, and find the columns that may hold at most ``limit`` distinct values.
+
+    One pass. Each value sets one of 32,768 bits. Set bits never outnumber distinct
+    values, so a column with more than ``limit`` bits is surely over the limit and need
+    not be counted; the columns returned here still are. One row comes back, whatever the
+    size of ``df``, and an identifier column is never shuffled.
     """
-    if not columns:
-        return []
-    slots = [
-        F.bitmap_count(
-            F.bitmap_construct_agg(
-                F.when(F.col(c).isNotNull(), F.pmod(F.xxhash64(F.col(c)), F.lit(BITMAP_SLOTS)))
-            )
-        ).alias(c)
-        for c in columns
-    ]
-    seen = df.agg(*slots).first()
-    return [c for c in columns if seen[c] <= limit]
+    slot = lambda c: F.when(
+        F.col(c).isNotNull(), F.pmod(F.xxhash64(F.col(c)), F.lit(BITMAP_SLOTS))
+    )
+    seen = df.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *(F.bitmap_count(F.bitmap_construct_agg(slot(c))).alias(c) for c in columns),
+    ).first()
+    return Survey(seen["_rows"], [c for c in columns if seen[c] <= limit])
 
 
 def unpivot(df: DataFrame, keep: Sequence[str], kinds: Mapping[str, str], columns: Sequence[str]) -> DataFrame:
     """(…keep, column, kind, text, number) per non-null value of ``columns``."""
+    if not columns:
+        schema = "column string, kind string, text string, number double"
+        none = df.sparkSession.createDataFrame([], schema)
+        return none.select(*(F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keep), "*")
     cells = [
         F.struct(
             F.lit(c).alias("column"),
@@ -422,13 +431,14 @@ def profile(
     kinds = column_kinds(features, skip)
     kinds.pop("window", None)
     sampled = sample(features, scope, bbox)
-    few = few_valued(sampled, _comparable(kinds), rules.max_distinct)
-    over = [c for c in _comparable(kinds) if c not in few]
-    counts = value_counts(sampled, kinds, few) if few else value_counts(sampled, kinds, _comparable(kinds)[:1]).where(F.lit(False))
+    comparable = _comparable(kinds)
+    seen = survey(sampled, comparable, rules.max_distinct)
+    over = [c for c in comparable if c not in seen.few]
+    # Everything below reads these few rows, so the sample is not scanned again for each step.
+    counts = cut_lineage(value_counts(sampled, kinds, seen.few))
     totals = total_counts(counts)
-    rows = sampled.count()
     screened = screen(counts, kinds, len(scope.names), rules, over)
-    measured = measure(screened, metrics(totals, rows, rules.max_values), rules)
+    measured = measure(screened, metrics(totals, seen.rows, rules.max_values), rules)
     chosen = choose(measured, preferred)
     values = top_values(totals, rules.max_values).join(chosen.select("column", "place", "stage"), "column")
     return Profile(sampled, kinds, counts, screened, measured, chosen, values)

@@ -95,7 +95,7 @@ def value_counts_per_window(data):
 def capped_distinct(data):
     kinds = profile.column_kinds(data.features)
     sampled = spatial.sample(data.features, WHOLE)
-    few = profile.few_valued(sampled, list(kinds), 40)
+    few = profile.survey(sampled, list(kinds), 40).few
     counted = profile.recurrence(profile.value_counts(sampled, kinds, few), 1)
     listed = profile.null_share(data.features, list(kinds)).select("column")
     size = F.least(F.coalesce("n_distinct", F.lit(41)), F.lit(41))
@@ -262,7 +262,7 @@ WHERE c.place > 1 GROUP BY c."column" HAVING count(*) >= 3""",
 )
 def alternates(data):
     prof = run(data, drop=("sparse",))
-    wanted = {c: k for c, k in prof.kinds.items() if c in profile.few_valued(prof.sampled, list(prof.kinds), 40)}
+    wanted = {c: prof.kinds[c] for c in ("subtype", "status", "dominant")}
     held = profile.confirm(prof.sampled, wanted, prof.values.where(F.col("place") > 1))
     return held.groupBy("column").agg(F.count(F.lit(1)).alias("confirmed")).where(F.col("confirmed") >= 3)
 
@@ -304,10 +304,37 @@ def step_legend(data):
     return profile.step_legend(run(data, drop=("subtype", "status", "dominant", "band")).values, PALETTE)
 
 
-@query("prof_8_legend_report")
+NAMES = ", ".join(w.name for w in WINDOWS)
+
+
+def legend_of(data: Data):
+    return profile.legend_row(data.spark, profile.build_legend(run(data), WINDOWED, polygons=True))
+
+
+@query(
+    "prof_8_legend_report",
+    measure_sql("geo_sample", 7) + f""" SELECT c."column", 'match' AS expression,
+(SELECT string_agg(text, '; ' ORDER BY position) FROM legend_values WHERE place = 1) AS "values",
+coalesce((SELECT string_agg("column", '; ' ORDER BY place) FROM chosen WHERE place > 1), '') AS alternates,
+false AS exhaustive, '{NAMES}' AS windows, round(dominance, 4) AS dominance, round(coverage, 4) AS coverage, stage > 2 AS thresholds_relaxed, true AS legend,
+'Legend values were sampled inside 7 windows ({NAMES}). A value found only outside them is missing.' AS note FROM chosen c WHERE place = 1""",
+)
 def legend_report(data):
-    prof = run(data)
-    return profile.legend_row(data.spark, profile.build_legend(prof, WINDOWED, polygons=True))
+    row = legend_of(data)
+    return (
+        row.withColumn("values", F.concat_ws("; ", "values"))
+        .withColumn("alternates", F.concat_ws("; ", "alternates"))
+        .withColumn("windows", F.concat_ws(", ", "windows"))
+    )
+
+
+@query(
+    "prof_6_palette_check",
+    """SELECT DISTINCT p_brand AS label FROM part WHERE p_size % 32 = 30""",
+)
+def palette_check(data):
+    tone = F.when(F.col("p_size") % 32 == 30, "#9E9E9E").otherwise(F.format_string("#%06x", F.col("p_size") * 4099))
+    return profile.palettes_with_fallback(data.part.select(F.col("p_brand").alias("label"), tone.alias("colour")))
 
 
 @query(
@@ -316,7 +343,7 @@ def legend_report(data):
 FROM legend_values v JOIN chosen c ON c."column" = v."column" WHERE c.place = 1""",
 )
 def legend_values(data):
-    row = legend_report(data)
+    row = legend_of(data)
     return row.select("expression", "column", "dominance", "coverage", F.posexplode("values").alias("p", "value")).select(
         "expression", "column", "value", (F.col("p") + 1).cast("bigint").alias("position"), "dominance", "coverage"
     )
