@@ -73,20 +73,22 @@ def mercator(data):
     )
 
 
-def frame_columns(df, *more):
-    side = [F.round(F.col(f"frame.{n}"), 6).alias(n) for n in ("lon0", "lat0", "lon1", "lat1")]
+def frame_columns(df, *more, lon_places: int = 6):
+    places = {"lon0": lon_places, "lat0": 6, "lon1": lon_places, "lat1": 6}
+    side = [F.round(F.col(f"frame.{n}"), p).alias(n) for n, p in places.items()]
     return df.select("id", *side, *more)
 
 
 @query(
     "fn_3_zoom_frame",
     f"""WITH m AS (SELECT id, {sql(MX, 'xmin')} AS x, {sql(MY, 'ymin')} AS y, {CIRC} * 1024 / (256 * pow(2, 3 + id % 12)) AS span FROM geo_boxes)
-        SELECT id, round({sql(LON, '(x - span / 2)')}, 6) AS lon0, round({sql(LAT, '(y - span / 3)')}, 6) AS lat0,
-               round({sql(LON, '(x + span / 2)')}, 6) AS lon1, round({sql(LAT, '(y + span / 3)')}, 6) AS lat1 FROM m""",
+        SELECT id, round({sql(LON, '(x - span / 2)')}, 10) AS lon0, round({sql(LAT, '(y - span / 3)')}, 6) AS lat0,
+               round({sql(LON, '(x + span / 2)')}, 10) AS lon1, round({sql(LAT, '(y + span / 3)')}, 6) AS lat1 FROM m""",
 )
 def zoom_frame(data):
     placed = data.geo_boxes.withColumn("zoom", F.lit(3) + F.col("id") % 12)
-    return frame_columns(boxes.zoom_frame(placed, "xmin", "ymin", "zoom"))
+    # Ten places hold these longitudes exactly, so none sits on a rounding edge.
+    return frame_columns(boxes.zoom_frame(placed, "xmin", "ymin", "zoom"), lon_places=10)
 
 
 # Boxes of every shape: points, slivers, wide, tall and world-sized ones.
