@@ -12,8 +12,9 @@ FENCE = "`" * 3
 
 def lines_of(documents: DataFrame, key: str = "file_id", text: str = "text") -> DataFrame:
     """(file_id, line_no, text) with lines counted from 1."""
-    return documents.select(
-        F.col(key).alias("file_id"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("at", "text")
+    # A split is never empty; the outer form only spares a test that would split twice.
+    return documents.where(F.col(text).isNotNull()).select(
+        F.col(key).alias("file_id"), F.posexplode_outer(F.split(F.col(text), "\n", -1)).alias("at", "text")
     ).select("file_id", (F.col("at") + 1).cast("bigint").alias("line_no"), "text")
 
 
@@ -51,6 +52,51 @@ def fenced_blocks(
     )
 
 
+def document_blocks(documents: DataFrame, language: str = "sql", key: str = "file_id", text: str = "text") -> DataFrame:
+    """The closed fences of whole texts, found inside each row without a shuffle.
+
+    Same result as splitting into lines first. A text is cut at the lines that start with
+    a fence. Of the cuts that open or close, only changes between the two matter: an
+    opening inside a block and a closing outside one are plain text.
+    """
+    cut = f"\n{FENCE}"
+    first_line = lambda piece: F.substring_index(piece, "\n", 1)
+    kind = lambda piece: (
+        F.when(first_line(piece).rlike(rf"^{language}(?U)\s*$"), 1).when(first_line(piece).rlike(r"^(?U)\s*$"), 0)
+    )
+    breaks = lambda t: F.length(t) - F.length(F.replace(t, F.lit("\n"), F.lit("")))
+    cuts = F.filter(
+        F.transform("_pieces", lambda p, i: F.struct(i.alias("at"), F.when(i > 0, kind(p)).alias("open"))),
+        lambda c: c["open"].isNotNull(),
+    )
+    turns = F.filter("_cuts", lambda c, i: (i == 0) | (F.get("_cuts", i - 1)["open"] != c["open"]))
+    spans = F.filter(
+        F.transform("_turns", lambda c, i: F.struct(c["open"], c["at"].alias("from"), F.get("_turns", i + 1)["at"].alias("to"))),
+        lambda s: (s["open"] == 1) & s["to"].isNotNull(),
+    )
+
+    def block(span):
+        body = F.array_join(F.slice("_pieces", span["from"] + 1, span["to"] - span["from"]), cut)
+        above = F.aggregate(F.slice("_breaks", F.lit(1), span["from"]), F.lit(0), lambda n, b: n + b)
+        return F.struct(
+            (above + span["from"]).cast("bigint").alias("line_no"),
+            F.regexp_replace(F.regexp_replace(body, "^[^\n]*\n?", ""), r"(?U)^\s+|\s+$", "").alias("block"),
+        )
+
+    return (
+        documents.where(F.col(text).contains(FENCE))
+        .select(F.col(key).alias("file_id"), F.split(F.concat(F.lit("\n"), text), cut, -1).alias("_pieces"))
+        .withColumn("_breaks", F.transform("_pieces", breaks))
+        .withColumn("_cuts", cuts)
+        .withColumn("_turns", turns)
+        .withColumn("_blocks", F.transform(spans, block))
+        # The outer form keeps Spark from testing for empty lists below, where that test
+        # would cut every text a second time.
+        .select("file_id", F.inline_outer("_blocks"))
+        .where(F.col("line_no").isNotNull())
+    )
+
+
 def guides_without_blocks(files: DataFrame, blocks: DataFrame) -> DataFrame:
     """Guides that hold no block. An empty guide is a failure, never a pass."""
     return files.join(blocks.select("file_id").distinct(), "file_id", "left_anti")

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partlens.functions.paths import is_data_file, is_remote, is_web, resolve
-from partlens.scale import HOT_ROWS, salted_join
-from partlens.session import cut_lineage
+from partlens.scale import HOT_ROWS, heaviest, salted_join
+from partlens.session import cut_lineage, literal_rows
 
 REMOTE_ASSETS = ("data", "visual")
 
@@ -58,10 +58,11 @@ def broken_links(checked: DataFrame, paths: DataFrame, *, hot_rows: int = HOT_RO
     few targets, such as the root.
     """
     live = checked.where(~F.col("skipped"))
-    targets = live.groupBy("target").agg(F.count(F.lit(1)).alias("_uses")).select("target")
-    missing = targets.join(paths.select(F.col("path").alias("target")), "target", "left_anti")
+    targets = live.groupBy("target").agg(F.count(F.lit(1)).alias("uses"))
+    missing = cut_lineage(targets.join(paths.select(F.col("path").alias("target")), "target", "left_anti"))
+    hot = heaviest(missing, ["target"], "uses", hot_rows)
     salt_by = [c for c in live.columns if c not in ("target", "skipped")]
-    return salted_join(live, missing, ["target"], "left_semi", salt_by, hot_rows=hot_rows).drop("skipped")
+    return salted_join(live, missing.select("target"), ["target"], "left_semi", salt_by, hot=hot).drop("skipped")
 
 
 def link_report(checked: DataFrame, broken: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -92,14 +93,13 @@ def walk(
     of all links, so the links are the side that is spread. Reached paths are never
     walked twice, so a loop ends.
     """
-    spark = links.sparkSession
     edges = (
         links.where(F.col("rel").isin(*rels) & ~is_remote(F.col("href")))
         .select("path", resolve(F.col("path"), F.col("href")).alias("target"))
         .distinct()
     )
     edges = cut_lineage(edges)
-    reached = spark.createDataFrame([(root, 0)], "path string, depth int")
+    reached = literal_rows(links.sparkSession, [(root, 0)], "path string, depth int")
     frontier = reached
     for depth in range(1, max_depth + 1):
         step = salted_join(edges, frontier.select("path"), ["path"], "left_semi", ["target"], hot_rows=hot_rows)

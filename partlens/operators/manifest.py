@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from partlens.functions.boxes import clamp_bbox
 from partlens.functions.paths import object_address, slug, theme_of, type_of
 from partlens.functions.text import human_title, plural, release_timestamp, thousands, title_from_slug
+from partlens.scale import salted_join
+from partlens.session import literal_rows
 
 ROW_GROUP_CAP = 150_000
 PARQUET_TYPE = "application/vnd.apache.parquet"
@@ -85,7 +87,8 @@ def theme_rollup(collections: DataFrame) -> DataFrame:
 def licence_groups(collections: DataFrame) -> DataFrame:
     """Every licence with its collections, one row each, and the size of the group."""
     sizes = collections.groupBy("license").agg(F.count(F.lit(1)).alias("collections"))
-    return collections.select("license", "collection").join(sizes, "license")
+    # One licence may cover most collections.
+    return salted_join(collections.select("license", "collection"), sizes, ["license"], "inner", ["collection"])
 
 
 def parts_per_collection(nodes: DataFrame, links: DataFrame, assets: DataFrame) -> DataFrame:
@@ -183,7 +186,9 @@ def single_part_rule(parts: DataFrame) -> DataFrame:
     """Where each part is published: on its collection when it is the only one, else as an item."""
     counts = parts.groupBy("collection").agg(F.count(F.lit(1)).alias("parts"))
     single = F.col("parts") == 1
-    return parts.select("collection", "part_id", "rows").join(counts, "collection").select(
+    # One collection may hold most parts.
+    placed = salted_join(parts.select("collection", "part_id", "rows"), counts, ["collection"], "inner", ["part_id"])
+    return placed.select(
         "collection",
         "part_id",
         F.when(single, F.concat("collection", F.lit("/collection.json")))
@@ -230,7 +235,7 @@ def select_keys(collections: DataFrame, wanted: Sequence[str]) -> DataFrame:
     """The wanted collections; a key that names none is an error. No key selects all."""
     if not wanted:
         return collections
-    listed = collections.sparkSession.createDataFrame([(w,) for w in set(wanted)], "collection string")
+    listed = literal_rows(collections.sparkSession, [(w,) for w in sorted(set(wanted))], "collection string")
     unknown = listed.join(collections, "collection", "left_anti").orderBy("collection").take(1)
     if unknown:
         raise ValueError(f"unknown collection {unknown[0][0]!r}")

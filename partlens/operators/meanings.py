@@ -156,9 +156,10 @@ def enum_descriptions(enums: DataFrame, file_comments: DataFrame, theme_comments
     """
     by_file = file_comments.select("collection", "value", F.col("comment").alias("_file"))
     by_theme = theme_comments.select("theme", "value", F.col("comment").alias("_theme"))
+    filed = enums.join(by_file, ["collection", "value"], "left")
+    # A value may occur in most collections of a theme, a column name in most collections.
     return (
-        enums.join(by_file, ["collection", "value"], "left")
-        .join(by_theme, ["theme", "value"], "left")
+        salted_join(filed, by_theme, ["theme", "value"], "left", ["collection", "column"])
         .withColumn("description", tidy(F.coalesce("_theme", "_file")))
         .drop("_file", "_theme")
     )
@@ -176,11 +177,9 @@ def described_columns(
     own = schema_text.select("collection", "column", filled("description").alias("_schema"))
     mine = per_collection.select("collection", "column", filled("description").alias("_mine"))
     any_ = shared.select("column", filled("description").alias("_shared"))
-    joined = (
-        columns.join(own, ["collection", "column"], "left")
-        .join(mine, ["collection", "column"], "left")
-        .join(any_, "column", "left")
-    )
+    here = columns.join(own, ["collection", "column"], "left").join(mine, ["collection", "column"], "left")
+    # Most collections share column names such as the identifier's.
+    joined = salted_join(here, any_, ["column"], "left", ["collection"])
     text = F.coalesce("_schema", "_mine", "_shared")
     return joined.select(
         *columns.columns,
@@ -205,7 +204,8 @@ def undocumented(columns: DataFrame) -> DataFrame:
 
 def known_issues(collections: DataFrame, issues: DataFrame, sampled: DataFrame, sampled_note: str) -> DataFrame:
     """Every note on a collection, one row each: its listed issues, then the sampling note."""
-    listed = collections.select("collection").join(issues, "collection").select("collection", "position", "note")
-    noted = collections.select("collection").join(sampled.select("collection").distinct(), "collection", "left_semi")
+    known = collections.select("collection")
+    listed = salted_join(issues, known, ["collection"], "left_semi", ["position"]).select("collection", "position", "note")
+    noted = known.join(sampled.select("collection").distinct(), "collection", "left_semi")
     after = F.lit(2**31 - 1).cast("int")
     return listed.unionByName(noted.select("collection", after.alias("position"), F.lit(sampled_note).alias("note")))

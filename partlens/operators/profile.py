@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partlens.operators.spatial import Scope, sample
-from partlens.session import cut_lineage
+from partlens.session import cut_lineage, literal_rows
 
 # Columns that identify, locate or describe a row in free form.
 SKIP = (
@@ -110,7 +110,7 @@ def unpivot(df: DataFrame, keep: Sequence[str], kinds: Mapping[str, str], column
     """(…keep, column, kind, text, number) per non-null value of ``columns``."""
     if not columns:
         schema = "column string, kind string, text string, number double"
-        none = df.sparkSession.createDataFrame([], schema)
+        none = literal_rows(df.sparkSession, [], schema)
         return none.select(*(F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keep), "*")
     cells = [
         F.struct(
@@ -220,10 +220,9 @@ def screen(
     ``counts``. A distinct count above the limit is reported as the limit plus one,
     the point where reading on could not change the verdict.
     """
-    spark = counts.sparkSession
     schema = "column string, kind string, ordinal int, over boolean"
     rows = [(c, kind, i, c in over_limit) for i, (c, kind) in enumerate(kinds.items())]
-    listed = spark.createDataFrame(rows, schema)
+    listed = literal_rows(counts.sparkSession, rows, schema)
     cap = F.when(F.col("kind") == NUMERIC, rules.max_values).otherwise(rules.max_distinct)
     seen = listed.join(recurrence(counts, scopes).drop("kind"), "column", "left").withColumn(
         "distinct_seen",
@@ -434,8 +433,9 @@ def profile(
     comparable = _comparable(kinds)
     seen = survey(sampled, comparable, rules.max_distinct)
     over = [c for c in comparable if c not in seen.few]
-    # Everything below reads these few rows, so the sample is not scanned again for each step.
-    counts = cut_lineage(value_counts(sampled, kinds, seen.few))
+    # Everything below reads these rows and not the sample. They are few: the columns left
+    # hold some forty values each, so one partition saves every later shuffle.
+    counts = cut_lineage(value_counts(sampled, kinds, seen.few)).coalesce(1)
     totals = total_counts(counts)
     screened = screen(counts, kinds, len(scope.names), rules, over)
     measured = measure(screened, metrics(totals, seen.rows, rules.max_values), rules)
@@ -496,7 +496,7 @@ def legend_row(spark, legend: Legend) -> DataFrame:
     """The legend as one row; numeric breaks are written as text."""
     values = [v if isinstance(v, str) else f"{v:g}" for v in legend.values]
     row = {**legend.__dict__, "values": values}
-    return spark.createDataFrame([row], Legend.SCHEMA)
+    return literal_rows(spark, [tuple(row.values())], Legend.SCHEMA)
 
 
 def sampled_tables(legends: DataFrame) -> DataFrame:

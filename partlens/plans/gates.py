@@ -10,13 +10,14 @@ from partlens.operators import graph, quality
 from partlens.plans.registry import query
 from partlens.plans.relations import TABLES, Data
 from partlens.plans.scans import file_table, staged
+from partlens.session import literal_rows
 from partlens.sources import footers
 
 CRASH = r"host 'h\d' \| error"
 
 
 def rules(data: Data, *ids: str):
-    return data.spark.createDataFrame([(i,) for i in ids], "rule_id string")
+    return literal_rows(data.spark, [(i,) for i in ids], "rule_id string")
 
 
 def citations(data: Data):
@@ -114,7 +115,7 @@ def exemption_report(data):
     ),
 )
 def footer_rules(data):
-    read = footers.read_footers(footers.list_parts(data.spark, data.folder), 8)
+    read = footers.read_footers(footers.list_parts(data.spark, data.folder))
     # The given tables are single row groups, so a table's rows are its largest row group.
     found = quality.footer_findings(footers.row_groups(read), footers.part_facts(read), 40)
     return found.select(file_table().alias("name"), "rule", "n")
@@ -126,7 +127,7 @@ def footer_rules(data):
 )
 def staged_statistics(data):
     path = staged(data, data.features, "features")
-    groups = footers.row_groups(footers.read_footers(footers.list_parts(data.spark, path), 8))
+    groups = footers.row_groups(footers.read_footers(footers.list_parts(data.spark, path)))
     missing = F.count_if(~F.col("has_stats")).alias("without_statistics")
     leaf = lambda n: F.col("column") == f"bbox.{n}"
     return groups.agg(

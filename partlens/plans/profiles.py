@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from partlens.operators import profile, spatial
 from partlens.plans.registry import query
 from partlens.plans.relations import WINDOWS, Data
+from partlens.session import literal_rows
 
 WINDOWED = spatial.Scope(False, tuple(WINDOWS))
 WHOLE = spatial.Scope(True, ())
@@ -280,7 +281,7 @@ def match_legend(data):
 def colours(data: Data):
     pairs = [p.split(":", 1) for p in COLOURS.split()]
     rows = [("subtype", v.replace("_", " "), c) for v, c in pairs]
-    return data.spark.createDataFrame(rows, "column string, text string, colour string")
+    return literal_rows(data.spark, rows, "column string, text string, colour string")
 
 
 @query(
@@ -370,7 +371,7 @@ AND place = 1""",
 )
 def confirm(data):
     prof = run(data)
-    invented = data.spark.createDataFrame([("subtype", "9-NEVER", None)], "column string, text string, number double")
+    invented = literal_rows(data.spark, [("subtype", "9-NEVER", None)], "column string, text string, number double")
     asked = prof.values.where(F.col("place") == 1).select("column", "text", "number").unionByName(invented)
     return profile.confirm(prof.sampled.select("window", "subtype"), {"subtype": "text"}, asked).select("column", "text")
 

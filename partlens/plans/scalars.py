@@ -278,7 +278,7 @@ def guide_texts(data: Data):
               'SELECT ''' || lang || ''',' || chr(10) || '  ' || CAST(n_chars AS STRING) AS block FROM documents""",
 )
 def document_blocks(data):
-    return blocks.fenced_blocks(blocks.lines_of(guide_texts(data)))
+    return blocks.document_blocks(guide_texts(data))
 
 
 @query(
@@ -289,4 +289,4 @@ def guides_without_blocks(data):
     fence = "`" * 3
     text = F.when(F.col("lang") == "en", F.concat(F.lit(f"{fence}sql\n"), F.regexp_replace("text", "`", "'"), F.lit(f"\n{fence}")))
     guides = data.documents.select(F.col("doc_id").alias("file_id"), F.coalesce(text, F.regexp_replace("text", "`", "'")).alias("text"))
-    return blocks.guides_without_blocks(guides.select("file_id"), blocks.fenced_blocks(blocks.lines_of(guides)))
+    return blocks.guides_without_blocks(guides.select("file_id"), blocks.document_blocks(guides))

@@ -136,7 +136,7 @@ FOOTER_TABLES = " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS row_cnt F
 
 @query("src_6_footer_rows", FOOTER_TABLES)
 def footer_rows(data):
-    facts = footers.part_facts(footers.read_footers(footers.list_parts(data.spark, data.folder), 8))
+    facts = footers.part_facts(footers.read_footers(footers.list_parts(data.spark, data.folder)))
     return facts.groupBy(file_table().alias("name")).agg(F.sum("rows").alias("row_cnt"))
 
 
@@ -148,7 +148,7 @@ def footer_rows(data):
        UNION ALL SELECT 'events', 'value', min(value), max(value) FROM events""",
 )
 def footer_ranges(data):
-    groups = footers.row_groups(footers.read_footers(footers.list_parts(data.spark, data.folder), 8))
+    groups = footers.row_groups(footers.read_footers(footers.list_parts(data.spark, data.folder)))
     wanted = F.concat_ws(".", "name", "column").isin("lineitem.l_orderkey", "orders.o_totalprice", "part.p_size", "events.value")
     return (
         groups.withColumn("name", file_table())
@@ -160,7 +160,7 @@ def footer_ranges(data):
 
 @query("src_6_footer_harvest")
 def footer_harvest(data):
-    facts = footers.part_facts(footers.read_footers(footers.list_parts(data.spark, data.folder), 8))
+    facts = footers.part_facts(footers.read_footers(footers.list_parts(data.spark, data.folder)))
     return facts.select(
         file_table().alias("name"), "rows", "row_groups", "max_row_group_rows", "geoparquet_version",
         "geometry_column", "has_covering_bbox", "geometry_types",

@@ -15,20 +15,20 @@ SALTS = 32
 BLOCK_ROWS = 65_536
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The heaviest keys: never more than ``HOT_KEYS`` rows, whatever the input holds.
+def heaviest(counted: DataFrame, keys: Sequence[str], rows: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The keys with the most rows: never more than ``HOT_KEYS``, whatever the input holds.
 
-    A key outside this list holds less than a thousandth of the rows, so leaving it
-    in one shuffle partition is safe.
+    A key outside this list holds less than a thousandth of all rows, so leaving it in
+    one shuffle partition is safe.
     """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= hot_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(HOT_KEYS)
-        .select(*keys)
-    )
+    many = counted.where(F.col(rows) >= hot_rows)
+    return many.orderBy(F.desc(rows), *keys).limit(HOT_KEYS).select(*keys)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The heaviest keys of ``df``, counted before the shuffle."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return heaviest(counted, keys, "_n", hot_rows)
 
 
 def salted_join(
@@ -38,6 +38,7 @@ def salted_join(
     how: str,
     salt_by: Sequence[str],
     *,
+    hot: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -46,9 +47,11 @@ def salted_join(
     Rows of a hot key spread over ``salts`` partitions by a hash of ``salt_by``
     (a stable hash, so a recomputed task lands rows where the first one did); only
     the matching rows of ``right`` are copied. ``how`` is a left-preserving kind:
-    inner, left, left_semi or left_anti.
+    inner, left, left_semi or left_anti. A caller that has counted the keys already
+    passes the heaviest ones as ``hot``.
     """
-    hot = F.broadcast(hot_keys(left, keys, hot_rows).withColumn("_hot", F.lit(True)))
+    listed = hot_keys(left, keys, hot_rows) if hot is None else hot
+    hot = F.broadcast(listed.withColumn("_hot", F.lit(True)))
     # A null key matches nothing, so its rows may go anywhere.
     no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
     salt = F.when(

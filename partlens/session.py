@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -14,6 +18,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the call site of every column expression costs more than planning does.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -62,3 +68,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def workspace(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder for a table a job writes."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few rows written in the program, as a relation whose size the planner knows."""
+    fields = StructType.fromDDL(schema)
+    records = [dict(zip(fields.names, row, strict=True)) for row in rows]
+    table = pa.Table.from_pylist(records, schema=to_arrow_schema(fields))
+    return spark.createDataFrame(table, fields)

@@ -51,10 +51,13 @@ def malformed(documents: DataFrame) -> DataFrame:
 def links(node_rows: DataFrame) -> DataFrame:
     """(path, position, rel, href, type, title, latest), one row per link."""
     parsed = F.from_json("raw", f"struct<links:{LINK}>")["links"]
-    return node_rows.select("path", F.posexplode(parsed).alias("position", "_l")).select("path", "position", "_l.*")
+    # The outer form spares a test for empty lists that would parse every text twice.
+    rows = node_rows.select("path", F.posexplode_outer(parsed).alias("position", "_l"))
+    return rows.where(F.col("position").isNotNull()).select("path", "position", "_l.*")
 
 
 def assets(node_rows: DataFrame) -> DataFrame:
     """(path, key, href, type, roles, title), one row per asset."""
     parsed = F.from_json("raw", f"struct<assets:{ASSETS}>")["assets"]
-    return node_rows.select("path", F.explode(parsed).alias("key", "_a")).select("path", "key", "_a.*")
+    rows = node_rows.select("path", F.explode_outer(parsed).alias("key", "_a"))
+    return rows.where(F.col("key").isNotNull()).select("path", "key", "_a.*")

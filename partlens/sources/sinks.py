@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partlens.functions.text import markdown_cell, signed
+from partlens.session import literal_rows
+
+RUN = 1000
 
 
 def json_lines(df: DataFrame, doc: str, key: str) -> DataFrame:
@@ -49,12 +52,13 @@ def report_lines(
     # Labels as they read in the report.
     names = {"rule_id": "Rule", "path": "Path", "message": "Message"}
     head = [names.get(c, c) for c in columns]
-    heading = spark.createDataFrame([(0, "1", f"### `{title}`"), (0, "2", "")], "section int, line_key string, line string")
+    schema = "section int, line_key string, line string"
+    heading = literal_rows(spark, [(0, "1", f"### `{title}`"), (0, "2", "")], schema)
     if findings.isEmpty():
         rest = [(1, "1", "No error-severity finding.")]
     else:
         rest = [(1, "1", "| " + " | ".join(head) + " |"), (1, "2", "|" + "---|" * len(head))]
-    return heading.unionByName(spark.createDataFrame(rest, heading.schema)).unionByName(body)
+    return heading.unionByName(literal_rows(spark, rest, schema)).unionByName(body)
 
 
 def delta_lines(deltas: DataFrame) -> DataFrame:
@@ -66,12 +70,26 @@ def delta_lines(deltas: DataFrame) -> DataFrame:
 
 
 def write_lines(lines: DataFrame, path: str) -> None:
-    """Report lines as text files whose names follow the order of the lines."""
-    lines.orderBy("section", "line_key").select("line").write.mode("errorifexists").text(path)
+    """Report lines as text files whose names follow the order of the lines.
+
+    Equal lines are counted first and written in runs of a thousand, so that a line
+    repeated very often does not end up in one sort partition.
+    """
+    runs = (
+        lines.groupBy("section", "line_key", "line")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("run", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / RUN))))
+        .withColumn("here", F.least(F.col("n") - F.col("run") * RUN, F.lit(RUN)).cast("int"))
+    )
+    ordered = runs.orderBy("section", "line_key", "line", "run")
+    repeated = ordered.select(F.explode(F.array_repeat("line", F.col("here"))).alias("line"))
+    repeated.write.mode("errorifexists").text(path)
 
 
-def write_tsv(df: DataFrame, path: str, order: Sequence[str | Column]) -> None:
-    df.orderBy(*order).write.mode("errorifexists").option("sep", "\t").option("header", True).csv(path)
+def write_tsv(df: DataFrame, path: str, order: Sequence[str]) -> None:
+    """Rows in the given order; the other columns break ties, so the sort can split them."""
+    rest = [c for c in df.columns if c not in order]
+    df.orderBy(*order, *rest).write.mode("errorifexists").option("sep", "\t").option("header", True).csv(path)
 
 
 def mirror_parts(parts: DataFrame, path: str) -> None:
@@ -89,9 +107,12 @@ def mirror_parts(parts: DataFrame, path: str) -> None:
 
 
 def refresh(df: DataFrame, path: str, by: Sequence[str]) -> None:
-    """Replace only the partitions that ``df`` holds."""
+    """Replace only the partitions that ``df`` holds.
+
+    The rebalance gathers each partition into few files and splits one that is too large.
+    """
     (
-        df.repartition(*by, F.pmod(F.xxhash64(*df.columns), F.lit(8)))
+        df.hint("rebalance", *by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)

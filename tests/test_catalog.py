@@ -304,6 +304,15 @@ def test_report_without_findings(frame, spark, tmp_path):
     assert text == "### `t/c`\n\n| Rule | Path | Message |\n|---|---|---|\n| `R` | `p` | a \\| b |\n"
 
 
+def test_a_line_repeated_often_is_written_in_full(frame, spark, tmp_path):
+    path = str(tmp_path / "report")
+    lines = frame([(1, "a", "x")] * 2501 + [(0, "b", "head"), (2, "c", "tail")] , "section int, line_key string, line string")
+    sinks.write_lines(lines, path)
+    parts = sorted(p for p in os.listdir(path) if p.startswith("part-"))
+    text = "".join(open(os.path.join(path, p)).read() for p in parts)
+    assert text == "head\n" + "x\n" * 2501 + "tail\n"
+
+
 def test_refresh_leaves_other_partitions(frame, spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.refresh(frame([("a", 1), ("b", 1)], "type string, n int"), path, ["type"])

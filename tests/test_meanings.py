@@ -144,7 +144,17 @@ def fences(lines):
 def test_fences_equal_a_plain_pass(spark, lines, block):
     df = spark.createDataFrame([(1, "\n".join(lines))], "file_id int, text string")
     got = blocks.fenced_blocks(blocks.lines_of(df), block_rows=block, hot_rows=2).collect()
-    assert sorted((r["line_no"], r["block"]) for r in got) == fences("\n".join(lines).split("\n"))
+    want = fences("\n".join(lines).split("\n"))
+    assert sorted((r["line_no"], r["block"]) for r in got) == want
+    assert sorted((r["line_no"], r["block"]) for r in blocks.document_blocks(df).collect()) == want
+
+
+def test_fences_in_a_long_text(spark):
+    # The scan over a long tail without a fence must stay linear.
+    text = "x y z\n" * 200_000 + f"{FENCE}sql\nSELECT 1\n{FENCE}\n" + "tail\n" * 200_000
+    df = spark.createDataFrame([(1, text)], "file_id int, text string")
+    got = blocks.document_blocks(df).collect()
+    assert [(r["line_no"], r["block"]) for r in got] == [(200_001, "SELECT 1")]
 
 
 def test_unicode_white_space_counts(spark):
