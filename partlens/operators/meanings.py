@@ -158,8 +158,9 @@ def enum_descriptions(enums: DataFrame, file_comments: DataFrame, theme_comments
     by_theme = theme_comments.select("theme", "value", F.col("comment").alias("_theme"))
     filed = enums.join(by_file, ["collection", "value"], "left")
     # A value may occur in most collections of a theme, a column name in most collections.
+    salt_by = [c for c in enums.columns if c not in ("theme", "value")]
     return (
-        salted_join(filed, by_theme, ["theme", "value"], "left", ["collection", "column"])
+        salted_join(filed, by_theme, ["theme", "value"], "left", salt_by)
         .withColumn("description", tidy(F.coalesce("_theme", "_file")))
         .drop("_file", "_theme")
     )
