@@ -87,27 +87,21 @@ def flatten_properties(
     """
     own = F.lit(2**31 - 1).cast("int")
     names = properties.select(F.col("node").alias("at"), "name", "value")
+    down = members.select(F.col("node").alias("at"), "ordinal", "member")
     level = members.select("node", F.array(F.col("ordinal").cast("int")).alias("key"), F.col("member").alias("at"))
     found = properties.select("node", F.array(own).alias("key"), "name", "value")
-    down = members.select(F.col("node").alias("at"), "ordinal", "member")
     for _ in range(depth):
-        held = salted_join(level, names, ["at"], "inner", ["node", "key"], hot_rows=hot_rows)
-        step = held.select("node", F.concat("key", F.array(own)).alias("key"), "name", "value")
-        # Only the winner per name goes on, so a level never adds more than one row per property.
-        found = cut_lineage(_last_wins(found.unionByName(step)))
-        level = cut_lineage(
-            salted_join(level, down, ["at"], "inner", ["node", "key"], hot_rows=hot_rows).select(
-                "node", F.concat("key", F.array(F.col("ordinal").cast("int"))).alias("key"), F.col("member").alias("at")
-            )
-        )
+        level = cut_lineage(level)
         if level.isEmpty():
             break
-    return found.select("node", "name", "value")
-
-
-def _last_wins(found: DataFrame) -> DataFrame:
+        held = salted_join(level, names, ["at"], "inner", ["node", "key"], hot_rows=hot_rows)
+        found = found.unionByName(held.select("node", F.concat("key", F.array(own)).alias("key"), "name", "value"))
+        level = salted_join(level, down, ["at"], "inner", ["node", "key"], hot_rows=hot_rows).select(
+            "node", F.concat("key", F.array(F.col("ordinal").cast("int"))).alias("key"), F.col("member").alias("at")
+        )
+    # Keys order like the merge: a later member is larger, a node's own entry the largest.
     best = F.max(F.struct("key", "value")).alias("best")
-    return found.groupBy("node", "name").agg(best).select("node", F.col("best.key").alias("key"), "name", F.col("best.value").alias("value"))
+    return found.groupBy("node", "name").agg(best).select("node", "name", F.col("best.value").alias("value"))
 
 
 # The forms of a list item and of a comment line.

@@ -6,18 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partlens.operators.manifest import ROW_GROUP_CAP
-
-
-def _finding(rule: str, subject: Column | None, was: Column | None, now: Column | None, blocking: bool = True):
-    text = lambda c: (F.lit(None) if c is None else c).cast("string")
-    return [
-        F.col("collection"),
-        F.lit(rule).alias("rule"),
-        text(subject).alias("subject"),
-        text(was).alias("was"),
-        text(now).alias("now"),
-        F.lit(blocking).alias("blocking"),
-    ]
+from partlens.scale import salted_join
 
 
 def appeared_or_gone(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -48,13 +37,17 @@ def column_changes(old_columns: DataFrame, new_columns: DataFrame) -> DataFrame:
     """
     shared = in_both(old_columns, new_columns, ["collection"])
     moved = appeared_or_gone(old_columns, new_columns, ["collection", "column"])
-    return moved.join(shared, "collection", "left_semi")
+    return salted_join(moved, shared, ["collection"], "left_semi", ["column"])
+
+
+def cap_of(row_group_cap: Column, default_cap: int = ROW_GROUP_CAP) -> Column:
+    """The cap on rows of a row group; none or zero means the default."""
+    return F.coalesce(F.nullif(row_group_cap, F.lit(0)), F.lit(default_cap)).cast("bigint")
 
 
 def over_cap(current: DataFrame, default_cap: int = ROW_GROUP_CAP) -> DataFrame:
-    """Collections whose largest row group exceeds the cap; no cap or zero means the default."""
-    cap = F.coalesce(F.nullif(F.col("row_group_cap"), F.lit(0)), F.lit(default_cap))
-    return current.withColumn("cap", cap.cast("bigint")).where(
+    """Collections whose largest row group exceeds their cap."""
+    return current.withColumn("cap", cap_of(F.col("row_group_cap"), default_cap)).where(
         F.coalesce("max_row_group_rows", F.lit(0)) > F.col("cap")
     )
 
@@ -65,47 +58,54 @@ def compare(
     """Every difference as a finding (collection, rule, subject, was, now, blocking).
 
     A part count may move and never blocks; every other change does. The row-group cap
-    reads all of the new release, collections that only just appeared included.
+    reads all of the new release, collections that only just appeared included. The two
+    releases meet once per collection and once per column, and each meeting lists all of
+    its findings.
     """
-    joined = old.alias("o").join(new.alias("n"), "collection")
-    gone = appeared_or_gone(old, new, ["collection"]).select(
-        "collection", F.concat(F.lit("collection "), "change").alias("rule"),
-        *(F.lit(None).cast("string").alias(c) for c in ("subject", "was", "now")),
-        F.lit(True).alias("blocking"),
+    facts = ("items", "license", "geoparquet", "max_row_group_rows", "row_group_cap")
+    side = lambda df, s: df.select(
+        "collection", F.lit(True).alias(f"{s}_here"), *(F.col(f).alias(f"{s}_{f}") for f in facts)
     )
-    known = in_both(old, new, ["collection"])
-    columns = (
-        appeared_or_gone(old_columns, new_columns, ["collection", "column"])
-        .join(known, "collection", "left_semi")
-        .select(
-            "collection", F.concat(F.lit("column "), "change").alias("rule"),
-            F.col("column").alias("subject"),
-            *(F.lit(None).cast("string").alias(c) for c in ("was", "now")),
-            F.lit(True).alias("blocking"),
+    met = side(old, "o").join(side(new, "n"), "collection", "full_outer")
+    c = F.col
+    in_old, in_new = c("o_here").isNotNull(), c("n_here").isNotNull()
+    both = in_old & in_new
+    text = lambda v: F.lit(None).cast("string") if v is None else v.cast("string")
+
+    def finding(when: Column, rule: str, was: Column | None = None, now: Column | None = None, blocking: bool = True) -> Column:
+        return F.when(
+            when,
+            F.struct(
+                F.lit(rule).alias("rule"), text(None).alias("subject"), text(was).alias("was"), text(now).alias("now"),
+                F.lit(blocking).alias("blocking"),
+            ),
         )
-    )
-    licence = joined.where(~F.col("o.license").eqNullSafe(F.col("n.license"))).select(
-        *_finding("licence changed", None, F.col("o.license"), F.col("n.license"))
-    )
-    versions = joined.where(~same_list(F.col("o.geoparquet"), F.col("n.geoparquet"))).select(
-        *_finding(
-            "format version changed",
-            None,
-            F.array_join(F.array_sort("o.geoparquet"), ", "),
-            F.array_join(F.array_sort("n.geoparquet"), ", "),
+
+    listed = lambda v: F.array_join(F.array_sort(v), ", ")
+    items = [F.coalesce(c(f"{s}_items"), F.lit(0)) for s in "on"]
+    cap, tallest = cap_of(c("n_row_group_cap")), F.coalesce("n_max_row_group_rows", F.lit(0))
+    of_tables = F.array_compact(
+        F.array(
+            finding(~in_new, "collection disappeared"),
+            finding(~in_old, "collection appeared"),
+            finding(both & ~c("o_license").eqNullSafe(c("n_license")), "licence changed", c("o_license"), c("n_license")),
+            finding(
+                both & ~same_list(c("o_geoparquet"), c("n_geoparquet")),
+                "format version changed", listed(c("o_geoparquet")), listed(c("n_geoparquet")),
+            ),
+            finding(in_new & (tallest > cap), "row group above cap", cap, tallest),
+            finding(both & (items[0] != items[1]), "part count moved", *items, blocking=False),
         )
     )
-    capped = over_cap(new).select(
-        *_finding("row group above cap", None, F.col("cap"), F.col("max_row_group_rows"))
-    )
-    items = lambda side: F.coalesce(f"{side}.items", F.lit(0))
-    parts = joined.where(items("o") != items("n")).select(
-        *_finding("part count moved", None, items("o"), items("n"), blocking=False)
-    )
-    return (
-        gone.unionByName(columns).unionByName(licence).unionByName(versions)
-        .unionByName(capped).unionByName(parts)
+    moved = appeared_or_gone(old_columns, new_columns, ["collection", "column"])
+    # One collection may hold most columns.
+    of_columns = salted_join(
+        moved, met.where(both).select("collection"), ["collection"], "left_semi", ["column"]
+    ).select(
+        "collection", F.concat(F.lit("column "), "change").alias("rule"), c("column").alias("subject"),
+        text(None).alias("was"), text(None).alias("now"), F.lit(True).alias("blocking"),
     )
+    return met.select("collection", F.inline(of_tables)).unionByName(of_columns)
 
 
 def part_deltas(findings: DataFrame) -> DataFrame:

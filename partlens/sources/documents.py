@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,15 +20,18 @@ def read_documents(spark: SparkSession, root: str) -> DataFrame:
 
     ``path`` is relative to the root; ``doc`` is null where the text is not JSON.
     """
-    base = root.rstrip("/")
-    full = F.regexp_replace(F.col("_metadata.file_path"), r"^file:/+", "/")
-    prefix = base if "://" in base else "/" + base.split(":", 1)[-1].lstrip("/")
+    base = re.sub("^file:/+", "/", root.rstrip("/"))
+    if "://" not in base:
+        base = os.path.abspath(base)
+    # File paths come as encoded addresses; a plus sign stands for itself in them.
+    address = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    full = F.regexp_replace(address, "^file:/+", "/")
     files = (
         spark.read.option("wholetext", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
         .text(base)
-        .select(F.substring(full, F.lit(len(prefix) + 2), F.length(full)).alias("path"), F.col("value").alias("raw"))
+        .select(F.substring(full, F.lit(len(base) + 2), F.length(full)).alias("path"), F.col("value").alias("raw"))
     )
     parts = F.split("path", "/")
     hidden = F.exists(parts, lambda p: p.startswith("."))

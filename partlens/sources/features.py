@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partlens.functions.boxes import Box
-from partlens.operators.spatial import any_window, prune_parts
+from partlens.operators.spatial import Scope, any_window, prune_parts
 
 
 def scan_table(spark: SparkSession, path: str) -> DataFrame:
@@ -34,12 +34,19 @@ def scan_windows(
     ``manifest`` is (href, bbox). Its kept addresses come back to the driver, where the
     scan's own file list lives in any case.
     """
-    kept = [r["href"] for r in prune_parts(manifest, windows).select("href").distinct().toLocalIterator()]
-    if not kept:
+    kept = windows and [r["href"] for r in prune_parts(manifest, windows).select("href").distinct().toLocalIterator()]
+    if not kept or not windows:
         return scan_table(spark, base).where(F.lit(False))
     return scan_parts(spark, base, sorted(kept)).where(any_window(bbox, windows))
 
 
+def scan_scope(spark: SparkSession, base: str, manifest: DataFrame, scope: Scope, bbox: str = "bbox") -> DataFrame:
+    """What a profile of this scope has to read: the whole table, or the parts its windows meet."""
+    if scope.exhaustive:
+        return scan_table(spark, base)
+    return scan_windows(spark, base, manifest, scope.windows, bbox)
+
+
 def group_count(df: DataFrame, key: str, limit: int | None = None) -> DataFrame:
     """Rows per key in key order; a limit is taken after the order."""
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).orderBy(key)

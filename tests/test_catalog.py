@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from partlens.operators import graph, manifest, quality, release
-from partlens.sources import documents, features, footers, sinks
 from partlens.functions.boxes import Box
+from partlens.operators.spatial import Scope
+from partlens.sources import documents, features, footers, sinks
 
 
 def put(root, path, content):
@@ -37,11 +38,14 @@ def tree(tmp_path):
     put(root, "t/quiet.style.json", {"type": "Catalog"})
     put(root, "t/other.json", {"type": "Style"})
     put(root, "t/list.json", [1, 2])
+    put(root, "t/with space+plus.json", {"type": "Style"})
     return str(root)
 
 
 def test_documents_are_read_and_sorted_out(spark, tree):
     docs = documents.read_documents(spark, tree)
+    assert docs.where("path = 't/with space+plus.json'").count() == 1
+    assert documents.read_documents(spark, f"file://{tree}/").where("path = 'catalog.json'").count() == 1
     nodes = documents.nodes(docs)
     assert sorted(r["path"] for r in nodes.collect()) == ["catalog.json", "t/c/collection.json", "t/c/items/1.json", "t/catalog.json"]
     assert [r["path"] for r in documents.malformed(docs).collect()] == ["t/c/items/broken.json"]
@@ -250,7 +254,7 @@ def geo_part(path, rows, group, geo=True, stats=True, start=0.0):
 
 
 def test_footers(spark, tmp_path):
-    geo_part(f"{tmp_path}/t/type=a/part-0.parquet", 10, 4)
+    geo_part(f"{tmp_path}/t/type=a b/part-0.parquet", 10, 4)
     geo_part(f"{tmp_path}/t/type=a/part-1.parquet", 3, 3, geo=False, stats=False)
     read = footers.read_footers(footers.list_parts(spark, f"{tmp_path}/t"), 2)
     facts = {r["path"].rsplit("-", 1)[1][0]: r for r in footers.part_facts(read).collect()}
@@ -278,6 +282,8 @@ def test_only_the_parts_of_a_window_are_opened(spark, frame, tmp_path):
     assert [f.rsplit("-", 1)[1] for f in found.inputFiles()] == ["1.parquet"]
     assert [(r["id"], r["theme"], r["type"]) for r in found.collect()] == [("1", "x", "a")]
     assert features.scan_windows(spark, base, listed, [Box("w", 50.0, 0.0, 60.0, 1.0)]).count() == 0
+    assert features.scan_scope(spark, base, listed, Scope(True, ())).count() == 10
+    assert features.scan_scope(spark, base, listed, Scope(False, ())).count() == 0
 
 
 def test_json_is_the_same_on_every_run(spark, frame, tmp_path):
