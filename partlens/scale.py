@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from partlens.session import literal_rows
 
 HOT_KEYS = 1000
 HOT_ROWS = 1_000_000
@@ -44,14 +47,20 @@ def salted_join(
 ) -> DataFrame:
     """Equi-join where a few keys may hold most of ``left``.
 
-    Rows of a hot key spread over ``salts`` partitions by a hash of ``salt_by``
-    (a stable hash, so a recomputed task lands rows where the first one did); only
-    the matching rows of ``right`` are copied. ``how`` is a left-preserving kind:
-    inner, left, left_semi or left_anti. A caller that has counted the keys already
-    passes the heaviest ones as ``hot``.
+    The heaviest keys, a list of fixed greatest length, are looked up first; without any
+    this is a plain join. Otherwise rows of a hot key spread over ``salts`` partitions by
+    a hash of ``salt_by`` (a stable hash, so a recomputed task lands rows where the first
+    one did), and only the matching rows of ``right`` are copied. ``how`` is a
+    left-preserving kind: inner, left, left_semi or left_anti. A caller that has counted
+    the keys already passes the heaviest ones as ``hot``.
     """
+    keys = list(keys)
     listed = hot_keys(left, keys, hot_rows) if hot is None else hot
-    hot = F.broadcast(listed.withColumn("_hot", F.lit(True)))
+    found = listed.select(*keys).collect()
+    if not found:
+        return left.join(right, keys, how)
+    fields = StructType([left.schema[k] for k in keys])
+    hot = F.broadcast(literal_rows(left.sparkSession, found, fields).withColumn("_hot", F.lit(True)))
     # A null key matches nothing, so its rows may go anywhere.
     no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
     salt = F.when(
@@ -60,12 +69,8 @@ def salted_join(
     copies = F.when(
         F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))
     ).otherwise(F.array(F.lit(0)))
-    spread = left.join(hot, list(keys), "left").withColumn("_salt", salt).drop("_hot")
-    copied = (
-        right.join(hot, list(keys), "left")
-        .withColumn("_salt", F.explode(copies))
-        .drop("_hot")
-    )
+    spread = left.join(hot, keys, "left").withColumn("_salt", salt).drop("_hot")
+    copied = right.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     return spread.join(copied, [*keys, "_salt"], how).drop("_salt")
 
 

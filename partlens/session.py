@@ -70,9 +70,9 @@ def workspace(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A few rows written in the program, as a relation whose size the planner knows."""
-    fields = StructType.fromDDL(schema)
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
+    """A few rows the program holds, as a relation whose size the planner knows."""
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     records = [dict(zip(fields.names, row, strict=True)) for row in rows]
     table = pa.Table.from_pylist(records, schema=to_arrow_schema(fields))
     return spark.createDataFrame(table, fields)
