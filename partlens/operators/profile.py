@@ -107,33 +107,44 @@ def survey(df: DataFrame, columns: Sequence[str], limit: int) -> Survey:
 
 
 def unpivot(df: DataFrame, keep: Sequence[str], kinds: Mapping[str, str], columns: Sequence[str]) -> DataFrame:
-    """(…keep, column, kind, text, number) per non-null value of ``columns``."""
+    """(…keep, slot, text, number) per non-null value, ``slot`` counting ``columns`` from 0.
+
+    A number in place of the column's name keeps the rows that are grouped next narrow.
+    """
     if not columns:
-        schema = "column string, kind string, text string, number double"
-        none = literal_rows(df.sparkSession, [], schema)
+        none = literal_rows(df.sparkSession, [], "slot int, text string, number double")
         return none.select(*(F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keep), "*")
     cells = [
         F.struct(
-            F.lit(c).alias("column"),
-            F.lit(kinds[c]).alias("kind"),
+            F.lit(slot).alias("slot"),
             (F.col(c) if kinds[c] == TEXT else F.lit(None).cast("string")).alias("text"),
             (F.col(c).cast("double") if kinds[c] == NUMERIC else F.lit(None).cast("double")).alias("number"),
         )
-        for c in columns
+        for slot, c in enumerate(columns)
     ]
     long = df.select(*keep, F.inline(F.array(*cells)))
     return long.where(F.col("text").isNotNull() | F.col("number").isNotNull())
 
 
+def _name_slots(long: DataFrame, kinds: Mapping[str, str], columns: Sequence[str]) -> DataFrame:
+    """Put column and kind in place of ``slot``."""
+    nth = lambda values: F.get(F.array(*(F.lit(v) for v in values)) if values else F.array().cast("array<string>"), "slot")
+    named = long.withColumn("column", nth(list(columns))).withColumn("kind", nth([kinds[c] for c in columns]))
+    first = [c for c in long.columns if c not in ("slot", "text", "number", "n")]
+    last = [c for c in ("text", "number", "n") if c in long.columns]
+    return named.select(*first, "column", "kind", *last)
+
+
 def value_counts(sampled: DataFrame, kinds: Mapping[str, str], columns: Sequence[str] | None = None) -> DataFrame:
     """Rows per (window, column, value). Counts combine before the shuffle, so a value on
     most rows is no hot key."""
     wanted = list(columns) if columns is not None else _comparable(kinds)
-    return (
+    counted = (
         unpivot(sampled, ["window"], kinds, wanted)
-        .groupBy("window", "column", "kind", "text", "number")
+        .groupBy("window", "slot", "text", "number")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    return _name_slots(counted, kinds, wanted)
 
 
 def total_counts(counts: DataFrame) -> DataFrame:
@@ -317,7 +328,8 @@ def confirm(sampled: DataFrame, kinds: Mapping[str, str], values: DataFrame) ->
     Reads the data again and uses no earlier count. Only columns named in ``kinds`` are
     read, and they reduce to their distinct values before the join.
     """
-    held = unpivot(sampled, [], kinds, _comparable(kinds)).select("column", "text", "number").distinct()
+    columns = _comparable(kinds)
+    held = _name_slots(unpivot(sampled, [], kinds, columns).distinct(), kinds, columns).drop("kind")
     h = held.alias("h")
     v = values.alias("v")
     same = (
