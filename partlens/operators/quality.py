@@ -125,6 +125,12 @@ def expected_exactly(findings: DataFrame, expected: DataFrame, host: str) -> Dat
     return rules.unionByName(elsewhere)
 
 
+def declares(schemas: Column, pattern: str) -> Column:
+    """Whether a list of schema addresses holds a full match, a trailing # aside."""
+    named = F.exists(schemas, lambda uri: F.rtrim(uri, F.lit("#")).rlike(f"^(?:{pattern})$"))
+    return F.coalesce(named, F.lit(False))
+
+
 def exemption(
     outcomes: DataFrame, fixed_text: str, pattern: str
 ) -> DataFrame:

@@ -210,15 +210,17 @@ def markdown_report(data):
 
 
 @query(
-    "snk_2_delta_table",
-    """SELECT 2 AS section, o.collection AS line_key,
+    "snk_2_delta_report",
+    """SELECT 0 AS section, '1' AS line_key, 'Release `old` becomes `new`.' AS line UNION ALL SELECT 0, '2', ''
+       UNION ALL SELECT 1, '1', '| Collection | Before | After | Delta |' UNION ALL SELECT 1, '2', '|---|---:|---:|---:|'
+       UNION ALL SELECT 2 AS section, o.collection AS line_key,
               '| `' || o.collection || '` | ' || CAST(o.items AS STRING) || ' | ' || CAST(n.items AS STRING) || ' | '
               || CASE WHEN n.items > o.items THEN '+' ELSE '' END || CAST(n.items - o.items AS STRING) || ' |' AS line
        FROM fp_tables o JOIN fp_tables n ON o.collection = n.collection
        WHERE o.release = 'old' AND n.release = 'new' AND o.items <> n.items""",
 )
-def delta_table(data):
-    return sinks.delta_lines(part_deltas(diff(data)))
+def delta_report(data):
+    return sinks.delta_report(part_deltas(diff(data)), "old", "new")
 
 
 @query(

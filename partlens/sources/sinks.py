@@ -32,12 +32,15 @@ def write_json(df: DataFrame, doc: str, key: str, path: str, files: int) -> None
 
 
 def report_lines(
-    findings: DataFrame, title: str, columns: Sequence[str] = ("rule_id", "path", "message")
+    findings: DataFrame,
+    title: str,
+    columns: Sequence[str] = ("rule_id", "path", "message"),
+    note: str | None = None,
 ) -> DataFrame:
     """A Markdown report as lines (section, line_key, line); order by the first two.
 
-    Section 0 is the heading, 1 the table head and 2 the findings, or 1 alone says that
-    there is none.
+    Section 0 is the heading with an optional note, 1 the table head and 2 the findings,
+    or 1 alone says that there is none.
     """
     spark = findings.sparkSession
     cells = [F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in columns]
@@ -53,7 +56,8 @@ def report_lines(
     names = {"rule_id": "Rule", "path": "Path", "message": "Message"}
     head = [names.get(c, c) for c in columns]
     schema = "section int, line_key string, line string"
-    heading = literal_rows(spark, [(0, "1", f"### `{title}`"), (0, "2", "")], schema)
+    said = [f"### `{title}`", ""] + ([note, ""] if note else [])
+    heading = literal_rows(spark, [(0, str(i), line) for i, line in enumerate(said, 1)], schema)
     if findings.isEmpty():
         rest = [(1, "1", "No error-severity finding.")]
     else:
@@ -69,6 +73,17 @@ def delta_lines(deltas: DataFrame) -> DataFrame:
     return deltas.select(F.lit(2).alias("section"), F.col("collection").alias("line_key"), line.alias("line"))
 
 
+def delta_report(deltas: DataFrame, was: str, now: str) -> DataFrame:
+    """The part counts that moved between two releases, as report lines."""
+    schema = "section int, line_key string, line string"
+    spark = deltas.sparkSession
+    heading = literal_rows(spark, [(0, "1", f"Release `{was}` becomes `{now}`."), (0, "2", "")], schema)
+    if deltas.isEmpty():
+        return heading.unionByName(literal_rows(spark, [(1, "1", "No part count moved.")], schema))
+    head = [(1, "1", "| Collection | Before | After | Delta |"), (1, "2", "|---|---:|---:|---:|")]
+    return heading.unionByName(literal_rows(spark, head, schema)).unionByName(delta_lines(deltas))
+
+
 def write_lines(lines: DataFrame, path: str) -> None:
     """Report lines as text files whose names follow the order of the lines.
 

@@ -300,7 +300,25 @@ def test_json_is_the_same_on_every_run(spark, frame, tmp_path):
     assert sum(t.count("\n") for t in texts[0]) == 50
 
 
+def test_declared_schemas(frame):
+    rows = [(["https://x/v1.json#"],), (["https://x/v1.json.bak", "https://y/"],), ([],), (None,)]
+    df = frame(rows, "schemas array<string>")
+    got = df.select(quality.declares(F.col("schemas"), r"https://x/v\d+\.json").alias("d")).collect()
+    assert [r.d for r in got] == [True, False, False, False]
+
+
+def test_delta_report(frame):
+    deltas = frame([("t/b", 3, 1, -2), ("t/a", 1, 2, 1)], "collection string, was bigint, now bigint, delta bigint")
+    lines = [r.line for r in sinks.delta_report(deltas, "r1", "r2").orderBy("section", "line_key").collect()]
+    assert lines[0] == "Release `r1` becomes `r2`."
+    assert lines[-2:] == ["| `t/a` | 1 | 2 | +1 |", "| `t/b` | 3 | 1 | -2 |"]
+    none = sinks.delta_report(deltas.where("delta > 9"), "r1", "r2")
+    assert none.orderBy("section", "line_key").collect()[-1].line == "No part count moved."
+
+
 def test_report_without_findings(frame, spark, tmp_path):
+    noted = sinks.report_lines(finding(frame, []), "t/c", note="Read in 3 seconds.")
+    assert [r.line for r in noted.orderBy("section", "line_key").collect()][2] == "Read in 3 seconds."
     lines = sinks.report_lines(finding(frame, []), "t/c")
     assert [r.line for r in lines.orderBy("section", "line_key").collect()] == ["### `t/c`", "", "No error-severity finding."]
     path = str(tmp_path / "report")
