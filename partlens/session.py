@@ -18,6 +18,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Recording the call site of every column expression costs more than planning does.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
