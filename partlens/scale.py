@@ -8,13 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from partlens.session import literal_rows
 
 HOT_KEYS = 1000
 HOT_ROWS = 1_000_000
-SALTS = 32
+MOST_SALTS = 65_536
 BLOCK_ROWS = 65_536
 
 
@@ -22,10 +22,12 @@ def heaviest(counted: DataFrame, keys: Sequence[str], rows: str, hot_rows: int =
     """The keys with the most rows: never more than ``HOT_KEYS``, whatever the input holds.
 
     A key outside this list holds less than a thousandth of all rows, so leaving it in
-    one shuffle partition is safe.
+    one shuffle partition is safe. ``salts`` is how many shares of about ``hot_rows`` rows
+    a listed key makes.
     """
-    many = counted.where(F.col(rows) >= hot_rows)
-    return many.orderBy(F.desc(rows), *keys).limit(HOT_KEYS).select(*keys)
+    many = counted.where(F.col(rows) >= hot_rows).orderBy(F.desc(rows), *keys).limit(HOT_KEYS)
+    shares = F.least(F.ceil(F.col(rows) / hot_rows) + 1, F.lit(MOST_SALTS))
+    return many.select(*keys, shares.cast("int").alias("salts"))
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -43,34 +45,30 @@ def salted_join(
     *,
     hot: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Equi-join where a few keys may hold most of ``left``.
 
     The heaviest keys, a list of fixed greatest length, are looked up first; without any
-    this is a plain join. Otherwise rows of a hot key spread over ``salts`` partitions by
-    a hash of ``salt_by`` (a stable hash, so a recomputed task lands rows where the first
-    one did), and only the matching rows of ``right`` are copied. ``how`` is a
+    this is a plain join. Otherwise the rows of a hot key spread over as many salts as the
+    key is heavy, by a hash of ``salt_by`` (a stable hash, so a recomputed task lands rows
+    where the first one did), and only its matches in ``right`` are copied. ``how`` is a
     left-preserving kind: inner, left, left_semi or left_anti. A caller that has counted
     the keys already passes the heaviest ones as ``hot``.
     """
     keys = list(keys)
     listed = hot_keys(left, keys, hot_rows) if hot is None else hot
-    found = listed.select(*keys).collect()
+    found = listed.select(*keys, "salts").collect()
     if not found:
         return left.join(right, keys, how)
-    fields = StructType([left.schema[k] for k in keys])
-    hot = F.broadcast(literal_rows(left.sparkSession, found, fields).withColumn("_hot", F.lit(True)))
-    # A null key matches nothing, so its rows may go anywhere.
+    fields = StructType([*(left.schema[k] for k in keys), StructField("_salts", IntegerType())])
+    hot = F.broadcast(literal_rows(left.sparkSession, found, fields))
+    # A null key matches nothing, so its rows may go anywhere and nothing is copied for them.
     no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
-    salt = F.when(
-        F.col("_hot") | no_key, F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
-    ).otherwise(F.lit(0))
-    copies = F.when(
-        F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))
-    ).otherwise(F.array(F.lit(0)))
-    spread = left.join(hot, keys, "left").withColumn("_salt", salt).drop("_hot")
-    copied = right.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    spread_over = F.when(no_key, F.lit(MOST_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
+    salt = F.pmod(F.xxhash64(*salt_by), spread_over).cast("int")
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    spread = left.join(hot, keys, "left").withColumn("_salt", salt).drop("_salts")
+    copied = right.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return spread.join(copied, [*keys, "_salt"], how).drop("_salt")
 
 

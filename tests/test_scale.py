@@ -21,7 +21,7 @@ def test_salted_join_equals_plain_join_for_a_hot_key(frame):
     right = frame([(k, f"v{k}") for k in range(0, 300, 2)] + [(1, "a"), (1, "b")], "k int, v string")
     for how in ("inner", "left", "left_semi", "left_anti"):
         plain = sorted(map(repr, left.join(right, ["k"], how).collect()))
-        salted = salted_join(left, right, ["k"], how, ["i"], hot_rows=50, salts=4)
+        salted = salted_join(left, right, ["k"], how, ["i"], hot_rows=50)
         assert sorted(map(repr, salted.collect())) == plain
 
 
@@ -31,7 +31,7 @@ def test_salted_join_spreads_a_hot_key(frame, spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        met = salted_join(left, right, ["k"], "inner", ["i"], hot_rows=100, salts=32)
+        met = salted_join(left, right, ["k"], "inner", ["i"], hot_rows=10)
         sizes = met.groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -44,6 +44,8 @@ def test_hot_keys_are_bounded(frame):
     rows = frame([(i % 1500,) for i in range(6000)], "k int")
     assert hot_keys(rows, ["k"], hot_rows=2).count() == 1000
     assert hot_keys(rows, ["k"], hot_rows=5).count() == 0
+    one = frame([(7,)] * 95 + [(8,)], "k int")
+    assert [(r.k, r.salts) for r in hot_keys(one, ["k"], hot_rows=10).collect()] == [(7, 11)]
 
 
 def test_running_last_matches_a_plain_loop(frame):
