@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from partlens.llm import exact, simhash
+from partlens.llm import bpe, exact, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -26,11 +28,28 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query("op4_substring_dedup")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.without_repeats(_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @_query("op5_simhash_near_dedup")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+@_query("op6_bpe_round_trip")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    found = bpe.round_trip(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return found.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @_query(
     "op8_exact_dedup",
     """
