@@ -3,18 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partlens.session import workspace
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-SPACE_SQL = r"[\x20\x09-\x0D]+"
-UPPER_TO_LOWER = {code: code + 32 for code in range(ord("A"), ord("Z") + 1)}
+WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
 BATCH_ROWS = 256
-MOST_ROUNDS_WARNING = 200
 
 
 def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
@@ -33,6 +29,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def words_of(text: str) -> list[bytes]:
+    """The words of a text, in UTF-8. No byte of a longer character looks like white space."""
+    return WORD_BYTES.findall(text.encode("utf-8", "surrogatepass"))
+
+
+def lower_words(text: str) -> list[bytes]:
+    """The words of a text with A-Z lower-cased, and no other letter."""
+    return WORD_BYTES.findall(text.encode("utf-8", "surrogatepass").lower())
+
+
 def text_of(name: str) -> Column:
     """The text of a row, null as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
@@ -82,8 +88,3 @@ def _mark(hooks: DataFrame) -> tuple:
     """How many links there are and a sum over them, to see whether a round changed any."""
     total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
     return tuple(hooks.agg(F.count(F.lit(1)), F.coalesce(total, F.lit(0))).first())
-
-
-def column_free(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Only the named columns: extra ones, whatever they are called, take no part."""
-    return df.select(*[F.col(f"`{name}`") for name in names])

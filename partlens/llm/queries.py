@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partlens.llm import bpe, exact, simhash, substrings
+from partlens.llm import bpe, exact, scoring, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -61,3 +61,8 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     found = exact.copies(_table(spark, folder, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@_query("op10_lm_score")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.scores(_table(spark, folder, "documents"))

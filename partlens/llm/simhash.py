@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partlens.llm.common import UPPER_TO_LOWER, WORD, bounded_batches, components, stored, text_of
+from partlens.llm.common import bounded_batches, components, lower_words, stored, text_of
 
 SHINGLE = 4
 SEED = 42
@@ -23,7 +23,7 @@ LANES = np.uint64(0x0101010101010101)
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     """The bits set in over half of the shingles' hashes, as a signed 64-bit integer."""
-    words = [w.encode("utf-8", "surrogatepass") for w in WORD.findall(text.translate(UPPER_TO_LOWER))]
+    words = lower_words(text)
     if not words:
         return 0
     line = b" ".join(words)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,14 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from partlens.llm.common import bounded_batches, text_of
+from partlens.llm.common import bounded_batches, text_of, words_of
 
 LEAST_WORDS = 50
 # Every difference modulo 31 is one of two members of this set.
 PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
 BLOCK_WORDS = 600_000
-BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -43,10 +41,6 @@ class _Powers:
 _POWERS = [_Powers(base) for base in BASES]
 
 
-def words_of(text: str) -> list[bytes]:
-    return BYTES.findall(text.encode("utf-8", "surrogatepass"))
-
-
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
