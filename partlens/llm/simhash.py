@@ -175,6 +175,7 @@ def near_duplicates(
     named = rooted.groupBy("root").agg(F.min("_first").alias("_component"))
     linked = rooted.join(named, "root").select("fingerprint", "_component")
     every = prints.join(linked, "fingerprint", "left").select("fingerprint", F.coalesce("_component", "_first").alias("component_id"))
-    return found.join(every, "fingerprint").select(
+    # Written first, so that both sides of the last join are plain shuffles and Spark can split a common fingerprint.
+    return found.join(stored(every, "classes"), "fingerprint").select(
         id_col, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
