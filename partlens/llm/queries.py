@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partlens.llm import bpe, exact, scoring, simhash, substrings
+from partlens.llm import bpe, exact, quality, scoring, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -28,6 +28,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query("op1_quality_classifier")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.scored(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 @_query("op4_substring_dedup")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.without_repeats(_table(spark, folder, "documents"))
