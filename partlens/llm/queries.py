@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partlens.llm import bpe, exact, quality, scoring, simhash, substrings
+from partlens.llm import bpe, exact, mainhtml, quality, scoring, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -68,6 +68,12 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@_query("op9_main_text")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    found = mainhtml.main_text(_table(spark, folder, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @_query("op10_lm_score")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.scores(_table(spark, folder, "documents"))
