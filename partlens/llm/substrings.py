@@ -134,21 +134,22 @@ def _near(hashes: np.ndarray, anchors, least: int) -> np.ndarray:
 def repeated_windows(candidates: DataFrame, least: int) -> DataFrame:
     """(_id, _windows): the windows of a document that start in a smaller document as well.
 
-    The windows around shared anchors are compared over their whole length by 128-bit
+    The windows around shared anchors are compared over their whole length by 96-bit
     hashes. A block sends a window once, for its smallest document.
     """
 
     def find(row):
         hashes = word_hashes(words_of(row[1]))
         starts = _near(hashes, row[2], least)
-        return [window_hashes(hashes, starts, least, which).view(np.int64) for which in (0, 1)], len(hashes)
+        one, two = (window_hashes(hashes, starts, least, which).view(np.int64) for which in (0, 1))
+        return [one, (two >> 32).astype(np.int32)], len(hashes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for (one, two), ids in _blocks(batches, find):
             at, first, _ = _settled([one, two], ids)
             yield pd.DataFrame({"_h": one[at], "_g": two[at], "_id": ids[at], "_later": ~first})
 
-    found = candidates.mapInPandas(run, "_h long, _g long, _id long, _later boolean")
+    found = candidates.mapInPandas(run, "_h long, _g int, _id long, _later boolean")
     same = W.partitionBy(_apart(F.col("_later"), F.col("_h"), F.col("_g")), "_g")
     later = found.withColumn("_first", F.min("_id").over(same)).where("_later OR _id > _first")
     return later.groupBy("_id").agg(F.collect_set("_h").alias("_windows"))
