@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partlens.llm import bpe, exact, mainhtml, quality, scoring, simhash, substrings
+from partlens.llm import bpe, exact, mainhtml, nearest, quality, scoring, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -77,3 +77,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op10_lm_score")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.scores(_table(spark, folder, "documents"))
+
+
+@_query("op7_nearest_vectors")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
