@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partlens.llm import bpe, exact, mainhtml, nearest, quality, scoring, simhash, substrings
+from partlens.llm import bpe, exact, mainhtml, nearest, packing, quality, scoring, simhash, substrings, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -82,3 +82,57 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op7_nearest_vectors")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@_query("op2_length_buckets")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.batches(_table(spark, folder, "documents"))
+
+
+_URL_KEY = r"""
+    regexp_replace(lower(regexp_extract({bare}, '^[^/?]*')), '^www[0-9]*\.|:(80|443)$', '', 'g')
+    || regexp_replace(regexp_extract({bare}, '^[^/?]*([^?]*)', 1), '/+$', '')
+    || coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(regexp_extract({bare}, '\?(.*)$', 1), '&'),
+         lambda p: p <> '' AND NOT regexp_matches(lower(p), '^(utm_[a-z]+|ref|fbclid|gclid|sessionid|sid)(=|$)'))), '&'), ''), '')
+"""
+
+
+# Headers are spelt out: what a revisit brings anew is put over the response's.
+_REVISITS = rf"""
+    WITH crawled AS (
+        SELECT page_id AS n, page_id * 60 + 1000000 AS made, coalesce(html, '') AS body,
+               regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^([A-Za-z][A-Za-z0-9+.-]*:)?//([^/?@]*@)?', '') AS bare
+        FROM pages),
+    r AS (
+        SELECT n, made, {_URL_KEY.format(bare="bare")} AS url_key, '"' || md5(body) || '"' AS tag, sha256(body) AS payload,
+               octet_length(encode(body)) AS size, made - n % 1000 AS modified
+        FROM crawled),
+    v AS (
+        SELECT n, url_key, CASE WHEN n % 17 = 0 THEN made - 864000000 ELSE made + 86400 END AS at,
+               CASE WHEN n % 11 = 0 OR n % 13 = 0 THEN NULL WHEN n % 7 = 0 THEN reverse(tag) ELSE tag END AS tag,
+               CASE WHEN n % 13 <> 0 THEN modified END AS modified
+        FROM r),
+    met AS (
+        SELECT v.*, r.n AS rn, r.tag AS rtag, r.modified AS rmodified, r.size, r.payload AS rpayload,
+               CASE WHEN r.n IS NULL THEN 'no earlier response' WHEN v.tag = r.tag THEN 'resolved'
+                    WHEN v.tag IS NOT NULL THEN 'validator differs' WHEN v.modified IS NULL THEN 'no validator'
+                    WHEN v.modified = r.modified THEN 'resolved' ELSE 'validator differs' END AS state
+        FROM v ASOF LEFT JOIN r ON v.url_key = r.url_key AND v.at > r.made)
+    SELECT 'v' || n AS record_id, url_key, at, state,
+           CASE WHEN state = 'resolved' THEN 'r' || rn END AS refers_to,
+           concat_ws(chr(10), 'cache-control: max-age=3600',
+               CASE WHEN state = 'resolved' THEN 'content-length: ' || size END,
+               CASE WHEN state = 'resolved' THEN 'content-type: text/html' ELSE 'content-type: text/plain' END,
+               'date: ' || at,
+               CASE WHEN tag IS NOT NULL THEN 'etag: W/' || tag WHEN state = 'resolved' THEN 'etag: ' || rtag END,
+               'expires: never',
+               'last-modified: ' || CASE WHEN state = 'resolved' THEN rmodified ELSE modified END) AS headers,
+           CASE WHEN state = 'resolved' THEN rpayload END AS payload
+    FROM met
+"""
+
+
+@_query("op3_warc_revisits", _REVISITS)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.resolve_revisits(warc.captures(_table(spark, folder, "pages")))
+    return found.withColumn("headers", warc.header_text(F.col("headers")))
