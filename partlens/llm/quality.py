@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partlens.llm.common import bounded_batches, crc_bucket, text_of, words_of
@@ -172,10 +172,25 @@ def scored(
     rows every score is 0.5. Labels that contradict each other are left out. An empty table
     gives no rows, and other columns take no part.
     """
+    score = scorer(docs, labels, id_col, text_col, label_col, folds, held, most_rows)
+    found = docs.select(F.col(id_col), (crc_bucket(id_col, folds) == held).alias("held_out"), score(text_of(text_col)).alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def scorer(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+    folds: int = 3,
+    held: int = 1,
+    most_rows: int = MOST_ROWS,
+) -> Callable[[Column], Column]:
+    """Learn from the labelled rows; a function from a text column to a score column."""
     spark = docs.sparkSession
     bounded_batches(spark)
     kind = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(id_col).alias("_id"), (crc_bucket(id_col, folds) == held).alias("_held"), text_of(text_col).alias("_text"))
 
     def indicators(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -184,20 +199,20 @@ def scored(
 
     # At most ``most_rows`` pairs of numbers, so the hint has a bound.
     chosen = F.broadcast(sample(docs, labels, id_col, label_col, folds, held, most_rows))
+    texts = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
     learnt = texts.join(chosen, "_id").select("_id", "_label", "_text").mapInPandas(indicators, f"_id {kind}, _label int, _found binary")
     got = sorted(learnt.collect(), key=lambda r: (r["_id"], bytes(r["_found"])))
     rows = [np.frombuffer(r["_found"], np.int32) for r in got]
     model = spark.sparkContext.broadcast(fit(rows, np.array([r["_label"] for r in got], np.int64)))
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         ratio, weights, bias = model.value
-        for batch in batches:
-            margin = np.zeros(len(batch))
-            for at, text in enumerate(batch["_text"]):
+        for texts in batches:
+            margin = np.zeros(len(texts))
+            for at, text in enumerate(texts):
                 row = features(text)
                 margin[at] = weights[row] @ scaled(row, ratio) + bias
-            share = 1.0 / (1.0 + np.exp(-np.clip(2.0 * margin, -700, 700)))
-            yield pd.DataFrame({"_id": batch["_id"], "held_out": batch["_held"], "score": share, "predicted": (share >= 0.5).astype(np.int32)})
+            yield pd.Series(1.0 / (1.0 + np.exp(-np.clip(2.0 * margin, -700, 700))))
 
-    schema = f"_id {kind}, held_out boolean, score double, predicted int"
-    return texts.mapInPandas(score, schema).withColumnRenamed("_id", id_col)
+    return score
