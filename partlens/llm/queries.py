@@ -33,7 +33,26 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return quality.scored(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
-@_query("op4_substring_dedup")
+@_query(
+    "op4_substring_dedup",
+    r"""
+    WITH texts AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    windows AS (
+        SELECT doc_id, s, md5(array_to_string(list_slice(words, s, s + 49), ' ')) AS h
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS s FROM texts)),
+    firsts AS (SELECT h, min(doc_id) AS first FROM windows GROUP BY h HAVING count(DISTINCT doc_id) > 1),
+    gone AS (
+        SELECT DISTINCT doc_id, s + k AS pos
+        FROM windows JOIN firsts USING (h), (SELECT unnest(range(50)) AS k) WHERE doc_id > first),
+    placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM texts),
+    kept AS (
+        SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS line, count(*) AS n
+        FROM placed ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+    SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(line, '')) AS kept_sha256
+    FROM texts LEFT JOIN kept USING (doc_id)
+    """,
+)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.without_repeats(_table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -108,7 +127,7 @@ _REVISITS = rf"""
                octet_length(encode(body)) AS size, made - n % 1000 AS modified
         FROM crawled),
     v AS (
-        SELECT n, url_key, CASE WHEN n % 17 = 0 THEN made - 864000000 ELSE made + 86400 END AS at,
+        SELECT n, url_key, CASE WHEN n % 17 = 0 THEN made - 864000000 ELSE made + 86400 END AS t,
                CASE WHEN n % 11 = 0 OR n % 13 = 0 THEN NULL WHEN n % 7 = 0 THEN reverse(tag) ELSE tag END AS tag,
                CASE WHEN n % 13 <> 0 THEN modified END AS modified
         FROM r),
@@ -117,13 +136,13 @@ _REVISITS = rf"""
                CASE WHEN r.n IS NULL THEN 'no earlier response' WHEN v.tag = r.tag THEN 'resolved'
                     WHEN v.tag IS NOT NULL THEN 'validator differs' WHEN v.modified IS NULL THEN 'no validator'
                     WHEN v.modified = r.modified THEN 'resolved' ELSE 'validator differs' END AS state
-        FROM v ASOF LEFT JOIN r ON v.url_key = r.url_key AND v.at > r.made)
-    SELECT 'v' || n AS record_id, url_key, at, state,
+        FROM v ASOF LEFT JOIN r ON v.url_key = r.url_key AND v.t > r.made)
+    SELECT 'v' || n AS record_id, url_key, t AS "at", state,
            CASE WHEN state = 'resolved' THEN 'r' || rn END AS refers_to,
            concat_ws(chr(10), 'cache-control: max-age=3600',
                CASE WHEN state = 'resolved' THEN 'content-length: ' || size END,
                CASE WHEN state = 'resolved' THEN 'content-type: text/html' ELSE 'content-type: text/plain' END,
-               'date: ' || at,
+               'date: ' || t,
                CASE WHEN tag IS NOT NULL THEN 'etag: W/' || tag WHEN state = 'resolved' THEN 'etag: ' || rtag END,
                'expires: never',
                'last-modified: ' || CASE WHEN state = 'resolved' THEN rmodified ELSE modified END) AS headers,
