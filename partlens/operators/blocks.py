@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partlens.scale import BLOCK_ROWS, HOT_ROWS, running_last, salted_join
+from partlens.scale import BLOCK_ROWS, running_last
 
 FENCE = "`" * 3
 
@@ -19,7 +19,7 @@ def lines_of(documents: DataFrame, key: str = "file_id", text: str = "text") ->
 
 
 def fenced_blocks(
-    lines: DataFrame, language: str = "sql", *, block_rows: int = BLOCK_ROWS, hot_rows: int = HOT_ROWS
+    lines: DataFrame, language: str = "sql", *, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Every closed fence of a language: (file_id, line_no of its opening, trimmed text).
 
@@ -43,7 +43,7 @@ def fenced_blocks(
     whole = F.concat_ws(
         "\n", F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda s: s["text"])
     )
-    kept = salted_join(body, closed, ["file_id", "start"], "left_semi", ["line_no"], hot_rows=hot_rows)
+    kept = body.join(closed, ["file_id", "start"], "left_semi")
     texts = kept.groupBy("file_id", "start").agg(whole.alias("whole"))
     return closed.join(texts, ["file_id", "start"], "left").select(
         "file_id",

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from itertools import count
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from partlens.functions.paths import is_data_file, is_remote, is_web, resolve
-from partlens.scale import HOT_ROWS, heaviest, salted_join
 from partlens.session import cut_lineage, literal_rows
 
 REMOTE_ASSETS = ("data", "visual")
@@ -51,68 +52,50 @@ def checked_links(links: DataFrame, *, is_asset: bool = False, light: bool = Fal
     return local.withColumn("target", resolve(F.col("path"), href)).withColumn("skipped", skipped)
 
 
-def broken_links(checked: DataFrame, paths: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
+def broken_links(checked: DataFrame, paths: DataFrame) -> DataFrame:
     """Checked links whose target is not among ``paths``.
 
     Targets are made distinct before they meet the paths: most documents link the same
     few targets, such as the root.
     """
     live = checked.where(~F.col("skipped"))
-    targets = live.groupBy("target").agg(F.count(F.lit(1)).alias("uses"))
-    missing = cut_lineage(targets.join(paths.select(F.col("path").alias("target")), "target", "left_anti"))
-    hot = heaviest(missing, ["target"], "uses", hot_rows)
-    salt_by = [c for c in live.columns if c not in ("target", "skipped")]
-    return salted_join(live, missing.select("target"), ["target"], "left_semi", salt_by, hot=hot).drop("skipped")
+    missing = live.select("target").distinct().join(paths.select(F.col("path").alias("target")), "target", "left_anti")
+    return live.join(missing, "target", "left_semi").drop("skipped")
 
 
 def link_report(checked: DataFrame, broken: DataFrame, nodes: DataFrame) -> DataFrame:
-    """One row: documents read, hrefs checked, hrefs skipped, hrefs broken."""
-    def count(df: DataFrame, name: str) -> DataFrame:
+    """One row each: documents read, hrefs checked, hrefs skipped, hrefs broken."""
+    seen = checked.agg(F.count_if(~F.col("skipped")).alias("checked"), F.count_if("skipped").alias("skipped"))
+    both = seen.select(F.explode(F.array(*(F.struct(F.lit(w).alias("what"), F.col(w).alias("n")) for w in ("checked", "skipped")))).alias("r"))
+
+    def total(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("what"), "n")
 
-    rows = (
-        count(nodes, "documents")
-        .unionByName(count(checked.where(~F.col("skipped")), "checked"))
-        .unionByName(count(checked.where("skipped"), "skipped"))
-        .unionByName(count(broken, "broken"))
-    )
-    return rows
+    return total(nodes, "documents").unionByName(both.select("r.what", "r.n")).unionByName(total(broken, "broken"))
 
 
-def walk(
-    links: DataFrame,
-    root: str,
-    rels: tuple[str, ...] = ("child", "item"),
-    max_depth: int = 64,
-    *,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def walk(links: DataFrame, root: str, rels: tuple[str, ...] = ("child", "item")) -> DataFrame:
     """Every document reachable from ``root`` over relative links, with its depth.
 
-    Each round joins the links on the paths reached last. One document may hold a third
-    of all links, so the links are the side that is spread. Reached paths are never
-    walked twice, so a loop ends.
+    Each round joins the links on the paths reached last, until it reaches none; reached
+    paths are never walked twice, so a loop ends. One document may hold a third of all
+    links; only they are large, and Spark splits them.
     """
     edges = (
         links.where(F.col("rel").isin(*rels) & ~is_remote(F.col("href")))
         .select("path", resolve(F.col("path"), F.col("href")).alias("target"))
         .distinct()
     )
-    edges = cut_lineage(edges)
-    reached = literal_rows(links.sparkSession, [(root, 0)], "path string, depth int")
-    frontier = reached
-    for depth in range(1, max_depth + 1):
-        step = salted_join(edges, frontier.select("path"), ["path"], "left_semi", ["target"], hot_rows=hot_rows)
-        frontier = cut_lineage(
-            step.select(F.col("target").alias("path"))
-            .distinct()
-            .join(reached.select("path"), "path", "left_anti")
-            .withColumn("depth", F.lit(depth))
-        )
-        if frontier.isEmpty():
+    edges = cut_lineage(edges, "edges")
+    reached = frontier = literal_rows(links.sparkSession, [(root, 0)], "path string, depth int")
+    for depth in count(1):
+        seen = Observation()
+        step = edges.join(frontier.select("path"), "path", "left_semi").select(F.col("target").alias("path")).distinct()
+        fresh = step.join(reached.select("path"), "path", "left_anti").withColumn("depth", F.lit(depth))
+        frontier = cut_lineage(fresh.observe(seen, F.count(F.lit(1)).alias("n")), "frontier", seen)
+        if not seen.get["n"]:
             return reached
         reached = reached.unionByName(frontier)
-    raise ValueError(f"the walk from {root!r} goes on below {max_depth} levels")
 
 
 def subset(nodes: DataFrame, links: DataFrame, theme: str, collection: str) -> DataFrame:

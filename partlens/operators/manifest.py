@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from partlens.functions.boxes import clamp_bbox
 from partlens.functions.paths import object_address, slug, theme_of, type_of
 from partlens.functions.text import human_title, plural, release_timestamp, thousands, title_from_slug
-from partlens.scale import salted_join
 from partlens.session import literal_rows
 
 ROW_GROUP_CAP = 150_000
@@ -53,19 +52,22 @@ def geometry_kinds(parts: DataFrame) -> DataFrame:
 
 
 def fingerprint(collections: DataFrame, parts: DataFrame, release: str, cap: int = ROW_GROUP_CAP) -> DataFrame:
-    """What a release states per collection: part count, licence, versions, largest row group."""
+    """What a release states per collection: part count, licence, versions, largest row group.
+
+    A collection that has lost its parts stays, with a part count of 0.
+    """
     facts = parts.groupBy("collection").agg(
         F.count(F.lit(1)).alias("items"),
         F.sort_array(F.collect_set("geoparquet_version")).alias("geoparquet"),
         F.max("max_row_group_rows").alias("max_row_group_rows"),
     )
-    return collections.select("collection", "columns", "license").join(facts, "collection").select(
+    return collections.select("collection", "columns", "license").join(facts, "collection", "left").select(
         F.lit(release).alias("release"),
         "collection",
         "columns",
-        "items",
+        F.coalesce("items", F.lit(0)).alias("items"),
         "license",
-        "geoparquet",
+        F.coalesce("geoparquet", F.array().cast("array<string>")).alias("geoparquet"),
         "max_row_group_rows",
         F.lit(cap).cast("bigint").alias("row_group_cap"),
     )
@@ -87,8 +89,7 @@ def theme_rollup(collections: DataFrame) -> DataFrame:
 def licence_groups(collections: DataFrame) -> DataFrame:
     """Every licence with its collections, one row each, and the size of the group."""
     sizes = collections.groupBy("license").agg(F.count(F.lit(1)).alias("collections"))
-    # One licence may cover most collections.
-    return salted_join(collections.select("license", "collection"), sizes, ["license"], "inner", ["collection"])
+    return collections.select("license", "collection").join(sizes, "license")
 
 
 def parts_per_collection(nodes: DataFrame, links: DataFrame, assets: DataFrame) -> DataFrame:
@@ -186,8 +187,7 @@ def single_part_rule(parts: DataFrame) -> DataFrame:
     """Where each part is published: on its collection when it is the only one, else as an item."""
     counts = parts.groupBy("collection").agg(F.count(F.lit(1)).alias("parts"))
     single = F.col("parts") == 1
-    # One collection may hold most parts.
-    placed = salted_join(parts.select("collection", "part_id", "rows"), counts, ["collection"], "inner", ["part_id"])
+    placed = parts.select("collection", "part_id", "rows").join(counts, "collection")
     return placed.select(
         "collection",
         "part_id",

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from partlens.functions.text import tidy
-from partlens.scale import BLOCK_ROWS, HOT_ROWS, running_last, salted_join
+from partlens.scale import BLOCK_ROWS, running_last
 from partlens.session import cut_lineage
 
-DEPTH = 12
+OWN = 2**31 - 1
 
 
 def table_columns(collections: DataFrame, meanings: DataFrame) -> DataFrame:
@@ -23,85 +23,96 @@ def table_columns(collections: DataFrame, meanings: DataFrame) -> DataFrame:
     )
 
 
-def resolve_references(
-    nodes: DataFrame,
-    fields: Sequence[str],
-    depth: int = DEPTH,
-    *,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Follow ``ref`` from every node, a key set nearer to the node winning.
+def resolve_references(nodes: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Follow ``ref`` from every node to the end of its chain, a key set nearer to the node winning.
 
-    ``nodes`` is (node, ref, …fields). A chain is followed through ``depth`` + 1
-    references and no further; a target that is not a node ends it. Rounds double the
-    distance a pointer spans, so a chain of thirteen takes four joins, and each round is
-    written out before the next. Many nodes may share one target, so the hot targets of
-    a round are spread over the tasks.
+    ``nodes`` is (node, ref, …fields). A target that is not a node ends a chain. Each round
+    doubles the distance a pointer spans, so a chain of a million takes twenty; the rounds
+    end when no pointer is left. In a cycle every node has been seen once the distance
+    exceeds the number of nodes, and :func:`reference_cycles` names those nodes.
     """
-    types = {f: nodes.schema[f].dataType for f in fields}
-    jump = nodes.select("node", F.col("ref").alias("ptr"), *fields)
-    walker = nodes.select(
-        "node", F.col("node").alias("at"), *(F.lit(None).cast(types[f]).alias(f) for f in fields)
-    )
-    # Each step looks at one node: the start and depth + 1 targets. Binary digits of that
-    # number say which window lengths (1, 2, 4, ...) a walker takes.
-    steps = depth + 2
-    while steps:
-        if steps % 2:
-            walker = cut_lineage(_advance(walker, jump, fields, hot_rows))
-        steps //= 2
-        if steps:
-            jump = cut_lineage(_double(jump, fields, hot_rows))
-    return walker.select("node", *fields)
-
-
-def _advance(walker: DataFrame, jump: DataFrame, fields: Sequence[str], hot_rows: int) -> DataFrame:
-    """Move every walker over one window of references, keeping what it already holds."""
-    hop = jump.select(
-        F.col("node").alias("at"), F.col("ptr").alias("_next"), *(F.col(f).alias(f"_{f}") for f in fields)
-    )
-    return salted_join(walker, hop, ["at"], "left", ["node"], hot_rows=hot_rows).select(
-        "node", F.col("_next").alias("at"), *(F.coalesce(f, f"_{f}").alias(f) for f in fields)
-    )
-
-
-def _double(jump: DataFrame, fields: Sequence[str], hot_rows: int) -> DataFrame:
-    """Windows twice as long: each followed by the window its pointer leads to."""
-    hop = jump.select(
-        F.col("node").alias("ptr"), F.col("ptr").alias("_next"), *(F.col(f).alias(f"_{f}") for f in fields)
-    )
-    return salted_join(jump, hop, ["ptr"], "left", ["node"], hot_rows=hot_rows).select(
-        "node", F.col("_next").alias("ptr"), *(F.coalesce(f, f"_{f}").alias(f) for f in fields)
-    )
+    return _chased(nodes, fields).select("node", *fields)
+
+
+def reference_cycles(nodes: DataFrame) -> DataFrame:
+    """The nodes whose chain of references never ends: those on a cycle or leading into one."""
+    return _chased(nodes, []).where(F.col("ptr").isNotNull()).select("node")
+
+
+def _chased(nodes: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """(node, ptr, …fields) after the last round; a pointer is left only where a chain never ends."""
+    state = nodes.select("node", F.col("ref").alias("ptr"), *fields)
+    total = None
+    span = 1
+    while total is None or span <= total:
+        seen = Observation()
+        counts = [F.count(F.lit(1)).alias("rows"), F.count("ptr").alias("open")]
+        hop = state.select(F.col("node").alias("ptr"), F.col("ptr").alias("_next"), *(F.col(f).alias(f"_{f}") for f in fields))
+        # Many nodes may share one target: Spark splits a pointer that is common.
+        moved = state.join(hop, ["ptr"], "left").select(
+            "node", F.col("_next").alias("ptr"), *(F.coalesce(f, f"_{f}").alias(f) for f in fields)
+        )
+        state = cut_lineage(moved.observe(seen, *counts), "chase", seen)
+        span *= 2
+        total = seen.get["rows"]
+        if not seen.get["open"]:
+            break
+    return state
 
 
-def flatten_properties(
-    members: DataFrame, properties: DataFrame, depth: int = DEPTH, *, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def flatten_properties(members: DataFrame, properties: DataFrame) -> DataFrame:
     """All properties of every node, those of its containers included.
 
     ``members`` is (node, ordinal, member), ordinals counting the allOf members first
     and the oneOf members after them; ``properties`` is (node, name, value). A later
-    member wins over an earlier one and a node's own property over both, at every
-    level. The walk goes ``depth`` levels down.
+    member wins over an earlier one and a node's own property over both, at every level.
     """
-    own = F.lit(2**31 - 1).cast("int")
     names = properties.select(F.col("node").alias("at"), "name", "value")
-    down = members.select(F.col("node").alias("at"), "ordinal", "member")
-    level = members.select("node", F.array(F.col("ordinal").cast("int")).alias("key"), F.col("member").alias("at"))
-    found = properties.select("node", F.array(own).alias("key"), "name", "value")
-    for _ in range(depth):
-        level = cut_lineage(level)
-        if level.isEmpty():
-            break
-        held = salted_join(level, names, ["at"], "inner", ["node", "key"], hot_rows=hot_rows)
-        found = found.unionByName(held.select("node", F.concat("key", F.array(own)).alias("key"), "name", "value"))
-        level = salted_join(level, down, ["at"], "inner", ["node", "key"], hot_rows=hot_rows).select(
-            "node", F.concat("key", F.array(F.col("ordinal").cast("int"))).alias("key"), F.col("member").alias("at")
-        )
-    # Keys order like the merge: a later member is larger, a node's own entry the largest.
+    itself = properties.select("node", F.col("node").alias("at"), F.array(_own()).alias("key")).distinct()
+    reached = itself.unionByName(containers(members))
     best = F.max(F.struct("key", "value")).alias("best")
-    return found.groupBy("node", "name").agg(best).select("node", "name", F.col("best.value").alias("value"))
+    return (
+        reached.join(names, "at").groupBy("node", "name").agg(best).select("node", "name", F.col("best.value").alias("value"))
+    )
+
+
+def containers(members: DataFrame) -> DataFrame:
+    """(node, at, key): every container ``at`` that a node reaches, once, by its winning way.
+
+    Keys order like the merge: a later member is larger, and a node's own entry, which ends
+    every key, the largest. A smaller key never wins, so of several ways to a container only
+    the one with the largest key is kept. Each round joins the ways found so far end to
+    end, which doubles their length, and the rounds end when none gets better. A node that
+    reaches itself lies on a cycle; see :func:`container_cycles`.
+    """
+    ways = _best(members.select("node", F.col("member").alias("at"), F.array(F.col("ordinal").cast("int"), _own()).alias("key")))
+    ways = cut_lineage(ways, "ways")
+    while True:
+        seen = Observation()
+        first = ways.select("node", F.col("at").alias("_via"), F.slice("key", F.lit(1), F.size("key") - 1).alias("_start"))
+        then = ways.select(F.col("node").alias("_via"), "at", F.col("key").alias("_end"))
+        longer = first.join(then, "_via").select("node", "at", F.concat("_start", "_end").alias("key"))
+        both = ways.withColumn("_old", F.lit(True)).unionByName(longer.withColumn("_old", F.lit(False)))
+        chosen = both.groupBy("node", "at").agg(F.max(F.struct("key", "_old")).alias("b"))
+        better = chosen.select("node", "at", "b.key", F.col("b._old").alias("_old"))
+        better = better.observe(seen, F.count_if(~F.col("_old")).alias("new"))
+        ways = cut_lineage(better.drop("_old"), "ways", seen)
+        if not seen.get["new"]:
+            return ways
+
+
+def container_cycles(members: DataFrame) -> DataFrame:
+    """The nodes that contain themselves, over however many levels."""
+    return containers(members).where(F.col("node") == F.col("at")).select("node")
+
+
+def _own() -> Column:
+    """What ends every key: larger than any ordinal."""
+    return F.lit(OWN).cast("int")
+
+
+def _best(ways: DataFrame) -> DataFrame:
+    return ways.groupBy("node", "at").agg(F.max("key").alias("key"))
 
 
 # The forms of a list item and of a comment line.
@@ -151,10 +162,8 @@ def enum_descriptions(enums: DataFrame, file_comments: DataFrame, theme_comments
     by_file = file_comments.select("collection", "value", F.col("comment").alias("_file"))
     by_theme = theme_comments.select("theme", "value", F.col("comment").alias("_theme"))
     filed = enums.join(by_file, ["collection", "value"], "left")
-    # A value may occur in most collections of a theme, a column name in most collections.
-    salt_by = [c for c in enums.columns if c not in ("theme", "value")]
     return (
-        salted_join(filed, by_theme, ["theme", "value"], "left", salt_by)
+        filed.join(by_theme, ["theme", "value"], "left")
         .withColumn("description", tidy(F.coalesce("_theme", "_file")))
         .drop("_file", "_theme")
     )
@@ -173,8 +182,7 @@ def described_columns(
     mine = per_collection.select("collection", "column", filled("description").alias("_mine"))
     any_ = shared.select("column", filled("description").alias("_shared"))
     here = columns.join(own, ["collection", "column"], "left").join(mine, ["collection", "column"], "left")
-    # Most collections share column names such as the identifier's.
-    joined = salted_join(here, any_, ["column"], "left", ["collection"])
+    joined = here.join(any_, ["column"], "left")
     text = F.coalesce("_schema", "_mine", "_shared")
     return joined.select(
         *columns.columns,
@@ -200,7 +208,7 @@ def undocumented(columns: DataFrame) -> DataFrame:
 def known_issues(collections: DataFrame, issues: DataFrame, sampled: DataFrame, sampled_note: str) -> DataFrame:
     """Every note on a collection, one row each: its listed issues, then the sampling note."""
     known = collections.select("collection")
-    listed = salted_join(issues, known, ["collection"], "left_semi", ["position"]).select("collection", "position", "note")
+    listed = issues.join(known, ["collection"], "left_semi").select("collection", "position", "note")
     noted = known.join(sampled.select("collection").distinct(), "collection", "left_semi")
     after = F.lit(2**31 - 1).cast("int")
     return listed.unionByName(noted.select("collection", after.alias("position"), F.lit(sampled_note).alias("note")))

@@ -39,16 +39,20 @@ FALLBACK_COLOUR = "#9e9e9e"
 
 TEXT, NUMERIC, OTHER = "text", "numeric", "other"
 BITMAP_SLOTS = 32_768
+EXACT = 2**53
 
 
 @dataclass(frozen=True)
 class Rules:
-    """Thresholds of the profile. Every bound itself passes."""
+    """Thresholds of the profile. Every bound itself passes.
+
+    They decide verdicts only: no candidate, value or count is left out for them, except
+    that the values of a column with over ``max_distinct`` of them are not counted.
+    """
 
     min_values: int = 3
     max_values: int = 10
     max_distinct: int = 40
-    candidates: int = 3
     max_dominance: float = 0.90
     min_coverage: float = 0.80
     min_populated: float = 0.50
@@ -86,6 +90,7 @@ class Survey:
 
     rows: int
     few: list[str]
+    sketched: dict[str, int]
 
 
 def survey(df: DataFrame, columns: Sequence[str], limit: int) -> Survey:
@@ -93,31 +98,39 @@ def survey(df: DataFrame, columns: Sequence[str], limit: int) -> Survey:
 
     One pass. Each value sets one of 32,768 bits. Set bits never outnumber distinct
     values, so a column with more than ``limit`` bits is surely over the limit and need
-    not be counted; the columns returned here still are. One row comes back, whatever the
-    size of ``df``, and an identifier column is never shuffled.
+    not be counted; the columns returned here still are. A sketch says how many values each
+    column holds, about. One row comes back, whatever the size of ``df``, and an identifier
+    column is never shuffled.
     """
     slot = lambda c: F.when(
         F.col(c).isNotNull(), F.pmod(F.xxhash64(F.col(c)), F.lit(BITMAP_SLOTS))
     )
     seen = df.agg(
         F.count(F.lit(1)).alias("_rows"),
-        *(F.bitmap_count(F.bitmap_construct_agg(slot(c))).alias(c) for c in columns),
+        *(F.bitmap_count(F.bitmap_construct_agg(slot(c))).alias(f"b{i}") for i, c in enumerate(columns)),
+        *(F.approx_count_distinct(c).alias(f"s{i}") for i, c in enumerate(columns)),
     ).first()
-    return Survey(seen["_rows"], [c for c in columns if seen[c] <= limit])
+    few = [c for i, c in enumerate(columns) if seen[f"b{i}"] <= limit]
+    return Survey(seen["_rows"], few, {c: seen[f"s{i}"] for i, c in enumerate(columns)})
 
 
 def unpivot(df: DataFrame, keep: Sequence[str], kinds: Mapping[str, str], columns: Sequence[str]) -> DataFrame:
     """(…keep, slot, text, number) per non-null value, ``slot`` counting ``columns`` from 0.
 
-    A number in place of the column's name keeps the rows that are grouped next narrow.
+    A number in place of the column's name keeps the rows that are grouped next narrow. An
+    integer that a double cannot hold exactly has its digits in ``text`` as well, so that
+    long identifiers stay apart.
     """
+    whole = lambda c: isinstance(df.schema[c].dataType, T.LongType)
+    digits = lambda c: F.when(~F.col(c).between(-EXACT, EXACT), F.col(c).cast("string"))
+    none_text = F.lit(None).cast("string")
     if not columns:
         none = literal_rows(df.sparkSession, [], "slot int, text string, number double")
         return none.select(*(F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keep), "*")
     cells = [
         F.struct(
             F.lit(slot).alias("slot"),
-            (F.col(c) if kinds[c] == TEXT else F.lit(None).cast("string")).alias("text"),
+            (F.col(c) if kinds[c] == TEXT else digits(c) if whole(c) and kinds[c] == NUMERIC else none_text).alias("text"),
             (F.col(c).cast("double") if kinds[c] == NUMERIC else F.lit(None).cast("double")).alias("number"),
         )
         for slot, c in enumerate(columns)
@@ -192,22 +205,27 @@ def top_values(totals: DataFrame, k: int) -> DataFrame:
     The rank filter runs on every task before the shuffle, so at most k rows per
     column and task meet.
     """
+    return _ranked(totals).where(F.col("position") <= k)
+
+
+def _ranked(totals: DataFrame) -> DataFrame:
+    """``totals`` with the position of each value in its column, the most frequent first."""
     order = W.partitionBy("column").orderBy(F.desc("n"), "text", "number")
-    return totals.withColumn("position", F.row_number().over(order)).where(F.col("position") <= k)
+    return totals.withColumn("position", F.row_number().over(order))
 
 
 def metrics(totals: DataFrame, sampled_rows: int | Column, k: int = RULES.max_values) -> DataFrame:
     """Dominance, coverage, score and populated share per column."""
-    whole = totals.groupBy("column", "kind").agg(F.sum("n").alias("total"))
-    top = (
-        top_values(totals, k)
-        .groupBy("column")
-        .agg(F.max("n").alias("top_n"), F.sum("n").alias("covered"))
+    ranked = _ranked(totals)
+    whole = ranked.groupBy("column", "kind").agg(
+        F.sum("n").alias("total"),
+        F.max("n").alias("top_n"),
+        F.sum(F.when(F.col("position") <= k, F.col("n"))).alias("covered"),
     )
     rows = F.lit(sampled_rows) if isinstance(sampled_rows, int) else sampled_rows
     dominance = F.col("top_n") / F.col("total")
     coverage = F.col("covered") / F.col("total")
-    return whole.join(top, "column").select(
+    return whole.select(
         "column",
         "kind",
         "total",
@@ -224,24 +242,23 @@ def screen(
     scopes: int,
     rules: Rules = RULES,
     over_limit: Sequence[str] = (),
+    sketched: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """One row per column: verdict, and the rank of those that pass.
 
     ``over_limit`` names columns already known to exceed the limit and left out of
-    ``counts``. A distinct count above the limit is reported as the limit plus one,
-    the point where reading on could not change the verdict.
+    ``counts``. Their ``distinct_seen`` and ``recurring`` are null; ``distinct_sketch`` says
+    about how many values any column holds.
     """
-    schema = "column string, kind string, ordinal int, over boolean"
-    rows = [(c, kind, i, c in over_limit) for i, (c, kind) in enumerate(kinds.items())]
+    schema = "column string, kind string, ordinal int, over boolean, distinct_sketch bigint"
+    rows = [(c, kind, i, c in over_limit, (sketched or {}).get(c)) for i, (c, kind) in enumerate(kinds.items())]
     listed = literal_rows(counts.sparkSession, rows, schema)
     cap = F.when(F.col("kind") == NUMERIC, rules.max_values).otherwise(rules.max_distinct)
     seen = listed.join(recurrence(counts, scopes).drop("kind"), "column", "left").withColumn(
-        "distinct_seen",
-        F.when(F.col("over"), F.lit(rules.max_distinct + 1).cast("bigint")).otherwise(
-            F.least(F.coalesce("n_distinct", F.lit(0)), F.lit(rules.max_distinct + 1))
-        ),
+        "distinct_seen", F.when(~F.col("over"), F.coalesce("n_distinct", F.lit(0)))
     )
-    size, again = F.col("distinct_seen"), F.coalesce("recurring", F.lit(0))
+    # A column that was not counted holds more than any bound.
+    size, again = F.coalesce("distinct_seen", F.lit(2**62)), F.coalesce("recurring", F.lit(0))
     numeric = F.col("kind") == NUMERIC
     verdict = (
         F.when(size == 0, "no comparable value")
@@ -262,7 +279,8 @@ def screen(
         "column",
         "kind",
         "ordinal",
-        size.alias("distinct_seen"),
+        "distinct_seen",
+        "distinct_sketch",
         F.when(F.col("over"), F.lit(None)).otherwise(again).cast("bigint").alias("recurring"),
         "verdict",
         "rank",
@@ -270,7 +288,7 @@ def screen(
 
 
 def measure(screened: DataFrame, measured: DataFrame, rules: Rules = RULES) -> DataFrame:
-    """Metrics of the best-ranked candidates of each kind, with both verdicts.
+    """Metrics of all candidates, with both verdicts.
 
     The populated share always counts. Dominance and, for text, coverage only decide
     the strict verdict; the relaxed one ignores them.
@@ -279,7 +297,7 @@ def measure(screened: DataFrame, measured: DataFrame, rules: Rules = RULES) -> D
     even = F.col("dominance") <= rules.max_dominance
     covers = (F.col("kind") == NUMERIC) | (F.col("coverage") >= rules.min_coverage)
     return (
-        screened.where(F.col("rank") <= rules.candidates)
+        screened.where(F.col("rank").isNotNull())
         .join(measured.drop("kind"), "column")
         .withColumn("relaxed_ok", populated)
         .withColumn("strict_ok", populated & even & covers)
@@ -308,7 +326,7 @@ def choose(measured: DataFrame, preferred: str | None = None) -> DataFrame:
     )
     staged = measured.withColumn("stage", stage).where(F.col("stage").isNotNull())
     lead = F.lit(False) if preferred is None else (F.col("column") == preferred) & (F.col("stage") == 1)
-    # At most twice `rules.candidates` rows reach this point.
+    # A row per candidate column.
     best = W.orderBy("stage").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     order = W.partitionBy("stage").orderBy(
         F.when(lead, 0).otherwise(1), F.when(text, -F.col("score")).otherwise(F.lit(0.0)), "rank"
@@ -372,7 +390,7 @@ def palettes_with_fallback(palettes: DataFrame, fallback: str = FALLBACK_COLOUR)
 
 
 def step_legend(values: DataFrame, palette: Sequence[str]) -> DataFrame:
-    """Ordered breaks of the (at most ten) top values of a numeric column.
+    """Ordered breaks of the values of a numeric column.
 
     The first colour paints everything below the second break, so the first break has
     no lower edge.
@@ -390,7 +408,8 @@ def step_legend(values: DataFrame, palette: Sequence[str]) -> DataFrame:
 
 @dataclass
 class Legend:
-    """What the profile of one table settled on. Every list is short by the rules."""
+    """What the profile of one table settled on. A value list has at most as many values as the
+    rules let a candidate hold, the other lists at most a name per column or window."""
 
     column: str | None
     expression: str
@@ -436,8 +455,7 @@ def profile(
     """Screen, measure and choose over one scope.
 
     Two passes over the sample: one row of bitmaps decides which columns are worth
-    counting, then only those are read and counted. All later stages work on at most
-    41 values per column and window.
+    counting, then only those are read and counted. All later stages work on those counts.
     """
     kinds = column_kinds(features, skip)
     kinds.pop("window", None)
@@ -445,22 +463,20 @@ def profile(
     comparable = _comparable(kinds)
     seen = survey(sampled, comparable, rules.max_distinct)
     over = [c for c in comparable if c not in seen.few]
-    # Everything below reads these rows and not the sample. They are few: the columns left
-    # hold some forty values each, so one partition saves every later shuffle.
-    counts = cut_lineage(value_counts(sampled, kinds, seen.few)).coalesce(1)
+    # Everything below reads these rows and not the sample.
+    counts = cut_lineage(value_counts(sampled, kinds, seen.few), "counts")
     totals = total_counts(counts)
-    screened = screen(counts, kinds, len(scope.names), rules, over)
+    screened = screen(counts, kinds, len(scope.names), rules, over, seen.sketched)
     measured = measure(screened, metrics(totals, seen.rows, rules.max_values), rules)
     chosen = choose(measured, preferred)
-    values = top_values(totals, rules.max_values).join(chosen.select("column", "place", "stage"), "column")
+    values = _ranked(totals).join(chosen.select("column", "place", "stage"), "column")
     return Profile(sampled, kinds, counts, screened, measured, chosen, values)
 
 
 def build_legend(prof: Profile, scope: Scope, polygons: bool, rules: Rules = RULES) -> Legend:
     """The legend of one table, its values confirmed by a second read.
 
-    Brings back the chosen candidates (at most ``rules.candidates``) and their values
-    (at most ``rules.max_values`` each).
+    Brings back the chosen columns and their values, at most ``rules.max_distinct`` each.
     """
     chosen = prof.chosen.orderBy("place").collect()
     note = (
@@ -516,15 +532,8 @@ def sampled_tables(legends: DataFrame) -> DataFrame:
     return legends.where(~F.col("exhaustive") & (F.size("values") > 0)).select("collection")
 
 
-def coded_columns(meanings: DataFrame, shown: int = 12) -> DataFrame:
-    """The first values of every coded column, and how many more there are."""
-    values = F.transform("enum", lambda v: F.concat(F.lit("`"), v["value"], F.lit("`")))
-    more = F.size("enum") - shown
-    return meanings.where(F.size("enum") > 0).select(
-        "collection",
-        "column",
-        F.concat(
-            F.concat_ws(", ", F.slice(values, 1, shown)),
-            F.when(more > 0, F.format_string(", and %d more", more)).otherwise(F.lit("")),
-        ).alias("rendered"),
+def coded_columns(meanings: DataFrame) -> DataFrame:
+    """Every value of every coded column, in order, a row each."""
+    return meanings.select("collection", "column", F.posexplode("enum").alias("position", "code")).select(
+        "collection", "column", "position", F.concat(F.lit("`"), "code.value", F.lit("`")).alias("rendered")
     )

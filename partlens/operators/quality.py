@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from partlens.functions.text import is_final_version, version_literal, version_of
 from partlens.operators.manifest import ROW_GROUP_CAP
-from partlens.scale import salted_join
 
 BLANK_TOLERANCE = 1.15
 
@@ -73,8 +72,7 @@ def spatial_order(groups: DataFrame, threshold: float = 0.5) -> DataFrame:
 def gate(findings: DataFrame, accepted: DataFrame) -> DataFrame:
     """Findings with a disposition: waived by an accepted rule, blocking, or a note."""
     rules = accepted.select("rule_id").distinct().withColumn("_accepted", F.lit(True))
-    # One rule may report most findings.
-    matched = salted_join(findings, rules, ["rule_id"], "left", ["path", "message"])
+    matched = findings.join(rules, "rule_id", "left")
     return matched.withColumn(
         "disposition",
         F.when(F.col("_accepted"), "waived")

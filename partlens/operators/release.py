@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partlens.operators.manifest import ROW_GROUP_CAP
-from partlens.scale import salted_join
 
 
 def appeared_or_gone(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -37,7 +36,7 @@ def column_changes(old_columns: DataFrame, new_columns: DataFrame) -> DataFrame:
     """
     shared = in_both(old_columns, new_columns, ["collection"])
     moved = appeared_or_gone(old_columns, new_columns, ["collection", "column"])
-    return salted_join(moved, shared, ["collection"], "left_semi", ["column"])
+    return moved.join(shared, "collection", "left_semi")
 
 
 def cap_of(row_group_cap: Column, default_cap: int = ROW_GROUP_CAP) -> Column:
@@ -98,10 +97,7 @@ def compare(
         )
     )
     moved = appeared_or_gone(old_columns, new_columns, ["collection", "column"])
-    # One collection may hold most columns.
-    of_columns = salted_join(
-        moved, met.where(both).select("collection"), ["collection"], "left_semi", ["column"]
-    ).select(
+    of_columns = moved.join(met.where(both).select("collection"), "collection", "left_semi").select(
         "collection", F.concat(F.lit("column "), "change").alias("rule"), c("column").alias("subject"),
         text(None).alias("was"), text(None).alias("now"), F.lit(True).alias("blocking"),
     )

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from partlens.functions.boxes import Box, axis_limit, clamp_bbox, overlaps
 from partlens.scale import HOT_ROWS, salted_join
 
-FULL_SCAN_ROWS = 10_000_000
-CELL_DEGREES = 10.0
+WIDEST_CELL = 10.0
+NARROWEST_CELL = 1 / 256
 
 
 @dataclass(frozen=True)
@@ -50,34 +50,31 @@ def window_parts(parts: DataFrame, windows: Sequence[Box], bbox: str = "bbox") -
     return parts.withColumn("window", F.explode(hits))
 
 
-def scan_scopes(
-    parts: DataFrame, windows: Sequence[Box], limit: int = FULL_SCAN_ROWS, bbox: str = "bbox"
-) -> DataFrame:
-    """Per collection: one scope "all" up to ``limit`` rows, else a scope per window with a part."""
-    size = parts.groupBy("collection").agg(F.sum("rows").alias("rows"))
-    small = size.where(F.col("rows") <= limit).select(
-        "collection", F.lit("all").alias("scope"), "rows", F.lit(True).alias("exhaustive")
-    )
-    large = size.where(F.col("rows") > limit)
-    met = window_parts(parts, windows, bbox).groupBy("collection", "window").agg(F.count(F.lit(1)).alias("parts"))
-    return small.unionByName(
-        large.join(met, "collection").select(
-            "collection",
-            F.col("window").alias("scope"),
-            "rows",
-            F.lit(False).alias("exhaustive"),
-        )
+def scan_scopes(parts: DataFrame, windows: Sequence[Box], bbox: str = "bbox") -> DataFrame:
+    """Per collection: the scope "all", or with ``windows`` a scope for each with the parts it meets.
+
+    Every collection has a row for every scope. One with 0 parts has nothing to sample there.
+    """
+    size = parts.groupBy("collection").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("parts"))
+    if not windows:
+        return size.select("collection", F.lit("all").alias("scope"), "rows", "parts", F.lit(True).alias("exhaustive"))
+    met = window_parts(parts, windows, bbox).groupBy("collection", F.col("window").alias("scope")).agg(F.count(F.lit(1)).alias("parts"))
+    every = size.select("collection", "rows", F.explode(F.array(*(F.lit(w.name) for w in windows))).alias("scope"))
+    return every.join(met, ["collection", "scope"], "left").select(
+        "collection", "scope", "rows", F.coalesce("parts", F.lit(0)).alias("parts"), F.lit(False).alias("exhaustive")
     )
 
 
-def plan_scope(
-    parts: DataFrame, windows: Sequence[Box], limit: int = FULL_SCAN_ROWS, bbox: str = "bbox"
-) -> Scope:
-    """The scope of one collection; brings back one count and at most one name per window."""
-    total = parts.agg(F.sum("rows").alias("rows")).first()["rows"] or 0
-    if total <= limit:
+def plan_scope(parts: DataFrame, windows: Sequence[Box] = (), bbox: str = "bbox") -> Scope:
+    """The scope of one collection: every row, or the rows in those ``windows`` that meet a part.
+
+    The caller says which; a table's size does not. Brings back at most one name per window.
+    """
+    if not windows:
         return Scope(True, ())
     met = {r["window"] for r in window_parts(parts, windows, bbox).select("window").distinct().collect()}
+    if not met:
+        raise ValueError("no part meets any of the windows: there is nothing to sample")
     return Scope(False, tuple(w for w in windows if w.name in met))
 
 
@@ -90,7 +87,7 @@ def sample(features: DataFrame, scope: Scope, bbox: str = "bbox") -> DataFrame:
     if scope.exhaustive:
         return features.withColumn("window", F.lit("all"))
     if not scope.windows:
-        return features.where(F.lit(False)).withColumn("window", F.lit(""))
+        raise ValueError("a sample needs windows")
     inside = features.where(any_window(bbox, scope.windows))
     return window_parts(inside, scope.windows, bbox)
 
@@ -107,24 +104,37 @@ def _cells(df: DataFrame, xmin: str, ymin: str, xmax: str, ymax: str, cell: floa
     return df.withColumn("_cx", F.explode(across)).withColumn("_cy", F.explode(up))
 
 
+def _mean_extent(df: DataFrame, bbox: str) -> float:
+    """The mean of the longer side of the boxes, in degrees; 0 without boxes."""
+    b = F.col(bbox)
+    side = F.greatest(b.xmax - b.xmin, b.ymax - b.ymin)
+    return df.agg(F.avg(F.when(side.between(0, 360), side)).alias("mean")).first()["mean"] or 0.0
+
+
 def overlap_join(
     features: DataFrame,
     windows: DataFrame,
     *,
     salt_by: Sequence[str],
+    window_salt_by: Sequence[str] | None = None,
     bbox: str = "bbox",
     window_bbox: str = "window_bbox",
-    cell: float = CELL_DEGREES,
+    cell: float | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Every (feature, window) pair that strictly overlaps, for a window table of any size.
 
     Both sides go onto a grid and meet by equality on the cell, so no pair is formed
-    outside a shared cell; a crowded cell is spread by ``salt_by``. A pair that shares
+    outside a shared cell. Without ``cell`` its size follows the mean extent of the boxes, at
+    the cost of a pass over them. A crowded cell is spread over the product of the shares
+    that features (by ``salt_by``) and windows (by ``window_salt_by``) make in it. A pair that shares
     several cells is kept in one of them only, the one holding the larger of the two
     lower-left corners, which both boxes cover whenever they overlap.
     """
     b, w = F.col(bbox), F.col(window_bbox)
+    if cell is None:
+        cell = max(_mean_extent(features, bbox), _mean_extent(windows, window_bbox))
+        cell = min(max(cell, NARROWEST_CELL), WIDEST_CELL)
     left = _cells(
         features.where(b.xmin.isNotNull() & b.ymin.isNotNull() & b.xmax.isNotNull() & b.ymax.isNotNull()),
         f"{bbox}.xmin", f"{bbox}.ymin", f"{bbox}.xmax", f"{bbox}.ymax", cell,
@@ -132,7 +142,8 @@ def overlap_join(
     right = _cells(
         windows, f"{window_bbox}.xmin", f"{window_bbox}.ymin", f"{window_bbox}.xmax", f"{window_bbox}.ymax", cell
     )
-    met = salted_join(left, right, ["_cx", "_cy"], "inner", salt_by, hot_rows=hot_rows)
+    by = window_salt_by or [c for c in windows.columns if c != window_bbox]
+    met = salted_join(left, right, ["_cx", "_cy"], salt_by, by, hot_rows=hot_rows)
     strict = (b.xmin < w.xmax) & (b.xmax > w.xmin) & (b.ymin < w.ymax) & (b.ymax > w.ymin)
     once = (F.col("_cx") == _cell(F.greatest(b.xmin, w.xmin), 180.0, cell)) & (
         F.col("_cy") == _cell(F.greatest(b.ymin, w.ymin), 90.0, cell)

@@ -281,7 +281,7 @@ def tree_walk(data):
 @query(
     "join_11_reference_chase",
     """WITH RECURSIVE c AS (SELECT node, ref, 0 AS depth, description, title FROM ref_nodes
-         UNION ALL SELECT c.node, r.ref, depth + 1, r.description, r.title FROM c JOIN ref_nodes r ON r.node = c.ref WHERE depth < 13)
+         UNION ALL SELECT c.node, r.ref, depth + 1, r.description, r.title FROM c JOIN ref_nodes r ON r.node = c.ref)
        SELECT node, arg_min(description, depth) FILTER (WHERE description IS NOT NULL) AS description,
               arg_min(title, depth) FILTER (WHERE title IS NOT NULL) AS title FROM c GROUP BY node""",
 )
@@ -292,7 +292,7 @@ def reference_chase(data):
 @query(
     "join_11_container_properties",
     """WITH RECURSIVE d AS (SELECT node, member AS at, [ordinal] AS key, 1 AS depth FROM ref_members
-         UNION ALL SELECT d.node, m.member, list_append(d.key, m.ordinal), depth + 1 FROM d JOIN ref_members m ON m.node = d.at WHERE depth < 12),
+         UNION ALL SELECT d.node, m.member, list_append(d.key, m.ordinal), depth + 1 FROM d JOIN ref_members m ON m.node = d.at),
        f AS (SELECT node, [2147483647] AS key, name, value FROM ref_properties
              UNION ALL SELECT d.node, list_append(d.key, 2147483647), name, value FROM d JOIN ref_properties p ON p.node = d.at)
        SELECT node, name, arg_max(value, key) AS value FROM f GROUP BY node, name""",

@@ -13,7 +13,13 @@ WINDOWED = spatial.Scope(False, tuple(WINDOWS))
 WHOLE = spatial.Scope(True, ())
 
 # Colours of our own for the example legends.
-COLOURS = "1-URGENT:#b03a2e 2-HIGH:#d68910 3-MEDIUM:#b7950b 4-NOT_SPECIFIED:#85929e 5-LOW:#2e86c1"
+COLOURS = (
+    ("1-URGENT", "#b03a2e"),
+    ("2-HIGH", "#d68910"),
+    ("3-MEDIUM", "#b7950b"),
+    ("4-NOT SPECIFIED", "#85929e"),
+    ("5-LOW", "#2e86c1"),
+)
 PALETTE = ["#f2f7fb", "#d3e3f0", "#b0cde4", "#86b3d6", "#5d98c6", "#3c7db3", "#24639d", "#154b83", "#0c3566", "#072247"]
 
 TEXT_COLUMNS = ("subtype", "status", "cust", "dominant", "sparse", "band")
@@ -36,7 +42,7 @@ def screen_sql(source: str, scopes: int) -> str:
     return counts_sql(source) + f""",
 seen AS (SELECT "column", kind, count(*) AS d, count(*) FILTER (WHERE hits >= {need}) AS r FROM totals GROUP BY ALL),
 listed AS (SELECT * FROM (VALUES ('subtype', 0), ('status', 1), ('cust', 2), ('dominant', 3), ('sparse', 4), ('band', 5), ('depth', 6)) AS t("column", ordinal)),
-judged AS (SELECT "column", kind, ordinal, CAST(least(d, 41) AS BIGINT) AS distinct_seen,
+judged AS (SELECT "column", kind, ordinal, CASE WHEN d <= 40 THEN d END AS distinct_seen,
   CASE WHEN d > 40 THEN NULL ELSE CAST(r AS BIGINT) END AS recurring,
   CASE WHEN kind = 'numeric' AND d NOT BETWEEN 3 AND 10 THEN 'no step break'
        WHEN d > 40 THEN 'too many values' WHEN d < 3 THEN 'too few values' WHEN r < 3 THEN 'tracks location'
@@ -56,12 +62,12 @@ metrics AS (SELECT "column", sum(n) AS total, max(n) / sum(n) AS dominance,
 measured AS (SELECT s.*, m.dominance, m.coverage, m.score, m.populated, m.total,
   populated >= 0.5 AS relaxed_ok,
   populated >= 0.5 AND dominance <= 0.9 AND (kind = 'numeric' OR coverage >= 0.8) AS strict_ok
-  FROM screened s JOIN metrics m USING ("column") WHERE rank <= 3),
+  FROM screened s JOIN metrics m USING ("column") WHERE rank IS NOT NULL),
 staged AS (SELECT *, CASE WHEN strict_ok AND kind = 'text' THEN 1 WHEN strict_ok THEN 2 WHEN relaxed_ok AND kind = 'text' THEN 3 WHEN relaxed_ok THEN 4 END AS stage FROM measured),
 placed AS (SELECT *, row_number() OVER (ORDER BY CASE WHEN kind = 'text' THEN -score ELSE 0 END, rank) AS place FROM staged
   WHERE stage = (SELECT min(stage) FROM staged)),
 chosen AS (SELECT * FROM placed WHERE kind = 'text' OR place = 1),
-legend_values AS (SELECT r."column", r.kind, r.text, r.number, r.n, r.position, c.place, c.stage FROM ranked r JOIN chosen c ON c."column" = r."column" WHERE r.position <= 10)"""
+legend_values AS (SELECT r."column", r.kind, r.text, r.number, r.n, r.position, c.place, c.stage FROM ranked r JOIN chosen c ON c."column" = r."column")"""
 
 
 def rounded(df, *names, places: int = 6):
@@ -91,7 +97,7 @@ def value_counts_per_window(data):
 
 @query(
     "agg_4_capped_distinct",
-    counts_sql(WHOLE_SOURCE) + """ SELECT "column", count(*) <= 40 AS few, least(count(*), 41) AS distinct_seen FROM totals GROUP BY "column" """,
+    counts_sql(WHOLE_SOURCE) + """ SELECT "column", count(*) <= 40 AS few, CASE WHEN count(*) <= 40 THEN count(*) END AS distinct_seen FROM totals GROUP BY "column" """,
 )
 def capped_distinct(data):
     kinds = profile.column_kinds(data.features)
@@ -99,9 +105,9 @@ def capped_distinct(data):
     few = profile.survey(sampled, list(kinds), 40).few
     counted = profile.recurrence(profile.value_counts(sampled, kinds, few), 1)
     listed = profile.null_share(data.features, list(kinds)).select("column")
-    size = F.least(F.coalesce("n_distinct", F.lit(41)), F.lit(41))
+    few = F.coalesce(F.col("n_distinct") <= 40, F.lit(False))
     return listed.join(counted, "column", "left").select(
-        "column", (size <= 40).alias("few"), size.cast("bigint").alias("distinct_seen")
+        "column", few.alias("few"), F.when(few, F.col("n_distinct")).alias("distinct_seen")
     )
 
 
@@ -153,7 +159,8 @@ SCREENED = ' SELECT "column", kind, CAST(ordinal AS BIGINT) AS ordinal, distinct
 
 
 def long_ranks(df):
-    return df.withColumn("rank", F.col("rank").cast("bigint")).withColumn("ordinal", F.col("ordinal").cast("bigint"))
+    # The sketch is about right, so no SQL can check it.
+    return df.drop("distinct_sketch").withColumns({c: F.col(c).cast("bigint") for c in ("rank", "ordinal")})
 
 
 @query("prof_1_screen", screen_sql("geo_sample", 7) + SCREENED)
@@ -279,8 +286,7 @@ def match_legend(data):
 
 
 def colours(data: Data):
-    pairs = [p.split(":", 1) for p in COLOURS.split()]
-    rows = [("subtype", v.replace("_", " "), c) for v, c in pairs]
+    rows = [("subtype", *pair) for pair in COLOURS]
     return literal_rows(data.spark, rows, "column string, text string, colour string")
 
 
@@ -352,11 +358,10 @@ def legend_values(data):
 
 @query(
     "prof_9_sampled_tables",
-    """SELECT DISTINCT collection FROM (SELECT collection, CAST(sum(row_cnt) AS BIGINT) AS n FROM geo_parts GROUP BY collection) s
-       JOIN geo_boxes ON 'geo/' || status = collection WHERE n > 4000""",
+    """SELECT DISTINCT collection FROM geo_parts JOIN geo_boxes ON 'geo/' || status = collection""",
 )
 def sampled_tables(data):
-    scopes = spatial.scan_scopes(data.parts, WINDOWS, 4000, "box")
+    scopes = spatial.scan_scopes(data.parts, WINDOWS, "box")
     values = data.features.groupBy(F.concat(F.lit("geo/"), "status").alias("collection")).agg(
         F.collect_set("subtype").alias("values")
     )
@@ -397,9 +402,8 @@ def confirmed_in_order(data):
 @query(
     "prof_10_coded_columns",
     """WITH v AS (SELECT 'parts' AS collection, p_brand AS "column", p_type || '-' || CAST(p_size AS STRING) AS value FROM part GROUP BY ALL),
-r AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY value) AS i, count(*) OVER (PARTITION BY "column") AS n FROM v)
-SELECT collection, "column", string_agg('`' || value || '`', ', ' ORDER BY i) FILTER (WHERE i <= 12)
-  || CASE WHEN max(n) > 12 THEN ', and ' || CAST(max(n) - 12 AS STRING) || ' more' ELSE '' END AS rendered FROM r GROUP BY ALL""",
+r AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY value) - 1 AS i FROM v)
+SELECT collection, "column", CAST(i AS INT) AS position, '`' || value || '`' AS rendered FROM r""",
 )
 def coded_columns(data):
     # A size and a type make at most 300 codes a brand.

@@ -42,22 +42,29 @@ def part_pruning(data):
     return spatial.prune_parts(data.parts, [PARIS], "box").groupBy("collection").agg(F.count(F.lit(1)).alias("parts"))
 
 
-SCOPES = """
-WITH size AS (SELECT collection, CAST(sum(row_cnt) AS BIGINT) AS row_cnt FROM geo_parts GROUP BY collection)
-SELECT collection, 'all' AS scope, row_cnt, true AS exhaustive FROM size WHERE row_cnt <= {limit}
-UNION ALL
-SELECT DISTINCT s.collection, w.name, s.row_cnt, false FROM size s JOIN geo_parts p ON p.collection = s.collection
-JOIN sample_windows w ON pxmin < wx1 AND pxmax > wx0 AND pymin < wy1 AND pymax > wy0 WHERE s.row_cnt > {limit}"""
+@query(
+    "flt_4_scan_scope",
+    """SELECT collection, 'all' AS scope, CAST(sum(row_cnt) AS BIGINT) AS row_cnt, count(*) AS parts, true AS exhaustive
+       FROM geo_parts GROUP BY collection""",
+)
+def scan_scope(data):
+    return spatial.scan_scopes(data.parts, (), "box").withColumnRenamed("rows", "row_cnt")
 
 
-@query("flt_4_scan_scope", SCOPES.format(limit=10_000_000))
-def scan_scope(data):
-    return spatial.scan_scopes(data.parts, WINDOWS, bbox="box").withColumnRenamed("rows", "row_cnt")
+# A window far from every part, so that a scope without parts shows.
+NOWHERE = Box("nowhere", 175.0, -89.0, 179.0, -88.0)
 
 
-@query("flt_4_scan_scope_windowed", SCOPES.format(limit=0))
+@query(
+    "flt_4_scan_scope_windowed",
+    """WITH size AS (SELECT collection, CAST(sum(row_cnt) AS BIGINT) AS row_cnt FROM geo_parts GROUP BY collection),
+       w AS (SELECT name, wx0, wy0, wx1, wy1 FROM sample_windows UNION ALL SELECT 'nowhere', 175.0, -89.0, 179.0, -88.0)
+       SELECT s.collection, w.name AS scope, s.row_cnt, count(p.collection) AS parts, false AS exhaustive FROM size s CROSS JOIN w
+       LEFT JOIN geo_parts p ON p.collection = s.collection AND pxmin < wx1 AND pxmax > wx0 AND pymin < wy1 AND pymax > wy0
+       GROUP BY ALL""",
+)
 def scan_scope_windowed(data):
-    return spatial.scan_scopes(data.parts, WINDOWS, 0, "box").withColumnRenamed("rows", "row_cnt")
+    return spatial.scan_scopes(data.parts, [*WINDOWS, NOWHERE], "box").withColumnRenamed("rows", "row_cnt")
 
 
 @query(
@@ -204,7 +211,7 @@ def many_windows(data):
         F.col("c_custkey").alias("window_id"),
         F.struct(x.alias("xmin"), y.alias("ymin"), (x + 3).alias("xmax"), (y + 2).alias("ymax")).alias("window_bbox"),
     )
-    met = spatial.overlap_join(data.features, windows, salt_by=["id"], cell=3.0)
+    met = spatial.overlap_join(data.features, windows, salt_by=["id"])
     return met.groupBy("window_id").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
 
 

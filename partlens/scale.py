@@ -3,73 +3,51 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
-
-from partlens.session import literal_rows
 
-HOT_KEYS = 1000
 HOT_ROWS = 1_000_000
-MOST_SALTS = 65_536
 BLOCK_ROWS = 65_536
 
 
-def heaviest(counted: DataFrame, keys: Sequence[str], rows: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys with the most rows: never more than ``HOT_KEYS``, whatever the input holds.
-
-    A key outside this list holds less than a thousandth of all rows, so leaving it in
-    one shuffle partition is safe. ``salts`` is how many shares of about ``hot_rows`` rows
-    a listed key makes.
-    """
-    many = counted.where(F.col(rows) >= hot_rows).orderBy(F.desc(rows), *keys).limit(HOT_KEYS)
-    shares = F.least(F.ceil(F.col(rows) / hot_rows) + 1, F.lit(MOST_SALTS))
-    return many.select(*keys, shares.cast("int").alias("salts"))
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The heaviest keys of ``df``, counted before the shuffle."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return heaviest(counted, keys, "_n", hot_rows)
+def shares(df: DataFrame, keys: Sequence[str], name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The keys with over ``hot_rows`` rows, and how many shares of about that many each makes."""
+    counted = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / hot_rows).cast("int").alias(name))
+    return counted.where(F.col(name) > 1)
 
 
 def salted_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
-    how: str,
-    salt_by: Sequence[str],
+    left_by: Sequence[str],
+    right_by: Sequence[str],
     *,
-    hot: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Equi-join where a few keys may hold most of ``left``.
+    """Inner equi-join where a key may be heavy on either side, or on both.
+
+    A heavy key's rows are dealt into shares by a hash of ``left_by`` and ``right_by``, and every
+    share of one side meets every share of the other, so its pairs spread over the product
+    of the two counts. The hash is stable: a task run again deals its rows as before. Heavy keys
+    stay a table: Spark broadcasts it while it is small, and splits the join when not.
 
-    The heaviest keys, a list of fixed greatest length, are looked up first; without any
-    this is a plain join. Otherwise the rows of a hot key spread over as many salts as the
-    key is heavy, by a hash of ``salt_by`` (a stable hash, so a recomputed task lands rows
-    where the first one did), and only its matches in ``right`` are copied. ``how`` is a
-    left-preserving kind: inner, left, left_semi or left_anti. A caller that has counted
-    the keys already passes the heaviest ones as ``hot``.
+    A join with a side of few rows for each key needs none of this: Spark splits the other side.
     """
     keys = list(keys)
-    listed = hot_keys(left, keys, hot_rows) if hot is None else hot
-    found = listed.select(*keys, "salts").collect()
-    if not found:
-        return left.join(right, keys, how)
-    fields = StructType([*(left.schema[k] for k in keys), StructField("_salts", IntegerType())])
-    hot = F.broadcast(literal_rows(left.sparkSession, found, fields))
-    # A null key matches nothing, so its rows may go anywhere and nothing is copied for them.
-    no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
-    spread_over = F.when(no_key, F.lit(MOST_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
-    salt = F.pmod(F.xxhash64(*salt_by), spread_over).cast("int")
-    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
-    spread = left.join(hot, keys, "left").withColumn("_salt", salt).drop("_salts")
-    copied = right.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
-    return spread.join(copied, [*keys, "_salt"], how).drop("_salt")
+    heavy = shares(left, keys, "_m", hot_rows).join(shares(right, keys, "_n", hot_rows), keys, "full")
+    heavy = heavy.select(*keys, F.coalesce("_m", F.lit(1)).alias("_m"), F.coalesce("_n", F.lit(1)).alias("_n"))
+
+    def dealt(df: DataFrame, by: Sequence[str], own: str, own_count: str, other: str, other_count: str) -> DataFrame:
+        found = df.join(heavy, keys, "left")
+        own_share = F.pmod(F.xxhash64(*by), F.coalesce(own_count, F.lit(1))).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.coalesce(other_count, F.lit(1)) - 1))
+        return found.withColumn(own, own_share).withColumn(other, every).drop("_m", "_n")
+
+    here = dealt(left, left_by, "_i", "_m", "_j", "_n")
+    there = dealt(right, right_by, "_j", "_n", "_i", "_m")
+    return here.join(there, [*keys, "_i", "_j"]).drop("_i", "_j")
 
 
 def running_last(

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -18,7 +17,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Recording the call site of every column expression costs more than planning does.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
@@ -27,7 +25,7 @@ DEFAULTS = {
 
 
 def local_session(cpus: int = 8, app: str = "partlens", memory: str = "8g") -> SparkSession:
-    """A single-JVM session for tests and the benchmark."""
+    """A single-JVM session for tests and the benchmark, which name the shared folder themselves."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -42,33 +40,38 @@ def local_session(cpus: int = 8, app: str = "partlens", memory: str = "8g") -> S
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach.
-
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session may fall
-    back to a temporary folder, because a machine-local path is lost with its host.
-    """
+    """The folder every executor can reach, as ``spark.checkpoint.dir`` or the context names it."""
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="partlens-")
-    context.setCheckpointDir(named)
-    return context.getCheckpointDir()
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return named
+
+
+def workspace(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder for a table a job writes.
 
+    All paths of an application are below one folder, which goes when the driver ends.
+    """
+    top = f"{checkpoint_dir(spark).rstrip('/')}/partlens-{spark.sparkContext.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(top)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.mkdirs(folder):
+        files.deleteOnExit(folder)
+    return f"{top}/{name}-{uuid.uuid4().hex}"
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read on from there."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
 
+def cut_lineage(df: DataFrame, name: str = "cut", seen: Observation | None = None) -> DataFrame:
+    """``df`` written as Parquet to the shared folder, and read on from there.
 
-def workspace(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder for a table a job writes."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    ``seen`` gets what was observed on the way, so that asking whether a round changed
+    anything takes no job of its own.
+    """
+    path = workspace(df.sparkSession, name)
+    df.write.parquet(path)
+    if seen is not None:
+        seen.get
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:

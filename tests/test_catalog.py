@@ -61,7 +61,7 @@ def test_documents_are_read_and_sorted_out(spark, tree):
 def test_links_of_a_tree(spark, tree):
     nodes = documents.nodes(documents.read_documents(spark, tree))
     links, assets = documents.links(nodes).select("path", "rel", "href"), documents.assets(nodes).select("path", "key", "href")
-    broken = graph.broken_links(graph.checked_links(links), nodes, hot_rows=2)
+    broken = graph.broken_links(graph.checked_links(links), nodes)
     assert sorted(r["href"] for r in broken.collect()) == ["./items/2.json", "./u/catalog.json"]
     full = graph.checked_links(assets, is_asset=True)
     light = graph.checked_links(assets, is_asset=True, light=True)
@@ -71,13 +71,13 @@ def test_links_of_a_tree(spark, tree):
     assert report == {"documents": 4, "checked": 1, "skipped": 1, "broken": 1}
 
 
-def test_walk_ends_on_a_loop_and_stops_when_too_deep(frame):
+def test_walk_ends_on_a_loop_and_goes_to_any_depth(frame):
     links = frame([("a.json", "child", "./b.json"), ("b.json", "child", "./a.json"), ("b.json", "item", "./c.json"), ("c.json", "via", "./d.json")],
                   "path string, rel string, href string")
-    found = graph.walk(links, "a.json", hot_rows=1)
+    found = graph.walk(links, "a.json")
     assert {(r["path"], r["depth"]) for r in found.collect()} == {("a.json", 0), ("b.json", 1), ("c.json", 2)}
-    with pytest.raises(ValueError, match="goes on below 1"):
-        graph.walk(links, "a.json", max_depth=1)
+    chain = frame([(f"{i}.json", "child", f"./{i + 1}.json") for i in range(12)], "path string, rel string, href string")
+    assert graph.walk(chain, "0.json").count() == 13
 
 
 def test_subset_needs_its_child_links(frame):

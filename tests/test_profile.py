@@ -36,13 +36,17 @@ def test_a_row_in_two_windows_counts_in_both(frame):
     assert spatial.sample(df, spatial.Scope(False, (A, B))).count() == 2
 
 
-def test_the_row_limit_itself_is_read_whole(frame):
+def test_the_caller_says_what_is_read(frame):
     parts = frame([("t", 60, (1.0, 1.0, 2.0, 2.0)), ("t", 40, (21.0, 21.0, 22.0, 22.0))],
                   "collection string, rows bigint, bbox struct<xmin:double,ymin:double,xmax:double,ymax:double>")
-    assert spatial.plan_scope(parts, [A, B, C], 100).exhaustive
-    windowed = spatial.plan_scope(parts, [A, B, C], 99)
+    assert spatial.plan_scope(parts).exhaustive
+    windowed = spatial.plan_scope(parts, [A, B, C])
     # No part meets c, so c is no scope and does not count in the recurrence.
     assert windowed.names == ["a", "b"]
+    with pytest.raises(ValueError, match="no part meets"):
+        spatial.plan_scope(parts, [C])
+    scopes = {r.scope: (r.parts, r.rows) for r in spatial.scan_scopes(parts, [A, B, C]).collect()}
+    assert scopes == {"a": (1, 100), "b": (1, 100), "c": (0, 100)}
 
 
 def counts(frame, rows):
@@ -121,9 +125,23 @@ def test_a_threshold_itself_passes(frame):
     }
 
 
-def test_only_three_candidates_are_measured(frame):
-    rows = [(c, "text", i, 0.5, 1.0, 1.0) for i, c in enumerate("abcd", 1)]
-    assert {r["column"] for r in measured(frame, rows).collect()} == {"a", "b", "c"}
+def test_every_candidate_is_measured(frame):
+    rows = [(c, "text", i, 0.5, 1.0, 1.0) for i, c in enumerate("abcdefgh", 1)]
+    assert {r["column"] for r in measured(frame, rows).collect()} == set("abcdefgh")
+
+
+def test_every_value_of_the_legend_is_kept(frame):
+    rows = [(i, f"k{i % 25:02}") for i in range(500)]
+    legend = profile.build_legend(profile.profile(frame(rows, "id int, kind string"), WHOLE), WHOLE, polygons=True)
+    assert legend.values == [f"k{i:02}" for i in range(25)]
+
+
+def test_long_integers_stay_apart(frame):
+    rows = [("all", 2**53 + i % 30) for i in range(90)]
+    counts = profile.value_counts(frame(rows, "window string, n long"), {"n": "numeric"}).collect()
+    assert len(counts) == 30 and {r.n for r in counts} == {3}
+    small = profile.value_counts(frame([("all", 2**53), ("all", -5)], "window string, n long"), {"n": "numeric"}).collect()
+    assert {r.text for r in small} == {None}
 
 
 def test_stages_follow_one_another(frame):

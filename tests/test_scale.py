@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from partlens.functions.boxes import Box, overlaps
 from partlens.operators import profile, spatial
-from partlens.scale import hot_keys, running_last, salted_join
+from partlens.scale import running_last, salted_join, shares
 
 
 def plan_of(df):
@@ -16,36 +16,54 @@ def plan_of(df):
     return df._jdf.queryExecution().toString()
 
 
-def test_salted_join_equals_plain_join_for_a_hot_key(frame):
+def test_salted_join_equals_plain_join(frame):
     left = frame([(1 if i % 3 else None if i % 7 == 0 else i, i) for i in range(300)], "k int, i int")
-    right = frame([(k, f"v{k}") for k in range(0, 300, 2)] + [(1, "a"), (1, "b")], "k int, v string")
-    for how in ("inner", "left", "left_semi", "left_anti"):
-        plain = sorted(map(repr, left.join(right, ["k"], how).collect()))
-        salted = salted_join(left, right, ["k"], how, ["i"], hot_rows=50)
-        assert sorted(map(repr, salted.collect())) == plain
+    right = frame([(k, f"v{k}") for k in range(0, 300, 2)] + [(1, f"a{n}") for n in range(40)], "k int, v string")
+    plain = sorted(map(repr, left.join(right, ["k"]).collect()))
+    for hot in (1, 7, 50, 1000):
+        assert sorted(map(repr, salted_join(left, right, ["k"], ["i"], ["v"], hot_rows=hot).collect())) == plain
 
 
-def test_salted_join_spreads_a_hot_key(frame, spark):
-    left = frame([(1, i) for i in range(400)], "k int, i int")
-    right = frame([(1, "x")], "k int, v string")
+def spread(spark, left, right, hot):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        met = salted_join(left, right, ["k"], "inner", ["i"], hot_rows=10)
-        sizes = met.groupBy(F.spark_partition_id()).count().collect()
+        met = salted_join(left, right, ["k"], ["i"], ["v"], hot_rows=hot)
+        return [r["count"] for r in met.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(r["count"] for r in sizes) == 400
-    assert max(r["count"] for r in sizes) < 200
 
 
-def test_hot_keys_are_bounded(frame):
-    rows = frame([(i % 1500,) for i in range(6000)], "k int")
-    assert hot_keys(rows, ["k"], hot_rows=2).count() == 1000
-    assert hot_keys(rows, ["k"], hot_rows=5).count() == 0
+def test_a_key_heavy_on_either_side_is_spread(frame, spark):
+    few, many = frame([(1, i) for i in range(20)], "k int, i int"), frame([(1, i) for i in range(2000)], "k int, i int")
+    of = lambda df: df.withColumnRenamed("i", "v")
+    for left, right in ((many, of(few)), (few, of(many)), (many, of(many).where("v < 200"))):
+        sizes = spread(spark, left, right, 50)
+        assert sum(sizes) == left.count() * right.count()
+        assert max(sizes) < 0.5 * sum(sizes)
+
+
+def test_any_number_of_keys_may_be_heavy(frame):
+    rows = frame([(i % 5000,) for i in range(15000)], "k int")
+    assert shares(rows, ["k"], "n", hot_rows=2).count() == 5000
+    assert shares(rows, ["k"], "n", hot_rows=3).count() == 0
     one = frame([(7,)] * 95 + [(8,)], "k int")
-    assert [(r.k, r.salts) for r in hot_keys(one, ["k"], hot_rows=10).collect()] == [(7, 11)]
+    assert [(r.k, r.n) for r in shares(one, ["k"], "n", hot_rows=10).collect()] == [(7, 10)]
+
+
+def test_cells_follow_the_windows(frame):
+    """Half-degree windows among points meet few candidates that do not overlap."""
+    box = "struct<xmin:double,ymin:double,xmax:double,ymax:double>"
+    rng = random.Random(3)
+    spots = [(rng.uniform(0, 20), rng.uniform(0, 20)) for _ in range(2000)]
+    points = frame([(i, (x, y, x + 0.001, y + 0.001)) for i, (x, y) in enumerate(spots)], f"fi int, bbox {box}")
+    windows = frame([(i, (x, y, x + 0.5, y + 0.5)) for i, (x, y) in enumerate(spots[:50])], f"wi int, window_bbox {box}")
+    met = spatial.overlap_join(points, windows, salt_by=["fi"])
+    want = sum(x < a + 0.5 and x + 0.001 > a and y < b + 0.5 and y + 0.001 > b for x, y in spots for a, b in spots[:50])
+    assert met.count() == want
+    cells = spatial._mean_extent(windows, "window_bbox")
+    assert abs(cells - 0.5) < 1e-9
 
 
 def test_running_last_matches_a_plain_loop(frame):
@@ -127,6 +145,7 @@ def test_survey_never_drops_a_small_column(frame):
         assert profile.survey(df, ["t", "d"], 40).few == ["t", "d"]
     many = frame([(i, None) for i in range(400)], "t int, e string")
     seen = profile.survey(many, ["t", "e"], 40)
+    assert abs(seen.sketched["t"] - 400) < 60 and seen.sketched["e"] <= 1
     assert (seen.rows, seen.few) == (400, ["e"])
 
 
