@@ -53,17 +53,22 @@ def human_title(upstream: Column, slug: Column) -> Column:
 
 
 def pairs_to_map(text: Column) -> Column:
-    """"a:1 b:2" as a map; a pair splits on its first colon only."""
-    pair = F.split(text, r"\s+")
-    return F.map_from_entries(
-        F.transform(
-            F.filter(pair, lambda p: p != ""),
-            lambda p: F.struct(
-                F.substring_index(p, ":", 1).alias("key"),
-                F.regexp_replace(p, r"^[^:]*:", "").alias("value"),
-            ),
-        )
+    """"a:1 b:2" as a map; a pair splits on its first colon only.
+
+    A key given again takes the later value. A pair without a colon is an error.
+    """
+    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    wrong = lambda w: F.raise_error(F.concat(F.lit("no colon in the pair "), w)).cast("string")
+    pairs = F.transform(
+        words,
+        lambda w: F.struct(
+            F.when(w.contains(":"), F.substring_index(w, ":", 1)).otherwise(wrong(w)).alias("key"),
+            F.regexp_replace(w, r"^[^:]*:", "").alias("value"),
+        ),
     )
+    names = F.array_distinct(F.transform(pairs, lambda p: p["key"]))
+    last = lambda name: F.element_at(F.filter(pairs, lambda p: p["key"] == name), -1)["value"]
+    return F.map_from_entries(F.transform(names, lambda n: F.struct(n.alias("key"), last(n).alias("value"))))
 
 
 def release_timestamp(release: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +47,10 @@ def spatial_order(groups: DataFrame, threshold: float = 0.5) -> DataFrame:
 
     Our own definition: for each pair of neighbours the area both boxes share over the
     smaller of the two areas (1 for a box without area that is touched, else 0), averaged
-    per file; at or below ``threshold`` the file is ordered. Neighbours meet by equality
-    on (file, row group), so a file with very many row groups is still spread.
+    per file; at or below ``threshold`` the file is ordered. A file with one row group is.
+    Pairs without statistics are ``unknown`` and take no part in the average; a file that
+    would else be ordered has ``ordered`` null then. Neighbours meet by equality on (file,
+    row group), so a file with very many row groups is still spread.
     """
     after = groups.select(
         "path",
@@ -60,13 +64,17 @@ def spatial_order(groups: DataFrame, threshold: float = 0.5) -> DataFrame:
         (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin")),
         (F.col("n_xmax") - F.col("n_xmin")) * (F.col("n_ymax") - F.col("n_ymin")),
     )
-    ratio = F.when(area > 0, shared / area).when((across >= 0) & (up >= 0), 1.0).otherwise(0.0)
-    return (
-        groups.join(after, ["path", "row_group"])
-        .groupBy("path")
-        .agg(F.count(F.lit(1)).alias("pairs"), F.avg(ratio).alias("overlap"))
-        .withColumn("ordered", F.col("overlap") <= threshold)
-    )
+    sides = [F.col(n + c) for n in ("", "n_") for c in ("xmin", "ymin", "xmax", "ymax")]
+    stated = reduce(lambda a, b: a & b, (c.isNotNull() for c in sides))
+    ratio = F.when(~stated, None).when(area > 0, shared / area).when((across >= 0) & (up >= 0), 1.0).otherwise(0.0)
+    met = groups.join(after.withColumn("_pair", F.lit(True)), ["path", "row_group"], "left")
+    measured = met.groupBy("path").agg(
+        F.count("_pair").alias("pairs"),
+        F.count_if(F.col("_pair") & ~stated).alias("unknown"),
+        F.avg(F.when(F.col("_pair"), ratio)).alias("overlap"),
+    )
+    within = F.coalesce(F.col("overlap") <= threshold, F.lit(True))
+    return measured.withColumn("ordered", F.when(~within, F.lit(False)).when(F.col("unknown") == 0, F.lit(True)))
 
 
 def gate(findings: DataFrame, accepted: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from partlens.operators import graph, manifest, meanings
 from partlens.plans.registry import query
 from partlens.plans.relations import Data
+from partlens.session import literal_rows
 
 MIXED = ("AFRICA", "ASIA")
 
@@ -158,12 +159,12 @@ def single_part_rule(data):
     """SELECT split_part(collection, '/', 1) AS theme, array_to_string(list_transform(string_split(split_part(collection, '/', 1), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS title,
               'Holds ' || CAST(count(*) AS STRING) || ' collection' || CASE WHEN count(*) <> 1 THEN 's' ELSE '' END || '.' AS description,
               '2026-11-18T00:00:00Z' AS updated
-       FROM (SELECT DISTINCT collection FROM land_parts WHERE collection NOT IN ('ASIA/land_2', 'ASIA/land_7', 'ASIA/land_12', 'ASIA/land_17'))
+       FROM (SELECT DISTINCT collection FROM land_parts UNION SELECT 'ALONE/one')
        GROUP BY split_part(collection, '/', 1)""",
 )
 def theme_records(data):
-    gone = [f"ASIA/land_{n}" for n in (2, 7, 12, 17)]
-    return manifest.theme_records(data.land_parts.where(~F.col("collection").isin(*gone)), "2026-11-18.0")
+    alone = literal_rows(data.spark, [("ALONE/one",)], "collection string")
+    return manifest.theme_records(data.land_parts.select("collection").unionByName(alone), "2026-11-18.0")
 
 
 @query(
@@ -220,7 +221,8 @@ def broken_links(data):
 
 @query(
     "join_7_broken_assets",
-    r"""SELECT path, key, href FROM cat_assets WHERE href NOT LIKE '%://%' AND NOT lower(href) LIKE '%.parquet'""",
+    r"""SELECT path, key, href FROM cat_assets WHERE href NOT LIKE '%://%' AND NOT lower(href) LIKE '%.parquet'
+        AND regexp_replace(path, '[^/]*$', '') || substring(href, 3) NOT IN (SELECT path FROM cat_nodes)""",
 )
 def broken_assets(data):
     checked = graph.checked_links(data.cat_assets, is_asset=True, light=True)
@@ -232,7 +234,8 @@ def broken_assets(data):
     r"""SELECT 'documents' AS what, count(*) AS n FROM cat_nodes
         UNION ALL SELECT 'checked', count(*) FROM cat_assets WHERE href NOT LIKE '%://%' AND NOT lower(href) LIKE '%.parquet'
         UNION ALL SELECT 'skipped', count(*) FROM cat_assets WHERE href NOT LIKE '%://%' AND lower(href) LIKE '%.parquet'
-        UNION ALL SELECT 'broken', count(*) FROM cat_assets WHERE href NOT LIKE '%://%' AND NOT lower(href) LIKE '%.parquet'""",
+        UNION ALL SELECT 'broken', count(*) FROM cat_assets WHERE href NOT LIKE '%://%' AND NOT lower(href) LIKE '%.parquet'
+          AND regexp_replace(path, '[^/]*$', '') || substring(href, 3) NOT IN (SELECT path FROM cat_nodes)""",
 )
 def link_report(data):
     checked = graph.checked_links(data.cat_assets, is_asset=True, light=True)

@@ -95,6 +95,18 @@ def value_counts_per_window(data):
     return profile.value_counts(sampled, profile.column_kinds(data.features))
 
 
+@query(
+    "agg_3_long_integers",
+    """SELECT 'key' AS "column", 9007199254740992 + o_orderkey % 30 AS value, count(*) AS n FROM orders GROUP BY ALL""",
+)
+def long_integers(data):
+    """Identifiers that a double cannot tell apart."""
+    keys = data.orders.select(F.lit("all").alias("window"), (F.lit(2**53) + F.col("o_orderkey") % 30).alias("key"))
+    counted = profile.total_counts(profile.value_counts(keys, {"key": profile.NUMERIC}))
+    value = F.coalesce(F.col("text").cast("bigint"), F.col("number").cast("bigint"))
+    return counted.select("column", value.alias("value"), "n")
+
+
 @query(
     "agg_4_capped_distinct",
     counts_sql(WHOLE_SOURCE) + """ SELECT "column", count(*) <= 40 AS few, CASE WHEN count(*) <= 40 THEN count(*) END AS distinct_seen FROM totals GROUP BY "column" """,

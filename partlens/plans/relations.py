@@ -135,12 +135,12 @@ UNION ALL SELECT r_name || '/catalog.json', 'via', 'https://example.org/' || r_n
     "cat_assets": """
 SELECT r_name || '/' || n_name || '/items/' || CAST(c_custkey AS STRING) || '.json' AS path,
        CASE WHEN c_custkey % 4 = 0 THEN 'thumbnail' WHEN c_custkey % 4 = 1 THEN 'visual' ELSE 'data' END AS key,
-       CASE WHEN c_custkey % 4 = 0 THEN './thumbnail.png'
+       CASE WHEN c_custkey % 8 = 0 THEN './thumbnail.png'
+            WHEN c_custkey % 8 = 4 THEN './' || CAST(c_custkey AS STRING) || '.json'
             WHEN c_custkey % 4 = 1 THEN 'https://tiles.example.org/' || n_name || '.pmtiles'
             WHEN c_custkey % 4 = 2 THEN 'https://data.example.org/' || CAST(c_custkey % 100 AS STRING) || '.parquet'
             ELSE '../data/' || CAST(c_custkey AS STRING) || '.PARQUET' END AS href
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-WHERE c_custkey % 13 <> 0
 UNION ALL SELECT r_name || '/' || n_name || '/collection.json', 'data', 'https://data.example.org/' || n_name || '.parquet'
   FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 2 = 0""",
     "ref_nodes": """

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from partlens.operators import manifest, release
 from partlens.plans.registry import query
 from partlens.plans.relations import Data
+from partlens.session import literal_rows
 
 
 def tables(data: Data, which: str) -> DataFrame:
@@ -110,12 +111,15 @@ def list_equality(data):
 
 @query(
     "agg_9_fingerprint",
-    """SELECT '2026-01' AS release, l.collection, license, count(*) AS items,
-              string_agg(DISTINCT version, ',') AS geoparquet, CAST(max(max_group) AS BIGINT) AS max_row_group_rows,
+    """SELECT '2026-01' AS release, l.collection, license, count(p.collection) AS items,
+              coalesce(string_agg(DISTINCT version, ','), '') AS geoparquet, CAST(max(max_group) AS BIGINT) AS max_row_group_rows,
               CAST(150000 AS BIGINT) AS row_group_cap
-       FROM land_parts p JOIN lands l ON p.collection = l.collection GROUP BY l.collection, license""",
+       FROM (SELECT collection, license FROM lands UNION ALL SELECT 'LOST/all_parts', 'CC0-1.0') l
+       LEFT JOIN land_parts p ON p.collection = l.collection GROUP BY l.collection, license""",
 )
 def fingerprint(data):
-    collections = data.lands.withColumn("columns", F.array(F.lit("id"), F.lit("bbox")))
+    lost = literal_rows(data.spark, [("LOST/all_parts", "CC0-1.0")], "collection string, license string")
+    known = data.lands.select("collection", "license").unionByName(lost)
+    collections = known.withColumn("columns", F.array(F.lit("id"), F.lit("bbox")))
     made = manifest.fingerprint(collections, data.lands_parts, "2026-01").drop("columns")
     return made.withColumn("geoparquet", F.concat_ws(",", "geoparquet"))

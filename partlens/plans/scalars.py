@@ -152,7 +152,8 @@ def human_title(data):
     """SELECT p_partkey AS id, '#' || CAST(p_size AS STRING) AS size, p_brand || ':' || p_type AS brand FROM part""",
 )
 def pairs_to_map(data):
-    pairs = F.concat(F.lit("size:#"), "p_size", F.lit(" brand:"), "p_brand", F.lit(":"), "p_type")
+    # The key that comes twice takes the later value.
+    pairs = F.concat(F.lit("size:first brand:"), "p_brand", F.lit(":"), "p_type", F.lit(" size:#"), "p_size")
     made = data.part.select(F.col("p_partkey").alias("id"), words.pairs_to_map(pairs).alias("m"))
     return made.select("id", F.col("m")["size"].alias("size"), F.col("m")["brand"].alias("brand"))
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partlens.functions.boxes import overlaps
-from partlens.operators import manifest
+from partlens.functions.boxes import Box, overlaps
+from partlens.operators import manifest, quality
 from partlens.operators.release import part_deltas
 from partlens.plans.registry import query
 from partlens.plans.relations import TABLES, WINDOWS, Data
@@ -136,7 +136,7 @@ FOOTER_TABLES = " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS row_cnt F
 
 @query("src_6_footer_rows", FOOTER_TABLES)
 def footer_rows(data):
-    facts = footers.part_facts(footers.read_footers(footers.list_parts(data.spark, data.folder)))
+    facts = footers.part_facts(footers.list_parts(data.spark, data.folder))
     return facts.groupBy(file_table().alias("name")).agg(F.sum("rows").alias("row_cnt"))
 
 
@@ -148,7 +148,7 @@ def footer_rows(data):
        UNION ALL SELECT 'events', 'value', min(value), max(value) FROM events""",
 )
 def footer_ranges(data):
-    groups = footers.row_groups(footers.read_footers(footers.list_parts(data.spark, data.folder)))
+    groups = footers.row_groups(footers.list_parts(data.spark, data.folder))
     wanted = F.concat_ws(".", "name", "column").isin("lineitem.l_orderkey", "orders.o_totalprice", "part.p_size", "events.value")
     return (
         groups.withColumn("name", file_table())
@@ -158,15 +158,93 @@ def footer_ranges(data):
     )
 
 
-@query("src_6_footer_harvest")
+@query(
+    "src_6_footer_harvest",
+    """SELECT status AS type, count(*) AS row_cnt, true AS bounded, CAST(NULL AS STRING) AS geoparquet_version, false AS has_covering_bbox
+       FROM geo_boxes GROUP BY status""",
+)
 def footer_harvest(data):
-    facts = footers.part_facts(footers.read_footers(footers.list_parts(data.spark, data.folder)))
-    return facts.select(
-        file_table().alias("name"), "rows", "row_groups", "max_row_group_rows", "geoparquet_version",
-        "geometry_column", "has_covering_bbox", "geometry_types",
+    path = staged(data, data.features.withColumn("type", F.col("status")), "harvest", "type")
+    facts = footers.part_facts(footers.list_parts(data.spark, path))
+    held = (F.col("max_row_group_rows") <= F.col("rows")) & (F.col("max_row_group_rows") * F.col("row_groups") >= F.col("rows"))
+    return facts.groupBy(F.regexp_extract("path", "type=([^/]*)", 1).alias("type")).agg(
+        F.sum("rows").alias("row_cnt"),
+        F.bool_and(held & (F.col("row_groups") > 0)).alias("bounded"),
+        F.max("geoparquet_version").alias("geoparquet_version"),
+        F.bool_or("has_covering_bbox").alias("has_covering_bbox"),
     )
 
 
+@query(
+    "src_6_geo_metadata",
+    """SELECT p_partkey AS path, CASE WHEN p_size % 5 <> 0 THEN '1.' || CAST(p_size % 2 AS STRING) || '.0' END AS geoparquet_version,
+              CASE WHEN p_size % 5 <> 0 THEN 'shape' END AS geometry_column, CASE WHEN p_size % 5 <> 0 THEN 'WKB' END AS geometry_encoding,
+              p_size % 5 <> 0 AND p_size % 3 = 0 AS has_covering_bbox,
+              CASE WHEN p_size % 5 <> 0 THEN 'MultiPolygon,Polygon' ELSE '' END AS geometry_types FROM part""",
+)
+def geo_metadata(data):
+    """The text that footers hold under ``geo``, with and without a covering, and none at all."""
+    covering = F.when(F.col("p_size") % 3 == 0, F.lit(', "covering": {"bbox": {"xmin": ["bbox", "xmin"]}}')).otherwise("")
+    geo = F.concat(
+        F.lit('{"version": "1.'), F.col("p_size") % 2, F.lit('.0", "primary_column": "shape", "columns": {"other": {}, "shape": {"encoding": "WKB", '),
+        F.lit('"geometry_types": ["Polygon", "MultiPolygon"]'), covering, F.lit("}}}"),
+    )
+    facts = data.part.select(F.col("p_partkey").alias("path"), F.when(F.col("p_size") % 5 != 0, geo).alias("geo"))
+    return footers.geo_facts(facts).withColumn("geometry_types", F.concat_ws(",", "geometry_types"))
+
+
+@query(
+    "src_5_documents_from_files",
+    """SELECT n_name AS id, 'Collection' AS type, CAST(k AS BIGINT) AS position, CASE k WHEN 0 THEN 'root' ELSE 'item' END AS rel,
+              CASE k WHEN 0 THEN '../catalog.json' ELSE './items/' || CAST(n_nationkey AS STRING) || '.json' END AS href
+       FROM nation CROSS JOIN (VALUES (0), (1)) AS l(k)""",
+)
+def documents_from_files(data):
+    """Documents written one to a file and read back as a folder of JSON files."""
+    doc = data.nation.select(
+        F.lit("Collection").alias("type"),
+        F.col("n_name").alias("id"),
+        F.array(
+            F.struct(F.lit("root").alias("rel"), F.lit("../catalog.json").alias("href")),
+            F.struct(F.lit("item").alias("rel"), F.concat(F.lit("./items/"), "n_nationkey", F.lit(".json")).alias("href")),
+        ).alias("links"),
+    )
+    path = workspace(data.spark, "documents")
+    doc.write.option("maxRecordsPerFile", 1).json(path)
+    found = documents.nodes(documents.read_documents(data.spark, path))
+    linked = documents.links(found).select("path", F.col("position").cast("bigint").alias("position"), "rel", "href")
+    return found.select("path", "id", "type").join(linked, "path").drop("path")
+
+
+@query(
+    "flt_3_pruned_scan",
+    """SELECT status, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids FROM geo_boxes
+       WHERE xmin < 12.7 AND xmax > -8.0 AND ymin < 59.0 AND ymax > 38.6 GROUP BY status""",
+)
+def pruned_scan(data):
+    """Parts pruned by the boxes in their own footers, and only the others opened."""
+    path = staged(data, data.features.repartitionByRange(8, "bbox.xmin"), "pruned")
+    boxes = quality.bbox_groups(footers.row_groups(footers.list_parts(data.spark, path)))
+    manifest_rows = boxes.groupBy(F.col("path").alias("href")).agg(
+        F.struct(F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"), F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax")).alias("bbox")
+    )
+    found = features.scan_windows(data.spark, path, manifest_rows, [Box("paris", -8.0, 38.6, 12.7, 59.0)])
+    return found.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+
+
+@query(
+    "snk_2_written_lines",
+    """SELECT l_returnflag || '-' || l_linestatus || ' ' || CAST(l_linenumber AS STRING) AS line, count(*) AS n FROM lineitem GROUP BY ALL""",
+)
+def written_lines(data):
+    """A report of one line per row, written and read back."""
+    line = F.concat("l_returnflag", F.lit("-"), "l_linestatus", F.lit(" "), "l_linenumber")
+    rows = data.lineitem.select(F.lit(0).alias("section"), F.col("l_returnflag").alias("line_key"), line.alias("line"))
+    path = workspace(data.spark, "report")
+    sinks.write_lines(rows, path)
+    return data.spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "src_7_part_record",
     """SELECT collection, lpad(CAST(part_no AS STRING), 5, '0') AS part_id,

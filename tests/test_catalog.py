@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from partlens.operators import graph, manifest, quality, release
 from partlens.functions.boxes import Box
+from partlens.functions.text import pairs_to_map
 from partlens.operators.spatial import Scope
 from partlens.sources import documents, features, footers, sinks
 
@@ -256,14 +257,14 @@ def geo_part(path, rows, group, geo=True, stats=True, start=0.0):
 def test_footers(spark, tmp_path):
     geo_part(f"{tmp_path}/t/type=a b/part-0.parquet", 10, 4)
     geo_part(f"{tmp_path}/t/type=a/part-1.parquet", 3, 3, geo=False, stats=False)
-    read = footers.read_footers(footers.list_parts(spark, f"{tmp_path}/t"), 2)
-    facts = {r["path"].rsplit("-", 1)[1][0]: r for r in footers.part_facts(read).collect()}
+    read = footers.list_parts(spark, f"{tmp_path}/t")
+    facts = {r["path"].rsplit("-", 1)[1][0]: r for r in footers.part_facts(read, 2).collect()}
     assert (facts["0"]["rows"], facts["0"]["row_groups"], facts["0"]["max_row_group_rows"]) == (10, 3, 4)
     assert (facts["0"]["geoparquet_version"], facts["0"]["geometry_column"], facts["0"]["geometry_encoding"]) == ("1.1.0", "geometry", "WKB")
     assert (facts["0"]["has_covering_bbox"], facts["0"]["geometry_types"]) == (True, ["MultiPolygon", "Polygon"])
     assert (facts["1"]["geoparquet_version"], facts["1"]["has_covering_bbox"], facts["1"]["geometry_types"]) == (None, False, [])
-    groups = footers.row_groups(read)
-    found = quality.footer_findings(groups, footers.part_facts(read), 3)
+    groups = footers.row_groups(read, 2)
+    found = quality.footer_findings(groups, footers.part_facts(read, 2), 3)
     assert sorted((r["path"].rsplit("-", 1)[1][0], r["rule"], r["n"]) for r in found.collect()) == [
         ("0", "row group above cap", 4), ("1", "row group without statistics", 1), ("1", "unknown format version", 0),
     ]
@@ -271,6 +272,28 @@ def test_footers(spark, tmp_path):
     assert [(r.xmin, r.xmax) for r in boxes] == [(0.0, 4.0), (4.0, 8.0), (8.0, 10.0)]
 
 
+def test_row_groups_without_statistics_are_unknown(frame):
+    schema = "path string, row_group int, xmin double, ymin double, xmax double, ymax double"
+    side = lambda path, n, x: (path, n, x, 0.0, None if x is None else x + 1.0, 1.0)
+    rows = [side("none", 0, None), side("none", 1, None), side("one", 0, 5.0)]
+    rows += [side("apart", n, 2.0 * n) for n in range(3)] + [side("same", n, None if n == 2 else 0.0) for n in range(3)]
+    found = {r.path: (r.pairs, r.unknown, r.overlap, r.ordered) for r in quality.spatial_order(frame(rows, schema)).collect()}
+    assert found == {"none": (1, 1, None, None), "one": (0, 0, None, True), "apart": (2, 0, 0.0, True), "same": (2, 1, 1.0, False)}
+
+
+def test_pairs_want_a_colon_and_take_the_last_of_a_key(frame):
+    made = frame([("a:1 b:2:3  a:4",), ("",), (None,)], "t string").select(pairs_to_map(F.col("t")).alias("m")).collect()
+    assert [r.m for r in made] == [{"a": "4", "b": "2:3"}, {}, None]
+    with pytest.raises(Exception, match="no colon in the pair plain"):
+        frame([("plain b:2",)], "t string").select(pairs_to_map(F.col("t"))).collect()
+
+
+def test_a_collection_without_parts_keeps_its_fingerprint(frame):
+    parts = frame([("a", "1.1.0", 5)], "collection string, geoparquet_version string, max_row_group_rows bigint")
+    known = frame([("a", "L"), ("b", "L")], "collection string, license string").withColumn("columns", F.array())
+    assert {r.collection: (r["items"], r.geoparquet) for r in manifest.fingerprint(known, parts, "r").collect()} == {"a": (1, ["1.1.0"]), "b": (0, [])}
+
+
 def test_only_the_parts_of_a_window_are_opened(spark, frame, tmp_path):
     base = f"{tmp_path}/t"
     geo_part(f"{base}/theme=x/type=a/part-0.parquet", 5, 5)
