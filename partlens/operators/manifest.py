@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partlens.functions.boxes import clamp_bbox
@@ -143,9 +143,9 @@ def release_literal(release: str) -> str:
     return f"{release[:10]}T00:00:00Z"
 
 
-def item_records(parts: DataFrame) -> DataFrame:
-    """One item document per part, as a struct ready for a JSON sink."""
-    data = F.struct(
+def _data_asset() -> Column:
+    """The asset of one part, from its ``part_id``, ``href`` and ``s3``."""
+    return F.struct(
         F.col("href").alias("href"),
         F.lit(PARQUET_TYPE).alias("type"),
         F.array(F.lit("data")).alias("roles"),
@@ -155,11 +155,66 @@ def item_records(parts: DataFrame) -> DataFrame:
         ).alias("alternate"),
     )
 
-    def link(rel: str, href: str):
-        return F.struct(
-            F.lit(rel).alias("rel"), F.lit(href).alias("href"), F.lit("application/json").alias("type")
+
+def _link(rel: str, href: str) -> Column:
+    return F.struct(F.lit(rel).alias("rel"), F.lit(href).alias("href"), F.lit("application/json").alias("type"))
+
+
+def _texts(values: Sequence[str]) -> Column:
+    return F.array(*(F.lit(v) for v in values)).cast("array<string>")
+
+
+def collection_documents(
+    records: DataFrame, columns: DataFrame, parts: DataFrame, extensions: Sequence[str] = ()
+) -> DataFrame:
+    """One collection document per record, as a struct ready for a JSON sink.
+
+    ``records`` come from :func:`collection_records`, ``columns`` are (collection, position,
+    column, description) and ``parts`` (collection, part_id, href, s3). A collection of one
+    part holds the data itself, as an asset. Links to items are rows of their own (see
+    :func:`single_part_rule`): there may be any number.
+    """
+    # A table has a schema's worth of columns.
+    ordered = F.array_sort(F.collect_list(F.struct("position", "column", "description")))
+    listed = columns.groupBy("collection").agg(ordered.alias("_columns"))
+    held = parts.groupBy("collection").agg(F.count(F.lit(1)).alias("_parts"), F.min(F.struct("part_id", "href", "s3")).alias("_only"))
+    only = held.where(F.col("_parts") == 1).select("collection", "_only.*").withColumn("_data", _data_asset()).select("collection", "_data")
+    named = F.transform(
+        F.coalesce("_columns", F.array().cast("array<struct<position:int,column:string,description:string>>")),
+        lambda c: F.struct(c["column"].alias("name"), c["description"].alias("description")),
+    )
+    interval = F.array(F.array(F.col("updated"), F.lit(None).cast("string")))
+    return (
+        records.join(listed, "collection", "left")
+        .join(only, "collection", "left")
+        .select(
+            "collection",
+            F.concat("collection", F.lit("/collection.json")).alias("path"),
+            F.struct(
+                F.lit("Collection").alias("type"),
+                F.lit("1.1.0").alias("stac_version"),
+                _texts(sorted(extensions)).alias("stac_extensions"),
+                F.col("type").alias("id"),
+                "title",
+                "description",
+                "license",
+                F.struct(
+                    F.struct(F.array("bbox").alias("bbox")).alias("spatial"), F.struct(interval.alias("interval")).alias("temporal")
+                ).alias("extent"),
+                "updated",
+                named.alias("table:columns"),
+                F.struct(F.col("_data").alias("data")).alias("assets"),
+                F.array(_link("root", "../../catalog.json"), _link("parent", "../catalog.json")).alias("links"),
+            ).alias("doc"),
         )
+    )
 
+
+def item_records(parts: DataFrame, extensions: Sequence[str] = ()) -> DataFrame:
+    """One item document per part, as a struct ready for a JSON sink.
+
+    ``geometry`` of the part, a GeoJSON geometry as a struct, goes in as it is.
+    """
     return parts.select(
         "collection",
         "part_id",
@@ -167,17 +222,19 @@ def item_records(parts: DataFrame) -> DataFrame:
         F.struct(
             F.lit("Feature").alias("type"),
             F.lit("1.1.0").alias("stac_version"),
+            _texts(extensions).alias("stac_extensions"),
             F.col("part_id").alias("id"),
             type_of(F.col("collection")).alias("collection"),
             clamp_bbox(F.col("bbox")).alias("bbox"),
+            F.col("geometry"),
             F.struct(
                 F.col("datetime").alias("datetime"), F.col("rows").alias("table:row_count")
             ).alias("properties"),
-            F.struct(data.alias("data")).alias("assets"),
+            F.struct(_data_asset().alias("data")).alias("assets"),
             F.array(
-                link("root", "../../../catalog.json"),
-                link("parent", "../collection.json"),
-                link("collection", "../collection.json"),
+                _link("root", "../../../catalog.json"),
+                _link("parent", "../collection.json"),
+                _link("collection", "../collection.json"),
             ).alias("links"),
         ).alias("doc"),
     )

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from partlens.functions.paths import resolve
 from partlens.functions.text import tidy
 from partlens.scale import BLOCK_ROWS, running_last
 from partlens.session import cut_lineage
@@ -23,6 +24,20 @@ def table_columns(collections: DataFrame, meanings: DataFrame) -> DataFrame:
     )
 
 
+def reference_target(file: Column, ref: Column) -> Column:
+    """The node a reference means, as ``file#/segments``: what :func:`resolve_references` takes.
+
+    The file part is relative to the file that holds the reference, and none means that
+    file itself; empty segments of the pointer are left out. References to web addresses
+    lead out of the documents and are null.
+    """
+    part = F.substring_index(ref, "#", 1)
+    inside = F.when(ref.contains("#"), F.substring_index(ref, "#", -1)).otherwise("")
+    segments = F.filter(F.split(inside, "/"), lambda s: s != "")
+    pointer = F.concat(F.lit("#"), F.array_join(F.transform(segments, lambda s: F.concat(F.lit("/"), s)), ""))
+    return F.when(~ref.startswith("http"), F.concat(F.when(part == "", file).otherwise(resolve(file, part)), pointer))
+
+
 def resolve_references(nodes: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Follow ``ref`` from every node to the end of its chain, a key set nearer to the node winning.
 

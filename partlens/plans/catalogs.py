@@ -119,24 +119,80 @@ def collection_record(data):
     return made.select(*(c for c in made.columns if c != "bbox"), *corner)
 
 
+@query(
+    "prj_2_collection_document",
+    """WITH p AS (SELECT collection, count(*) AS n, min(part_no) AS part_no FROM land_parts GROUP BY collection)
+       SELECT l.collection || '/collection.json' AS path, split_part(l.collection, '/', 2) AS id, license,
+              greatest(least(x1, 180.0), -180.0) AS east, '2026-11-18T00:00:00Z' AS since, 'id' AS first, 'Identifier in ' || license AS said, 'bbox' AS second,
+              CASE WHEN n = 1 THEN 's3://mirror/' || l.collection || '/' || lpad(CAST(part_no AS STRING), 5, '0') END AS s3, '../catalog.json' AS parent
+       FROM lands l LEFT JOIN p ON p.collection = l.collection""",
+)
+def collection_document(data):
+    records = manifest.collection_records(lands(data), "2026-11-18.0")
+    columns = data.lands.select(
+        "collection",
+        F.inline(F.array(
+            F.struct(F.lit(1).alias("position"), F.lit("bbox").alias("column"), F.lit(None).cast("string").alias("description")),
+            F.struct(F.lit(0).alias("position"), F.lit("id").alias("column"), F.concat(F.lit("Identifier in "), "license").alias("description")),
+        )),
+    )
+    parts = data.lands_parts.select(
+        "collection", "part_id", F.concat(F.lit("https://mirror.example.org/"), "collection").alias("href"),
+        F.concat_ws("/", F.lit("s3://mirror"), "collection", "part_id").alias("s3"),
+    )
+    made = manifest.collection_documents(records, columns, parts).select("path", F.to_json("doc").alias("json"))
+    field = lambda path: F.get_json_object("json", path)
+    return made.select(
+        "path",
+        field("$.id").alias("id"),
+        field("$.license").alias("license"),
+        field("$.extent.spatial.bbox[0][2]").cast("double").alias("east"),
+        field("$.extent.temporal.interval[0][0]").alias("since"),
+        F.get_json_object(F.regexp_replace("json", "table:columns", "columns"), "$.columns[0].name").alias("first"),
+        F.get_json_object(F.regexp_replace("json", "table:columns", "columns"), "$.columns[0].description").alias("said"),
+        F.get_json_object(F.regexp_replace("json", "table:columns", "columns"), "$.columns[1].name").alias("second"),
+        field("$.assets.data.alternate.s3.href").alias("s3"),
+        field("$.links[1].href").alias("parent"),
+    )
+
+
+@query(
+    "join_11_reference_targets",
+    """SELECT p_partkey AS id, CASE p_partkey % 4 WHEN 0 THEN 'schemas/' || p_brand || '/main.yaml#/defs/a~1b' WHEN 1 THEN 'schemas/common/y.yaml#/defs/z'
+              WHEN 2 THEN NULL ELSE 'schemas/' || p_brand || '/other.yaml#' END AS target FROM part""",
+)
+def reference_targets(data):
+    kind = F.col("p_partkey") % 4
+    ref = F.when(kind == 0, "#/defs/a~1b").when(kind == 1, "../common/y.yaml#/defs//z").when(kind == 2, "https://geo.example.org/x.json").otherwise("other.yaml")
+    file = F.concat(F.lit("schemas/"), "p_brand", F.lit("/main.yaml"))
+    return data.part.select(F.col("p_partkey").alias("id"), meanings.reference_target(file, ref).alias("target"))
+
+
 @query(
     "prj_3_item_record",
     """SELECT collection, lpad(CAST(part_no AS STRING), 5, '0') AS part_id,
               collection || '/items/' || lpad(CAST(part_no AS STRING), 5, '0') || '.json' AS path,
-              greatest(pxmin, -180.0) AS west, row_cnt, substring(collection, 5) AS of,
+              greatest(pxmin, -180.0) AS west, pxmax AS corner, 'Polygon' AS shape, 'https://schemas.example.org/alternate/v1.0.0' AS extension,
+              row_cnt, substring(collection, 5) AS of,
               's3://mirror/release/' || collection || '/part-' || lpad(CAST(part_no AS STRING), 5, '0') || '.parquet' AS s3
        FROM geo_parts""",
 )
 def item_record(data):
     parts = manifest.with_object_address(data.parts, "mirror").withColumn("datetime", F.lit("2026-11-18T00:00:00Z"))
+    west, south, east, north = (F.element_at("bbox", i) for i in range(1, 5))
+    ring = F.array(*(F.array(x, y) for x, y in ((west, south), (east, south), (east, north), (west, north), (west, south))))
+    parts = parts.withColumn("geometry", F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")))
     doc = F.to_json("doc")
     field = lambda path: F.get_json_object("json", path)
-    made = manifest.item_records(parts).select("collection", "part_id", "path", doc.alias("json"))
+    made = manifest.item_records(parts, ["https://schemas.example.org/alternate/v1.0.0"]).select("collection", "part_id", "path", doc.alias("json"))
     return made.select(
         "collection",
         "part_id",
         "path",
         field("$.bbox[0]").cast("double").alias("west"),
+        field("$.geometry.coordinates[0][2][0]").cast("double").alias("corner"),
+        field("$.geometry.type").alias("shape"),
+        field("$.stac_extensions[0]").alias("extension"),
         field("$.properties['table:row_count']").cast("bigint").alias("row_cnt"),
         field("$.collection").alias("of"),
         field("$.assets.data.alternate.s3.href").alias("s3"),

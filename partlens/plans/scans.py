@@ -131,6 +131,20 @@ def malformed_documents(data):
     return documents.malformed(item_documents(data)).drop("message")
 
 
+@query(
+    "src_5_misshapen_fields",
+    """SELECT 'error' AS severity, 'misshapen field' AS rule_id, 's' || CAST(s_suppkey AS STRING) AS path,
+              CASE s_suppkey % 4 WHEN 1 THEN 'links' ELSE 'assets' END || ' is not of its form' AS message FROM supplier WHERE s_suppkey % 4 IN (1, 2)""",
+)
+def misshapen_fields(data):
+    kind = F.col("s_suppkey") % 4
+    links = F.when(kind == 1, '"none"').when(kind == 3, "null").otherwise('[{"rel": "root", "href": "x", "more": 1}]')
+    assets = F.when(kind == 2, "[1]").otherwise('{"data": {"href": "y"}}')
+    raw = F.concat(F.lit('{"type": "Catalog", "links": '), links, F.lit(', "assets": '), assets, F.lit("}"))
+    docs = data.supplier.select(F.concat(F.lit("s"), "s_suppkey").alias("path"), raw.alias("raw"))
+    return documents.misshapen(documents.nodes(docs.withColumn("doc", F.try_parse_json("raw"))))
+
+
 FOOTER_TABLES = " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS row_cnt FROM {t}" for t in TABLES)
 
 

@@ -40,10 +40,10 @@ def read_documents(spark: SparkSession, root: str) -> DataFrame:
 
 
 def nodes(documents: DataFrame) -> DataFrame:
-    """(path, type, id, raw) of the documents that belong to a catalog."""
+    """(path, type, id, doc) of the documents that belong to a catalog."""
     kind = F.try_variant_get("doc", "$.type", "string")
     return documents.select(
-        "path", kind.alias("type"), F.try_variant_get("doc", "$.id", "string").alias("id"), "raw"
+        "path", kind.alias("type"), F.try_variant_get("doc", "$.id", "string").alias("id"), "doc"
     ).where(F.col("type").isin(*TYPES))
 
 
@@ -54,16 +54,30 @@ def malformed(documents: DataFrame) -> DataFrame:
     )
 
 
+def misshapen(node_rows: DataFrame) -> DataFrame:
+    """A finding for every field of links or assets that is there and is not of their form."""
+    def wrong(field: str, form: str):
+        there = F.try_variant_get("doc", f"$.{field}", "variant")
+        bad = there.isNotNull() & ~F.is_variant_null(there) & F.try_variant_get("doc", f"$.{field}", form).isNull()
+        return F.when(bad, F.lit(field))
+
+    found = F.array_compact(F.array(wrong("links", LINK), wrong("assets", ASSETS)))
+    return node_rows.select("path", F.explode(found).alias("field")).select(
+        F.lit("error").alias("severity"), F.lit("misshapen field").alias("rule_id"), "path",
+        F.concat("field", F.lit(" is not of its form")).alias("message"),
+    )
+
+
 def links(node_rows: DataFrame) -> DataFrame:
     """(path, position, rel, href, type, title, latest), one row per link."""
-    parsed = F.from_json("raw", f"struct<links:{LINK}>")["links"]
-    # The outer form spares a test for empty lists that would parse every text twice.
+    parsed = F.try_variant_get("doc", "$.links", LINK)
+    # The outer form spares a test for empty lists that would convert every list twice.
     rows = node_rows.select("path", F.posexplode_outer(parsed).alias("position", "_l"))
     return rows.where(F.col("position").isNotNull()).select("path", "position", "_l.*")
 
 
 def assets(node_rows: DataFrame) -> DataFrame:
     """(path, key, href, type, roles, title), one row per asset."""
-    parsed = F.from_json("raw", f"struct<assets:{ASSETS}>")["assets"]
+    parsed = F.try_variant_get("doc", "$.assets", ASSETS)
     rows = node_rows.select("path", F.explode_outer(parsed).alias("key", "_a"))
     return rows.where(F.col("key").isNotNull()).select("path", "key", "_a.*")
