@@ -23,6 +23,30 @@ def fenced_blocks(
 ) -> DataFrame:
     """Every closed fence of a language: (file_id, line_no of its opening, trimmed text).
 
+    The text of a block is one value here; :func:`fenced_lines` keeps its lines apart.
+    """
+    body, closed = _fenced(lines, language, block_rows)
+    whole = F.concat_ws(
+        "\n", F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda s: s["text"])
+    )
+    texts = body.groupBy("file_id", "start").agg(whole.alias("whole"))
+    return closed.join(texts, ["file_id", "start"], "left").select(
+        "file_id",
+        F.col("start").alias("line_no"),
+        F.regexp_replace(F.coalesce("whole", F.lit("")), r"(?U)^\s+|\s+$", "").alias("block"),
+    )
+
+
+def fenced_lines(lines: DataFrame, language: str = "sql", *, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Every line inside a closed fence: (file_id, block, line_no, text), ``block`` being the line of
+    its opening. A block of any length is as many rows."""
+    body, _ = _fenced(lines, language, block_rows)
+    return body.select("file_id", F.col("start").alias("block"), "line_no", "text")
+
+
+def _fenced(lines: DataFrame, language: str, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The lines inside closed fences, with the line of the opening as ``start``, and those openings.
+
     The kind of the last fence line above a row says whether the row is inside a block,
     and the last opening that was not itself inside one says which. A fence that is never
     closed yields nothing.
@@ -39,17 +63,7 @@ def fenced_blocks(
     ).where(F.col("within"))
     closed = placed.where(F.col("kind") == 0).select("file_id", "start")
     body = placed.where(F.col("kind").isNull() | (F.col("kind") == 1)).select("file_id", "start", "line_no", "text")
-    # The text of one block is one result value.
-    whole = F.concat_ws(
-        "\n", F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda s: s["text"])
-    )
-    kept = body.join(closed, ["file_id", "start"], "left_semi")
-    texts = kept.groupBy("file_id", "start").agg(whole.alias("whole"))
-    return closed.join(texts, ["file_id", "start"], "left").select(
-        "file_id",
-        F.col("start").alias("line_no"),
-        F.regexp_replace(F.coalesce("whole", F.lit("")), r"(?U)^\s+|\s+$", "").alias("block"),
-    )
+    return body.join(closed, ["file_id", "start"], "left_semi"), closed
 
 
 def document_blocks(documents: DataFrame, language: str = "sql", key: str = "file_id", text: str = "text") -> DataFrame:

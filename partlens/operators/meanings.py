@@ -138,9 +138,26 @@ COMMENT_LINE = r"^(?U)\s*#\s?(.*)$"
 def value_comments(lines: DataFrame, *, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Comment text per listed value, from (file_id, line_no, text) lines.
 
+    The text of one run is one value here; :func:`comment_lines` keeps its lines apart. None is
+    kept when its text is empty.
+    """
+    joined = F.concat_ws(
+        " ", F.transform(F.array_sort(F.collect_list(F.struct("line_no", "said"))), lambda s: s["said"])
+    )
+    return (
+        comment_lines(lines, block_rows=block_rows)
+        .groupBy("file_id", "value")
+        .agg(joined.alias("joined"))
+        .select("file_id", "value", F.regexp_replace("joined", r"(?U)^\s+|\s+$", "").alias("comment"))
+        .where(F.col("comment") != "")
+    )
+
+
+def comment_lines(lines: DataFrame, *, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(file_id, value, line_no, said): every line of the comment that counts for a value.
+
     A list item opens a run, comment lines add to it, blank lines leave it open and any
-    other line closes it. Of several commented runs of a value the last one counts, and
-    none is kept when its text is empty.
+    other line closes it. Of several commented runs of a value the last one counts.
     """
     text = F.col("text")
     item, comment = text.rlike(ITEM_LINE), text.rlike(COMMENT_LINE)
@@ -156,17 +173,7 @@ def value_comments(lines: DataFrame, *, block_rows: int = BLOCK_ROWS) -> DataFra
         .select("file_id", "line_no", F.col("run.at").alias("at"), F.col("run.value").alias("value"), "said")
     )
     last = spoken.groupBy("file_id", "value").agg(F.max("at").alias("at"))
-    # The text of one run is one result value.
-    joined = F.concat_ws(
-        " ", F.transform(F.array_sort(F.collect_list(F.struct("line_no", "said"))), lambda s: s["said"])
-    )
-    return (
-        spoken.join(last, ["file_id", "value", "at"], "left_semi")
-        .groupBy("file_id", "value")
-        .agg(joined.alias("joined"))
-        .select("file_id", "value", F.regexp_replace("joined", r"(?U)^\s+|\s+$", "").alias("comment"))
-        .where(F.col("comment") != "")
-    )
+    return spoken.join(last, ["file_id", "value", "at"], "left_semi").select("file_id", "value", "line_no", "said")
 
 
 def enum_descriptions(enums: DataFrame, file_comments: DataFrame, theme_comments: DataFrame) -> DataFrame:

@@ -376,6 +376,15 @@ def comment_recovery(data):
     return meanings.value_comments(data.enum_lines)
 
 
+@query(
+    "txt_2_comment_lines",
+    SAID + """, n AS (SELECT file_id, value, max(run) AS run FROM o WHERE said IS NOT NULL GROUP BY ALL)
+    SELECT file_id, value, line_no, said FROM o JOIN n USING (file_id, value, run) WHERE said IS NOT NULL""",
+)
+def comment_lines(data):
+    return meanings.comment_lines(data.enum_lines)
+
+
 @query(
     "join_10_enum_comments",
     SAID + """, e AS (SELECT c.conv_id AS collection, 'v' || CAST(v.k AS STRING) AS value, c.conv_id % 10 AS theme

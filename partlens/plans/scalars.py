@@ -261,6 +261,15 @@ def fenced_blocks(data):
     return blocks.fenced_blocks(data.md_lines).withColumn("line_no", F.col("line_no").cast("bigint"))
 
 
+@query(
+    "txt_1_fenced_lines",
+    """SELECT file_id, CASE WHEN line_no <= 5 THEN 3 ELSE 8 END AS block, line_no, text
+       FROM md_lines WHERE line_no IN (4, 5) OR (line_no = 9 AND file_id % 2 = 0)""",
+)
+def fenced_lines(data):
+    return blocks.fenced_lines(data.md_lines)
+
+
 def guide_texts(data: Data):
     """One guide per document: its text, then a fence with its language and size."""
     fence = "`" * 3
