@@ -40,12 +40,14 @@ def local_session(cpus: int = 8, app: str = "partlens", memory: str = "8g") -> S
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as ``spark.checkpoint.dir`` or the context names it."""
+    """The folder every executor can reach, as ``spark.checkpoint.dir`` or the context names it.
+
+    Where neither does it is a folder below the session's warehouse, which executors share
+    as well.
+    """
     context = spark.sparkContext
     named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return named
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.partlens"
 
 
 def workspace(spark: SparkSession, name: str) -> str:
