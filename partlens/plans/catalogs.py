@@ -69,16 +69,21 @@ def geometry_kinds(data):
 
 
 PARTS = """
-WITH l AS (SELECT path, count(*) AS n FROM cat_links WHERE rel = 'item' AND path NOT LIKE '%#_24/%' ESCAPE '#' GROUP BY path),
+WITH l AS (SELECT path, count(*) AS n FROM cat_links WHERE rel = 'item' GROUP BY path),
+nodes AS (SELECT path, type FROM cat_nodes UNION ALL SELECT 'NEW/bare/collection.json', 'Collection' UNION ALL SELECT 'NEW/whole/collection.json', 'Collection'),
 c AS (SELECT n.path, replace(n.path, '/collection.json', '') AS collection, coalesce(l.n, 0) AS n,
-      EXISTS (SELECT 1 FROM cat_assets a WHERE a.path = n.path AND a.key = 'data') AS own
-      FROM cat_nodes n LEFT JOIN l ON l.path = n.path WHERE n.type = 'Collection'),
+      n.path = 'NEW/whole/collection.json' OR EXISTS (SELECT 1 FROM cat_assets a WHERE a.path = n.path AND a.key = 'data') AS own
+      FROM nodes n LEFT JOIN l ON l.path = n.path WHERE n.type = 'Collection'),
 p AS (SELECT collection, CASE WHEN n = 0 AND own THEN 1 ELSE n END AS parts FROM c)"""
 
 
 def counted_parts(data):
-    linked = data.cat_links.where(~F.col("path").contains("_24/"))
-    return manifest.parts_per_collection(data.cat_nodes, linked, data.cat_assets)
+    # Besides the given ones a collection that holds its data itself, and one that holds nothing.
+    paths = [(f"NEW/{name}/collection.json",) for name in ("bare", "whole")]
+    fresh = literal_rows(data.spark, paths, "path string")
+    nodes = data.cat_nodes.select("path", "type").unionByName(fresh.withColumn("type", F.lit("Collection")))
+    own = fresh.where(F.col("path").contains("whole")).withColumn("key", F.lit("data"))
+    return manifest.parts_per_collection(nodes, data.cat_links, data.cat_assets.select("path", "key").unionByName(own))
 
 
 @query(

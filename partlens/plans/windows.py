@@ -69,18 +69,19 @@ def scan_scope_windowed(data):
 
 @query(
     "flt_5_column_skip",
-    "SELECT * FROM (VALUES " + ", ".join(
-        f"('{c}', '{k}')" for c, k in [
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", '{k}' AS kind, count({c}) AS present FROM geo_boxes""" for c, k in [
             ("subtype", "text"), ("status", "text"), ("cust", "text"), ("dominant", "text"),
             ("sparse", "text"), ("band", "text"), ("depth", "numeric"),
         ]
-    ) + ") AS t(\"column\", kind) WHERE EXISTS (SELECT 1 FROM geo_boxes)",
+    ),
 )
 def column_skip(data):
+    """The columns a profile reads, with what their type allows and how often they hold a value."""
     kinds = profile.column_kinds(data.features)
-    present = profile.null_share(data.features, list(kinds)).select("column")
+    shares = profile.null_share(data.features, list(kinds))
     listed = F.create_map(*(F.lit(v) for pair in kinds.items() for v in pair))
-    return present.select("column", listed[F.col("column")].alias("kind"))
+    return shares.select("column", listed[F.col("column")].alias("kind"), "present")
 
 
 @query(
