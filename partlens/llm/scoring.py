@@ -20,7 +20,8 @@ MOST_FILTER_BITS = 1 << 29
 REGIONS = 256
 PROBES = 4
 LEVELS = 40
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 10_000_000
+PACKED_TOKENS = 2_000_000
 SEGMENT_KEYS = 1_000_000
 START = np.uint64(0x9E3779B97F4A7C15)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -83,16 +84,29 @@ class Filter:
         return found
 
 
+def narrow(steps: np.ndarray) -> bytes:
+    """Steps between sorted keys in as few bytes each as the largest needs; the first byte says how many."""
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
+    return bytes([width]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def widen(packed: bytes) -> np.ndarray:
+    low = np.frombuffer(packed, np.uint8, offset=1).reshape(-1, packed[0])
+    whole = np.zeros((len(low), 8), np.uint8)
+    whole[:, : packed[0]] = low
+    return whole.view("<u8").ravel()
+
+
 def _sized(keys: int, most_bits: int) -> int:
-    """A power of two of at least eight bits for each expected key, within the bound."""
-    return max(1 << 16, min(most_bits, 1 << max(0, 8 * keys - 1).bit_length()))
+    """A power of two of at least sixteen bits for each expected key, within the bound."""
+    return max(1 << 16, min(most_bits, 1 << max(0, 16 * keys - 1).bit_length()))
 
 
 def build_filter(texts: DataFrame, tokens: int, most_bits: int) -> np.ndarray:
     """The filter over the adjacent words of all ``_text`` rows, ``tokens`` of them at most.
 
     A task sends the distinct pairs of each stretch of its texts with their counts, packed
-    by segment of the key space. Segments are as many as it takes to hold about
+    by segment of the key space as steps between sorted keys. Segments are as many as it takes to hold about
     ``SEGMENT_KEYS`` keys each, so the work of one does not grow with the corpus. Each gives
     the bits of its region; only the regions, of a size bounded by ``most_bits``, meet on
     the driver.
@@ -107,12 +121,13 @@ def build_filter(texts: DataFrame, tokens: int, most_bits: int) -> np.ndarray:
             keys, counts = np.unique(np.concatenate(held), return_counts=True)
             segment = (keys >> shift).astype(np.int64)
             cuts = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1], [True])))
-            low = keys.view(np.uint8).reshape(-1, 8)[:, :7]
             spans = list(zip(cuts, cuts[1:]))
+            steps = [np.diff(keys[a:b], prepend=keys[a]) for a, b in spans]
             often = [np.flatnonzero(counts[a:b] > 1) for a, b in spans]
             return pd.DataFrame({
                 "_segment": segment[cuts[:-1]],
-                "_keys": [low[a:b].tobytes() for a, b in spans],
+                "_first": keys[cuts[:-1]].view(np.int64),
+                "_steps": [narrow(x) for x in steps],
                 "_often": [o.astype(np.int32).tobytes() for o in often],
                 "_counts": [counts[a:b][o].astype(np.int32).tobytes() for (a, b), o in zip(spans, often)],
             })
@@ -122,7 +137,7 @@ def build_filter(texts: DataFrame, tokens: int, most_bits: int) -> np.ndarray:
             for text in batch["_text"]:
                 held.append(pair_keys([*lower_words(text), END]))
                 size += len(held[-1])
-                if size >= SEGMENT_KEYS:
+                if size >= PACKED_TOKENS:
                     yield sent(held)
                     held, size = [], 0
         if held:
@@ -147,10 +162,9 @@ def build_filter(texts: DataFrame, tokens: int, most_bits: int) -> np.ndarray:
                     yield region(at, held)
                     held = []
                 at = row[0]
-                low = np.frombuffer(row[1], np.uint8).reshape(-1, 7)
-                keys = np.concatenate((low, np.full((len(low), 1), at >> deep, np.uint8)), axis=1).view(np.uint64).ravel()
+                keys = np.cumsum(widen(row[2]), dtype=np.uint64) + np.uint64(row[1] % (1 << 64))
                 counts = np.ones(len(keys))
-                counts[np.frombuffer(row[2], np.int32)] = np.frombuffer(row[3], np.int32)
+                counts[np.frombuffer(row[3], np.int32)] = np.frombuffer(row[4], np.int32)
                 held.append((keys, counts))
         if held:
             yield region(at, held)
@@ -167,7 +181,7 @@ def build_filter(texts: DataFrame, tokens: int, most_bits: int) -> np.ndarray:
         if own is not None:
             yield pd.DataFrame({"_region": [at], "_bits": [own.tobytes()]})
 
-    packed = texts.select("_text").mapInPandas(pack, "_segment long, _keys binary, _often binary, _counts binary")
+    packed = texts.select("_text").mapInPandas(pack, "_segment long, _first long, _steps binary, _often binary, _counts binary")
     regions = packed.repartition("_segment").sortWithinPartitions("_segment").mapInPandas(set_bits, "_region long, _bits binary")
     if deep:
         regions = regions.repartition("_region").sortWithinPartitions("_region").mapInPandas(merge, "_region long, _bits binary")
