@@ -20,7 +20,7 @@ MOST_FILTER_BITS = 1 << 29
 REGIONS = 256
 PROBES = 4
 LEVELS = 40
-BLOCK_CHARS = 10_000_000
+BLOCK_CHARS = 8_000_000
 PACKED_TOKENS = 2_000_000
 SEGMENT_KEYS = 1_000_000
 START = np.uint64(0x9E3779B97F4A7C15)
@@ -263,12 +263,16 @@ def scores(
     looked_up = words.select("_block", "_word").join(counts, "_word").where("_all > 0")
 
     def score(key, texts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        held = dict(zip(known["_word"], known["_all"]))
-        lists = [[*lower_words(t), END] for t in texts["_text"]]
-        ends = np.cumsum([len(x) for x in lists])
-        count = np.array([held.get(w, 0) for x in lists for w in x], np.float64)
-        keys = np.concatenate([pair_keys(x) for x in lists])
-        keys, where = np.unique(keys, return_inverse=True)
+        held = dict(zip(known["_word"], known["_all"])).get
+        counts, pairs_met = [], []
+        for text in texts["_text"]:
+            words = [*lower_words(text), END]
+            counts.append(np.fromiter((held(w, 0) for w in words), np.float64, len(words)))
+            pairs_met.append(pair_keys(words))
+        ends = np.cumsum([len(c) for c in counts])
+        count = np.concatenate(counts)
+        keys, where = np.unique(np.concatenate(pairs_met), return_inverse=True)
+        del held, counts, pairs_met
         pair = VALUES[Filter(pairs.value).levels(keys)][where]
         begins = np.concatenate(([0], ends[:-1]))
         before = np.concatenate(([0.0], count[:-1]))
