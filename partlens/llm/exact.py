@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 from partlens.llm.common import stored, text_of
 from partlens.session import workspace
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: The state is on disk, takes only the disk it fills, and writes changes rather than whole copies.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
 
 
 def sha256(text: Column) -> Column:
@@ -42,8 +47,9 @@ def fold(arrivals: DataFrame, state: str):
     spark = arrivals.sparkSession
     kept = F.max(F.struct("_id", "_file", "_row")).alias("_kept")
     folded = arrivals.groupBy("_digest").agg(kept, F.count(F.lit(1)).alias("_n"))
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE}
+    for key, value in STATE.items():
+        spark.conf.set(key, value)
     try:
         running = (
             folded.writeStream.outputMode("update")
@@ -54,7 +60,8 @@ def fold(arrivals: DataFrame, state: str):
         )
         running.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
 
 
 def read_state(spark: SparkSession, state: str) -> DataFrame:
