@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partlens.llm import bpe, exact, mainhtml, nearest, packing, quality, scoring, simhash, substrings, warc
+from partlens.llm import bpe, exact, mainhtml, nearest, packing, quality, runs, scoring, simhash, substrings, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -155,3 +155,65 @@ _REVISITS = rf"""
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     found = warc.resolve_revisits(warc.captures(_table(spark, folder, "pages")))
     return found.withColumn("headers", warc.header_text(F.col("headers")))
+
+
+def _crc32(text: str) -> str:
+    """crc32 of a short ASCII text, bit by bit: a step -1 shifts, any other takes in a byte."""
+    return f"""
+        xor(4294967295, list_reduce(flatten(list_transform(range(1, length({text}) + 1),
+            lambda k: list_concat([ascii(substr({text}, k, 1))::BIGINT], list_transform(range(8), lambda b: -1::BIGINT)))),
+            lambda c, v: CASE WHEN v >= 0 THEN xor(c, v) ELSE xor(c >> 1, 3988292384::BIGINT * (c & 1)) END, 4294967295::BIGINT))
+    """
+
+
+_RUNS = rf"""
+    WITH given AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words, {_crc32("doc_id::VARCHAR")} AS h FROM documents),
+    sized AS (SELECT *, len(words) AS n, h // 10 AS g FROM given),
+    begun AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM sized),
+    replayed AS (
+        SELECT doc_id, n, CASE WHEN h % 10 <> 0 OR n = 0 THEN words
+               ELSE list_transform(range(n), lambda i: words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) END AS words
+        FROM begun),
+    placed AS (SELECT doc_id, n, unnest(words) AS word, unnest(range(n)) AS i FROM replayed),
+    equal AS (
+        SELECT x.doc_id, y.i - x.i AS q, x.i AS i,
+               x.i - row_number() OVER (PARTITION BY x.doc_id, y.i - x.i ORDER BY x.i) AS stretch
+        FROM placed x JOIN placed y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND y.i - x.i <= x.n // 2),
+    stretches AS (
+        SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM equal GROUP BY doc_id, q, stretch
+        HAVING count(*) >= greatest(q, 12 - q)),
+    runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+    kept AS (
+        SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS line FROM placed ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+    told AS (
+        SELECT doc_id, count(*) AS n_runs, min((-length, start, period)) AS top,
+               string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+        FROM runs GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_runs, 0) AS n_runs, top[2] AS start, -top[1] AS length, top[3] AS period,
+           1000 * -top[1] // top[3] AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+           sha256(coalesce(line, '')) AS collapsed_sha256
+    FROM replayed LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@_query("op11_periodic_runs", _RUNS)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.collapsed(runs.replayed(_table(spark, folder, "documents")))
+    # The longest run, of those the first, of those the one of smallest period.
+    top = F.expr("""
+        aggregate(runs, CAST(null AS STRUCT<start: BIGINT, length: BIGINT, period: BIGINT>),
+                  (best, r) -> CASE WHEN best IS NULL OR r.length > best.length THEN r ELSE best END)
+    """)
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("_top", top).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "_top.start",
+        "_top.length",
+        "_top.period",
+        F.expr("1000 * _top.length DIV _top.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("kept_text", 256).alias("collapsed_sha256"),
+    )
