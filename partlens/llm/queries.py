@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partlens.llm import bpe, exact, mainhtml, nearest, packing, quality, runs, scoring, simhash, substrings, warc
+from partlens.llm import bpe, exact, mainhtml, mixing, nearest, packing, quality, runs, scoring, simhash, substrings, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -217,3 +217,40 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(lines, 256).alias("runs_sha256"),
         F.sha2("kept_text", 256).alias("collapsed_sha256"),
     )
+
+
+_MIX = r"""
+    WITH given AS (
+        SELECT doc_id, source, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+               md5('mix' || chr(10) || coalesce(doc_id::VARCHAR, '') || chr(10) || md5(coalesce(text, ''))) AS chance
+        FROM documents),
+    drawn AS (
+        SELECT doc_id, source, len(words) AS size,
+               -ln((('0x' || substr(chance, 1, 13))::BIGINT + 1) / 4503599627370496.0::DOUBLE)
+               / CASE WHEN len(words) > 0 THEN 0.5::DOUBLE + len(list_distinct(words))::DOUBLE / len(words) ELSE 1.5::DOUBLE END AS key
+        FROM given),
+    sizes AS (SELECT source, sum(size)::BIGINT AS source_size FROM drawn GROUP BY source),
+    weighed AS (
+        SELECT *, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight FROM sizes),
+    stops AS (
+        SELECT *, row_number() OVER least AS n, sum(3 * source_size) OVER least - 3 * source_size AS stopped,
+               sum(weight) OVER () - sum(weight) OVER least + weight AS free, sum(source_size) OVER () AS total
+        FROM weighed WINDOW least AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+    worths AS (
+        SELECT min_by((total - stopped)::DOUBLE / free::DOUBLE, n) AS worth FROM stops
+        WHERE 3 * source_size >= (total - stopped)::DOUBLE / free::DOUBLE * weight),
+    wanted AS (SELECT source, source_size, least(3.0::DOUBLE * source_size, worth * weight) AS target FROM weighed, worths),
+    budgets AS (
+        SELECT *, CASE WHEN source_size > 0 THEN floor(target + 0.5)::BIGINT // source_size ELSE 0 END AS epochs,
+               floor(target + 0.5)::BIGINT AS budget FROM wanted),
+    placed AS (
+        SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS before FROM drawn)
+    SELECT doc_id, p.source, size, source_size, target, epochs,
+           (epochs * size + greatest(least(budget - epochs * source_size - before, size), 0))::BIGINT AS taken
+    FROM placed p JOIN budgets b ON p.source IS NOT DISTINCT FROM b.source
+"""
+
+
+@_query("op13_source_mix", _MIX)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(_table(spark, folder, "documents"))
