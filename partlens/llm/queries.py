@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partlens.llm import bpe, exact, mainhtml, mixing, nearest, packing, quality, runs, scoring, simhash, substrings, warc
+from partlens.llm import bpe, exact, mainhtml, mixing, nearest, packing, quality, runs, scoring, simhash, substrings, trie, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -254,3 +254,36 @@ _MIX = r"""
 @_query("op13_source_mix", _MIX)
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(_table(spark, folder, "documents"))
+
+
+_TRIE = rf"""
+    WITH turned AS (
+        SELECT conv_id, list({{'k': md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')),
+                              'size': octet_length(encode(coalesce(text, '')))}} ORDER BY turn NULLS FIRST) AS turns
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    hashed AS (SELECT *, {_crc32("conv_id::VARCHAR")} % 9 AS h FROM turned),
+    rebuilt AS (
+        SELECT c.conv_id, list_concat(coalesce(list_slice(o.turns, 1, h), []), list_slice(c.turns, h + 1, len(c.turns))) AS turns
+        FROM hashed c LEFT JOIN turned o ON o.conv_id = c.conv_id - c.conv_id % 5),
+    prefixes AS (
+        SELECT conv_id, d, len(turns) = d AS ended, turns[d].size AS size,
+               array_to_string(list_transform(list_slice(turns, 1, d), lambda t: t.k), '') AS path
+        FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM rebuilt)),
+    nodes AS (
+        SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(any_value(size), 0) AS saved,
+               string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ended) AS ends
+        FROM prefixes GROUP BY path, d),
+    childed AS (SELECT left(path, 32 * (d - 1)) AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+    told AS (SELECT *, coalesce(n_children, 0) AS n FROM nodes LEFT JOIN childed USING (path)),
+    below AS (
+        SELECT left(path, 32 * up) AS path, sum((n = 0)::INT) AS n_leaves, sum(saved) AS saved_tokens
+        FROM (SELECT *, unnest(range(d + 1)) AS up FROM told) GROUP BY ALL)
+    SELECT t.conv_id, t.d AS depth, p.conv_id AS parent_conv_id, t.n_convs, t.n AS n_children, n_leaves::BIGINT AS n_leaves,
+           saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(t.ends, '')) AS ends_sha256
+    FROM told t JOIN below b ON t.path = b.path LEFT JOIN nodes p ON t.d > 0 AND p.path = left(t.path, 32 * (t.d - 1))
+"""
+
+
+@_query("op12_prefix_trie", _TRIE)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(trie.rebuilt(trie.turn_lists(_table(spark, folder, "conversations"))))
