@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from partlens.functions.boxes import Box, axis_limit, clamp_bbox, overlaps
 from partlens.scale import HOT_ROWS, salted_join
 
-WIDEST_CELL = 10.0
-NARROWEST_CELL = 1 / 256
+GRID_WIDTH = 1024.0
+LAST_LEVEL = 24
 
 
 @dataclass(frozen=True)
@@ -92,23 +92,47 @@ def sample(features: DataFrame, scope: Scope, bbox: str = "bbox") -> DataFrame:
     return window_parts(inside, scope.windows, bbox)
 
 
-def _cell(value: Column, limit: float, cell: float) -> Column:
-    """Grid step of a coordinate, held to the world so that no box spans endless cells."""
-    held = F.least(F.greatest(value, F.lit(-limit - cell)), F.lit(limit + cell))
-    return F.floor(held / F.lit(cell))
+def _level(box: Column) -> Column:
+    """The finest level whose cells are wider than the box, which then meets two of them at most along a side.
 
-
-def _cells(df: DataFrame, xmin: str, ymin: str, xmax: str, ymax: str, cell: float) -> DataFrame:
-    across = F.sequence(_cell(F.col(xmin), 180.0, cell), _cell(F.col(xmax), 180.0, cell))
-    up = F.sequence(_cell(F.col(ymin), 90.0, cell), _cell(F.col(ymax), 90.0, cell))
-    return df.withColumn("_cx", F.explode(across)).withColumn("_cy", F.explode(up))
-
-
-def _mean_extent(df: DataFrame, bbox: str) -> float:
-    """The mean of the longer side of the boxes, in degrees; 0 without boxes."""
-    b = F.col(bbox)
-    side = F.greatest(b.xmax - b.xmin, b.ymax - b.ymin)
-    return df.agg(F.avg(F.when(side.between(0, 360), side)).alias("mean")).first()["mean"] or 0.0
+    A cell of level l is a 2^l-th of ``GRID_WIDTH``, a power of two, so all edges are exact.
+    Boxes without an extent go to the last level, endless ones to the first.
+    """
+    side = F.greatest(F.abs(box.xmax - box.xmin), F.abs(box.ymax - box.ymin))
+    # The sliver keeps a rounded logarithm from naming cells that are too narrow.
+    rough = F.floor(F.log2(GRID_WIDTH / F.greatest(side, F.lit(GRID_WIDTH / 2**LAST_LEVEL))) - 1e-9)
+    return F.greatest(F.coalesce(rough, F.lit(0)), F.lit(0)).cast("int")
+
+
+def _cell(value: Column, scale: Column) -> Column:
+    """The cell a coordinate is in, of cells that are 1 / ``scale`` wide; coordinates beyond the grid are on its edge."""
+    held = F.least(F.greatest(value, F.lit(-GRID_WIDTH / 2)), F.lit(GRID_WIDTH / 2 - 1))
+    return F.floor((held + GRID_WIDTH / 2) * scale).cast("int")
+
+
+def _complete(df: DataFrame, bbox: str) -> DataFrame:
+    """``df`` with ``_home``, the level of its box, without boxes that lack a coordinate."""
+    box = F.col(bbox)
+    whole = box.xmin.isNotNull() & box.ymin.isNotNull() & box.xmax.isNotNull() & box.ymax.isNotNull()
+    return df.where(whole).withColumn("_home", _level(box))
+
+
+def _layered(df: DataFrame, bbox: str, layers: dict[int, list[int]]) -> DataFrame:
+    """A row per cell of the box on every layer that ``layers`` names for its level; layers 2l and 2l + 1 are on level l."""
+    box = F.col(bbox)
+    named = {
+        home: F.array(*[F.struct(F.lit(n).alias("layer"), F.lit(2.0 ** (n // 2) / GRID_WIDTH).alias("scale")) for n in of])
+        for home, of in layers.items()
+        if of
+    }
+    if not named:
+        return df.where(F.lit(False)).withColumns({"_layer": F.lit(0), "_scale": F.lit(0.0), "_cx": F.lit(0), "_cy": F.lit(0)}).drop("_home")
+    of = F.create_map(*[v for home, found in named.items() for v in (F.lit(home), found)])
+    placed = df.withColumn("_on", F.explode(of[F.col("_home")])).drop("_home")
+    placed = placed.withColumns({"_layer": F.col("_on.layer"), "_scale": F.col("_on.scale")}).drop("_on")
+    across = F.sequence(_cell(box.xmin, F.col("_scale")), _cell(box.xmax, F.col("_scale")))
+    up = F.sequence(_cell(box.ymin, F.col("_scale")), _cell(box.ymax, F.col("_scale")))
+    return placed.withColumn("_cx", F.explode(across)).withColumn("_cy", F.explode(up))
 
 
 def overlap_join(
@@ -119,36 +143,43 @@ def overlap_join(
     window_salt_by: Sequence[str] | None = None,
     bbox: str = "bbox",
     window_bbox: str = "window_bbox",
-    cell: float | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Every (feature, window) pair that strictly overlaps, for a window table of any size.
-
-    Both sides go onto a grid and meet by equality on the cell, so no pair is formed
-    outside a shared cell. Without ``cell`` its size follows the mean extent of the boxes, at
-    the cost of a pass over them. A crowded cell is spread over the product of the shares
-    that features (by ``salt_by``) and windows (by ``window_salt_by``) make in it. A pair that shares
-    several cells is kept in one of them only, the one holding the larger of the two
-    lower-left corners, which both boxes cover whenever they overlap.
+    """Every (feature, window) pair that strictly overlaps, for boxes of any size and a window table of any size.
+
+    Every box is at home on the level of a quadtree whose cells are as wide as itself, and a pair meets, by
+    equality on the cell, on the coarser of its two levels: there one of them is at home and the other
+    visits. So a box has at most four cells on a level, a city block and a country
+    meet in one of the country's cells, and rows that only visit a level never meet each other. One pass over
+    both sides counts their boxes per level, and no box visits a level where none of the other side is.
+
+    Where a side has over ``hot_rows`` boxes a cell may be crowded, and is spread over the product of the
+    shares that features (by ``salt_by``) and windows (by ``window_salt_by``) make in it. A pair that
+    shares several cells is kept in one of them only, the one holding the larger of the two
+    lower-left corners, which both boxes cover whenever they overlap. Boxes that lack a
+    coordinate overlap nothing.
     """
     b, w = F.col(bbox), F.col(window_bbox)
-    if cell is None:
-        cell = max(_mean_extent(features, bbox), _mean_extent(windows, window_bbox))
-        cell = min(max(cell, NARROWEST_CELL), WIDEST_CELL)
-    left = _cells(
-        features.where(b.xmin.isNotNull() & b.ymin.isNotNull() & b.xmax.isNotNull() & b.ymax.isNotNull()),
-        f"{bbox}.xmin", f"{bbox}.ymin", f"{bbox}.xmax", f"{bbox}.ymax", cell,
-    )
-    right = _cells(
-        windows, f"{window_bbox}.xmin", f"{window_bbox}.ymin", f"{window_bbox}.xmax", f"{window_bbox}.ymax", cell
-    )
-    by = window_salt_by or [c for c in windows.columns if c != window_bbox]
-    met = salted_join(left, right, ["_cx", "_cy"], salt_by, by, hot_rows=hot_rows)
+    mine, theirs = _complete(features, bbox), _complete(windows, window_bbox)
+    sides = mine.select("_home", F.lit(0).alias("side")).unionByName(theirs.select("_home", F.lit(1).alias("side")))
+    # At most a row per side and level.
+    counted = sides.groupBy("side", "_home").agg(F.count(F.lit(1)).alias("n")).collect()
+    here, there = ({r["_home"]: r["n"] for r in counted if r["side"] == side} for side in (0, 1))
+    if not here or not there:
+        here = there = {0: 0}
+    # Layer 2l is for features at home on level l and any windows there, 2l + 1 for features that visit and windows at home.
+    left = {h: [2 * h] * (max(there) >= h) + [2 * n + 1 for n in sorted(there) if n < h] for h in here}
+    right = {h: [2 * n for n in sorted(here) if n <= h] + [2 * h + 1] * (max(here) > h) for h in there}
+    placed = _layered(mine, bbox, left), _layered(theirs, window_bbox, right).drop("_scale")
+    keys = ["_layer", "_cx", "_cy"]
+    if max(sum(here.values()), sum(there.values())) > hot_rows:
+        by = window_salt_by or [c for c in windows.columns if c != window_bbox]
+        met = salted_join(*placed, keys, salt_by, by, hot_rows=hot_rows)
+    else:
+        met = placed[0].join(placed[1], keys)
     strict = (b.xmin < w.xmax) & (b.xmax > w.xmin) & (b.ymin < w.ymax) & (b.ymax > w.ymin)
-    once = (F.col("_cx") == _cell(F.greatest(b.xmin, w.xmin), 180.0, cell)) & (
-        F.col("_cy") == _cell(F.greatest(b.ymin, w.ymin), 90.0, cell)
-    )
-    return met.where(strict & once).drop("_cx", "_cy")
+    corner = _cell(F.greatest(b.xmin, w.xmin), F.col("_scale")), _cell(F.greatest(b.ymin, w.ymin), F.col("_scale"))
+    return met.where(strict & (F.col("_cx") == corner[0]) & (F.col("_cy") == corner[1])).drop(*keys, "_scale")
 
 
 def bbox_audit(records: DataFrame, bbox: str = "bbox") -> DataFrame:

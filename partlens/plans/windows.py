@@ -216,6 +216,48 @@ def many_windows(data):
     return met.groupBy("window_id").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
 
 
+# City blocks, a few countries and, once in a thousand, the whole world, on either side of the join.
+_MIXED_SQL = """
+    WITH f AS (
+        SELECT id, CASE WHEN id % 1000 = 0 THEN -180.0 ELSE xmin END AS x0, CASE WHEN id % 1000 = 0 THEN -90.0 ELSE ymin END AS y0,
+               CASE WHEN id % 1000 = 0 THEN 180.0 WHEN id % 50 = 0 THEN xmin + 24 ELSE xmin + 0.004 END AS x1,
+               CASE WHEN id % 1000 = 0 THEN 90.0 WHEN id % 50 = 0 THEN ymin + 11 ELSE ymin + 0.002 END AS y1
+        FROM geo_boxes),
+    w AS (
+        SELECT c_custkey AS window_id, CAST((c_custkey * 37) % 340 - 180 AS DOUBLE) AS x0, CAST((c_custkey * 53) % 160 - 90 AS DOUBLE) AS y0,
+               CAST(CASE WHEN c_custkey % 100 = 0 THEN 60 WHEN c_custkey % 10 = 0 THEN 4 ELSE 0.03125 END AS DOUBLE) AS wide
+        FROM customer)
+    SELECT window_id, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids FROM f
+    JOIN w ON f.x0 < w.x0 + wide AND f.x1 > w.x0 AND f.y0 < w.y0 + wide AND f.y1 > w.y0 GROUP BY window_id"""
+
+
+@query("join_4_mixed_extents", _MIXED_SQL)
+def mixed_extents(data):
+    world, country = F.col("id") % 1000 == 0, F.col("id") % 50 == 0
+
+    def side(low, all_of_it, wide, block):
+        return F.when(world, F.lit(all_of_it)).when(country, F.col(low) + wide).otherwise(F.col(low) + block)
+
+    features = data.features.select(
+        "id",
+        F.struct(
+            F.when(world, -180.0).otherwise(F.col("bbox.xmin")).alias("xmin"),
+            F.when(world, -90.0).otherwise(F.col("bbox.ymin")).alias("ymin"),
+            side("bbox.xmin", 180.0, 24, 0.004).alias("xmax"),
+            side("bbox.ymin", 90.0, 11, 0.002).alias("ymax"),
+        ).alias("bbox"),
+    )
+    number = F.col("c_custkey")
+    x, y = ((number * 37) % 340 - 180).cast("double"), ((number * 53) % 160 - 90).cast("double")
+    wide = F.when(number % 100 == 0, 60.0).when(number % 10 == 0, 4.0).otherwise(0.03125)
+    windows = data.customer.select(
+        number.alias("window_id"),
+        F.struct(x.alias("xmin"), y.alias("ymin"), (x + wide).alias("xmax"), (y + wide).alias("ymax")).alias("window_bbox"),
+    )
+    met = spatial.overlap_join(features, windows, salt_by=["id"])
+    return met.groupBy("window_id").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+
+
 @query("agg_1_row_count", "SELECT count(*) AS n FROM geo_boxes")
 def row_count(data):
     return data.features.agg(F.count(F.lit(1)).alias("n"))

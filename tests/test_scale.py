@@ -62,8 +62,6 @@ def test_cells_follow_the_windows(frame):
     met = spatial.overlap_join(points, windows, salt_by=["fi"])
     want = sum(x < a + 0.5 and x + 0.001 > a and y < b + 0.5 and y + 0.001 > b for x, y in spots for a, b in spots[:50])
     assert met.count() == want
-    cells = spatial._mean_extent(windows, "window_bbox")
-    assert abs(cells - 0.5) < 1e-9
 
 
 def test_running_last_matches_a_plain_loop(frame):
@@ -85,13 +83,16 @@ def test_running_last_matches_a_plain_loop(frame):
 
 
 def boxes():
-    number = st.integers(-200, 200).map(float)
+    number = st.one_of(
+        st.integers(-200, 200).map(float),
+        st.sampled_from([0.0, 0.5, 0.25, 1e-7, 16.0, 512.0, -512.0, 511.5, 1e9, -1e9, float("inf"), float("-inf")]),
+    )
     return st.lists(st.tuples(number, number, number, number), min_size=1, max_size=12)
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(boxes(), boxes(), st.sampled_from([7.0, 45.0]))
-def test_overlap_join_finds_each_pair_once(spark, features, windows, cell):
+@given(boxes(), boxes(), st.sampled_from([3, 1000]))
+def test_overlap_join_finds_each_pair_once(spark, features, windows, hot_rows):
     box = lambda *names: F.struct(*(F.col(n) for n in names))
     schema = "i int, xmin double, ymin double, xmax double, ymax double"
     f = spark.createDataFrame([(i, *b) for i, b in enumerate(features)], schema)
@@ -101,8 +102,7 @@ def test_overlap_join_finds_each_pair_once(spark, features, windows, cell):
         f.select(F.col("i").alias("fi"), box(*sides).alias("bbox")),
         w.select(F.col("i").alias("wi"), box(*sides).alias("window_bbox")),
         salt_by=["fi"],
-        cell=cell,
-        hot_rows=3,
+        hot_rows=hot_rows,
     )
     want = sorted(
         (i, j)
@@ -113,6 +113,38 @@ def test_overlap_join_finds_each_pair_once(spark, features, windows, cell):
     assert sorted((r["fi"], r["wi"]) for r in met.collect()) == want
 
 
+def test_boxes_of_all_sizes_have_few_cells(spark):
+    """City blocks, countries and the whole world: four cells at most on a level, and a coarse cell holds visitors only where it must."""
+    x, y = ((F.col("id") * 7919) % 35_999) / 100 - 180, ((F.col("id") * 104_729) % 17_999) / 100 - 90
+    wide = F.when(F.col("id") == 0, 360.0).when(F.col("id") % 100 == 0, 25.0).otherwise(0.0007)
+    rows = spark.range(5000).select(
+        F.col("id").alias("fi"),
+        F.when(F.col("id") == 0, F.struct(F.lit(-180.0).alias("xmin"), F.lit(-90.0).alias("ymin"), F.lit(180.0).alias("xmax"), F.lit(90.0).alias("ymax")))
+        .otherwise(F.struct(x.alias("xmin"), y.alias("ymin"), (x + wide).alias("xmax"), (y + wide / 2).alias("ymax"))).alias("bbox"),
+    )
+    complete = spatial._complete(rows, "bbox")
+    levels = sorted(r[0] for r in complete.select("_home").distinct().collect())
+    assert levels[0] <= 1 and levels[-1] >= 18
+    placed = spatial._layered(complete, "bbox", {h: [2 * n for n in levels if n <= h] for h in levels})
+    assert placed.groupBy("fi", "_layer").count().agg(F.max("count")).first()[0] <= 4
+    windows = rows.select(F.col("fi").alias("wi"), F.col("bbox").alias("window_bbox"))
+    met = spatial.overlap_join(rows, windows, salt_by=["fi"])
+    plain = rows.crossJoin(windows).where(
+        "bbox.xmin < window_bbox.xmax AND bbox.xmax > window_bbox.xmin AND bbox.ymin < window_bbox.ymax AND bbox.ymax > window_bbox.ymin"
+    )
+    total = F.sum(F.xxhash64("fi", "wi").cast("decimal(38,0)"))
+    assert tuple(met.agg(F.count("fi"), total).first()) == tuple(plain.agg(F.count("fi"), total).first())
+
+
+def test_overlap_join_without_boxes(frame):
+    box = "struct<xmin:double,ymin:double,xmax:double,ymax:double>"
+    one = frame([(1, (0.0, 0.0, 1.0, 1.0)), (2, None), (3, (0.0, None, 1.0, 1.0))], f"fi int, bbox {box}")
+    none = frame([(1, None)], f"wi int, window_bbox {box}")
+    assert spatial.overlap_join(one, none, salt_by=["fi"]).collect() == []
+    itself = one.select(F.col("fi").alias("wi"), F.col("bbox").alias("window_bbox"))
+    assert [tuple(r) for r in spatial.overlap_join(one, itself, salt_by=["fi"]).select("fi", "wi").collect()] == [(1, 1)]
+
+
 def test_overlap_join_meets_by_equality(data):
     plan = plan_of(spatial.overlap_join(data.features, data.window_table, salt_by=["id"]))
     assert "CartesianProduct" not in plan
