@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from partlens.functions.paths import resolve
 from partlens.functions.text import tidy
+from partlens.operators.cycles import cycle_groups
 from partlens.scale import BLOCK_ROWS, running_last
 from partlens.session import cut_lineage
 
+# A node's own properties are above those of any member.
 OWN = 2**31 - 1
+NODE, AGAIN, CYCLE = 0, 1, 2
 
 
 def table_columns(collections: DataFrame, meanings: DataFrame) -> DataFrame:
@@ -81,53 +84,67 @@ def flatten_properties(members: DataFrame, properties: DataFrame) -> DataFrame:
     ``members`` is (node, ordinal, member), ordinals counting the allOf members first
     and the oneOf members after them; ``properties`` is (node, name, value). A later
     member wins over an earlier one and a node's own property over both, at every level.
-    """
-    names = properties.select(F.col("node").alias("at"), "name", "value")
-    itself = properties.select("node", F.col("node").alias("at"), F.array(_own()).alias("key")).distinct()
-    reached = itself.unionByName(containers(members))
-    best = F.max(F.struct("key", "value")).alias("best")
-    return (
-        reached.join(names, "at").groupBy("node", "name").agg(best).select("node", "name", F.col("best.value").alias("value"))
-    )
-
 
-def containers(members: DataFrame) -> DataFrame:
-    """(node, at, key): every container ``at`` that a node reaches, once, by its winning way.
+    Containers that contain each other hold the same properties, each in its own order: what a node
+    reaches without going round comes first, then the cycle's nodes give what they hold without going
+    round, the largest first. See :func:`container_cycles`.
 
-    Keys order like the merge: a later member is larger, and a node's own entry, which ends
-    every key, the largest. A smaller key never wins, so of several ways to a container only
-    the one with the largest key is kept. Each round joins the ways found so far end to
-    end, which doubles their length, and the rounds end when none gets better. A node that
-    reaches itself lies on a cycle; see :func:`container_cycles`.
+    A node's value of a name is its own, or what the last member that has the name has. So values rise
+    level by level, and a round sends on only those that the one before has changed; the rounds
+    follow the depth of the containers. Only values are kept, one for each name of a node, not the ways to them.
     """
-    ways = _best(members.select("node", F.col("member").alias("at"), F.array(F.col("ordinal").cast("int"), _own()).alias("key")))
-    ways = cut_lineage(ways, "ways")
+    edges, own = _condensed(members, properties)
+    edges = cut_lineage(edges, "members")
+    state = changed = cut_lineage(own, "values")
+    none = F.lit(None).cast(state.schema["given"].dataType)
     while True:
         seen = Observation()
-        first = ways.select("node", F.col("at").alias("_via"), F.slice("key", F.lit(1), F.size("key") - 1).alias("_start"))
-        then = ways.select(F.col("node").alias("_via"), "at", F.col("key").alias("_end"))
-        longer = first.join(then, "_via").select("node", "at", F.concat("_start", "_end").alias("key"))
-        both = ways.withColumn("_old", F.lit(True)).unionByName(longer.withColumn("_old", F.lit(False)))
-        chosen = both.groupBy("node", "at").agg(F.max(F.struct("key", "_old")).alias("b"))
-        better = chosen.select("node", "at", "b.key", F.col("b._old").alias("_old"))
-        better = better.observe(seen, F.count_if(~F.col("_old")).alias("new"))
-        ways = cut_lineage(better.drop("_old"), "ways", seen)
-        if not seen.get["new"]:
-            return ways
+        sent = changed.select(F.col("node").alias("member"), "name", "given").join(edges, "member")
+        sent = sent.select("node", "name", "order", "given", none.alias("_old"), F.lit(1).alias("_new"))
+        both = state.select("node", "name", "order", "given", F.col("given").alias("_old"), F.lit(0).alias("_new")).unionByName(sent)
+        best = both.groupBy("node", "name").agg(F.max(F.struct("order", "_new", "given")).alias("b"), F.max("_old").alias("_old"))
+        moved = best.select("node", "name", "b.order", "b.given", (~F.col("b.given").eqNullSafe(F.col("_old"))).alias("_moved"))
+        moved = cut_lineage(moved.observe(seen, F.count_if("_moved").alias("n")), "values", seen)
+        state = moved.drop("_moved")
+        if not seen.get["n"]:
+            break
+        changed = moved.where("_moved").drop("_moved")
+    return state.where(F.col("node.kind") == NODE).select("node.node", "name", "given.value")
 
 
 def container_cycles(members: DataFrame) -> DataFrame:
     """The nodes that contain themselves, over however many levels."""
-    return containers(members).where(F.col("node") == F.col("at")).select("node")
-
+    return cycle_groups(members, "node", "member").select("node")
 
-def _own() -> Column:
-    """What ends every key: larger than any ordinal."""
-    return F.lit(OWN).cast("int")
 
+def _condensed(members: DataFrame, properties: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``members`` as (node, order, member) without cycles, and the properties as (node, order, name, given).
 
-def _best(ways: DataFrame) -> DataFrame:
-    return ways.groupBy("node", "at").agg(F.max("key").alias("key"))
+    A node on a cycle loses its members on the cycle and has the cycle as its first member instead.
+    The cycle's members are its nodes once more, each with what it holds without going round.
+    """
+    groups = cycle_groups(members, "node", "member")
+
+    def at(kind: int, name: str) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.col(name).alias("node"))
+
+    def order(ordinal: Column, name: str) -> Column:
+        return F.struct(ordinal.cast("int").alias("ordinal"), F.col(name).alias("node"))
+
+    mine = groups.select("node", F.col("group").alias("_mine"))
+    theirs = groups.select(F.col("node").alias("member"), F.col("group").alias("_theirs"))
+    known = members.where("node IS NOT NULL AND member IS NOT NULL").join(mine, "node", "left").join(theirs, "member", "left")
+    onward = known.where(F.coalesce(F.col("_mine") != F.col("_theirs"), F.lit(True)))
+    by_order = order(F.col("ordinal"), "member").alias("order")
+    edges = onward.select(at(NODE, "node").alias("node"), by_order, at(NODE, "member").alias("member"))
+    again = onward.where("_mine IS NOT NULL").select(at(AGAIN, "node").alias("node"), by_order, at(NODE, "member").alias("member"))
+    first = groups.select(at(NODE, "node").alias("node"), order(F.lit(-OWN), "group").alias("order"), at(CYCLE, "group").alias("member"))
+    inside = groups.select(at(CYCLE, "group").alias("node"), order(F.lit(0), "node").alias("order"), at(AGAIN, "node").alias("member"))
+    given = properties.where("node IS NOT NULL").groupBy("node", "name").agg(F.max(F.struct("value")).alias("given"))
+    own = given.select(at(NODE, "node").alias("node"), order(F.lit(OWN), "node").alias("order"), "name", "given")
+    copied = given.join(groups.select("node"), "node", "left_semi")
+    copied = copied.select(at(AGAIN, "node").alias("node"), order(F.lit(OWN), "node").alias("order"), "name", "given")
+    return edges.unionByName(again).unionByName(first).unionByName(inside), own.unionByName(copied)
 
 
 # The forms of a list item and of a comment line.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from partlens.operators import graph, manifest, meanings
+from partlens.operators import cycles, graph, manifest, meanings
 from partlens.plans.registry import query
 from partlens.plans.relations import Data
 from partlens.session import literal_rows
@@ -365,6 +365,45 @@ def container_properties(data):
     return meanings.flatten_properties(data.ref_members, data.ref_properties)
 
 
+# Some members lead back to their container.
+_ROUND = """
+    WITH RECURSIVE e AS (SELECT node, ordinal, member FROM ref_members
+         UNION ALL SELECT p_partkey * 2 + 1, 5, p_partkey FROM part WHERE p_partkey % 7 = 1 UNION ALL SELECT p_partkey, 0, p_partkey FROM part WHERE p_partkey % 50 = 1),
+       far AS (SELECT node, member FROM e UNION SELECT f.node, e.member FROM far f JOIN e ON e.node = f.member),
+       g AS (SELECT a.node, min(a.member) AS grp FROM far a JOIN far b ON a.node = b.member AND a.member = b.node GROUP BY a.node)"""
+
+
+def _round(data):
+    number = F.col("p_partkey")
+    back = data.part.where(number % 7 == 1).select((number * 2 + 1).alias("node"), F.lit(5).alias("ordinal"), number.alias("member"))
+    itself = data.part.where(number % 50 == 1).select(number.alias("node"), F.lit(0).alias("ordinal"), number.alias("member"))
+    return data.ref_members.select("node", "ordinal", "member").unionByName(back).unionByName(itself)
+
+
+@query("join_11_cycle_groups", _ROUND + ' SELECT node, grp AS "group" FROM g')
+def cycle_groups(data):
+    return cycles.cycle_groups(_round(data), "node", "member")
+
+
+@query(
+    "join_11_containers_in_cycles",
+    _ROUND
+    + """,
+       onward AS (SELECT e.* FROM e LEFT JOIN g x ON x.node = e.node LEFT JOIN g y ON y.node = e.member WHERE x.grp IS NULL OR x.grp IS DISTINCT FROM y.grp),
+       c AS (SELECT 'n' || node AS node, ordinal, 'n' || member AS member FROM onward
+             UNION ALL SELECT 'a' || node, ordinal, 'n' || member FROM onward JOIN g USING (node)
+             UNION ALL SELECT 'n' || node, -1, 'c' || grp FROM g
+             UNION ALL SELECT 'c' || grp, row_number() OVER (PARTITION BY grp ORDER BY node), 'a' || node FROM g),
+       d AS (SELECT node, member AS at, [ordinal::BIGINT] AS key FROM c UNION ALL SELECT d.node, c.member, list_append(d.key, c.ordinal) FROM d JOIN c ON c.node = d.at),
+       o AS (SELECT 'n' || node AS node, name, value FROM ref_properties UNION ALL SELECT 'a' || node, name, value FROM ref_properties JOIN g USING (node)),
+       f AS (SELECT node, [2147483647::BIGINT] AS key, name, value FROM o
+             UNION ALL SELECT d.node, list_append(d.key, 2147483647), name, value FROM d JOIN o ON o.node = d.at)
+       SELECT substr(node, 2)::BIGINT AS node, name, arg_max(value, key) AS value FROM f WHERE node LIKE 'n%' GROUP BY ALL""",
+)
+def containers_in_cycles(data):
+    return meanings.flatten_properties(_round(data), data.ref_properties)
+
+
 SAID = r"""
 WITH RECURSIVE l AS (SELECT *, regexp_matches(text, '^\s*- ([A-Za-z0-9_]+)\s*(#\s?(.*))?$') AS item, regexp_matches(text, '^\s*#') AS note FROM enum_lines),
 m AS (SELECT *, item OR (NOT note AND trim(text) <> '') AS mark FROM l),
