@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import count
-
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -75,27 +73,90 @@ def link_report(checked: DataFrame, broken: DataFrame, nodes: DataFrame) -> Data
 
 
 def walk(links: DataFrame, root: str, rels: tuple[str, ...] = ("child", "item")) -> DataFrame:
-    """Every document reachable from ``root`` over relative links, with its depth.
-
-    Each round joins the links on the paths reached last, until it reaches none; reached
-    paths are never walked twice, so a loop ends. One document may hold a third of all
-    links; only they are large, and Spark splits them.
+    """Every document reachable from ``root`` over relative links, with its depth: the fewest links from there.
+
+    A document that one other alone links is as far from its anchor as that one, and a link more: the
+    nearest document above it that is the root, or that several link. Pointers to those double
+    their distance each round, so a chain of documents takes rounds by the logarithm of its length.
+    Only documents that several link go by rounds from one to the next, over ways that are
+    already shortened; a round passes on depths that the one before has lowered. In a
+    catalog that is a tree there are none.
+
+    A document that links nothing takes no part in the rounds; it gets its depth from the one that links it
+    at the end. One document may link a third of all others: each row looks up one pointer,
+    and Spark splits pointers that are common. Loops end, as a pointer that has gone further than there
+    are documents comes from no root.
     """
     edges = (
         links.where(F.col("rel").isin(*rels) & ~is_remote(F.col("href")))
         .select("path", resolve(F.col("path"), F.col("href")).alias("target"))
+        .where((F.col("path") != F.col("target")) & (F.col("target") != root))
         .distinct()
     )
-    edges = cut_lineage(edges, "edges")
-    reached = frontier = literal_rows(links.sparkSession, [(root, 0)], "path string, depth int")
-    for depth in count(1):
+    above = edges.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("up"))
+    linking = edges.select(F.col("path").alias("target")).distinct()
+    above = above.join(linking.withColumn("inner", F.lit(True)), "target", "left")
+    seen = Observation()
+    above = cut_lineage(above.observe(seen, F.count_if(F.col("n") > 1).alias("crossed")), "above", seen)
+    single = above.where("n = 1").select(F.col("target").alias("path"), "up", "inner")
+    pointers = _anchored(single.where("inner").select("path", "up"))
+    anchors = literal_rows(links.sparkSession, [(root, 0)], "path string, depth long")
+    if seen.get["crossed"]:
+        crossed = above.where("n > 1").select(F.col("target").alias("path"))
+        anchors = cut_lineage(_shortest(_ways(edges, pointers, crossed, root), anchors), "anchors")
+    inside = pointers.join(anchors.withColumnRenamed("path", "up"), "up").select("path", (F.col("depth") + F.col("span")).alias("depth"))
+    known = anchors.unionByName(inside)
+    ends = single.where("inner IS NULL").join(known.withColumnRenamed("path", "up"), "up").select("path", (F.col("depth") + 1).alias("depth"))
+    return known.unionByName(ends).select("path", F.col("depth").cast("int").alias("depth"))
+
+
+def _anchored(parents: DataFrame) -> DataFrame:
+    """(path, up, span): the nearest document above each that is not among ``parents``, (path, up), and the links between.
+
+    Documents on a loop of such pointers, or below one, end at one that is.
+    """
+    state = parents.withColumn("span", F.lit(1).cast("long"))
+    reach, total = 1, None
+    while total is None or reach <= total:
+        hop = state.select(F.col("path").alias("up"), F.col("up").alias("_up"), F.col("span").alias("_span"))
+        moved = state.join(hop, "up", "left").select(
+            "path", F.coalesce("_up", "up").alias("up"), (F.col("span") + F.coalesce("_span", F.lit(0))).alias("span"), F.col("_up").isNotNull().alias("_moved")
+        )
+        seen = Observation()
+        counts = [F.count(F.lit(1)).alias("rows"), F.count_if("_moved").alias("moved")]
+        state = cut_lineage(moved.observe(seen, *counts).drop("_moved"), "pointers", seen)
+        reach, total = reach * 2, seen.get["rows"]
+        if not seen.get["moved"]:
+            break
+    return state
+
+
+def _ways(edges: DataFrame, pointers: DataFrame, crossed: DataFrame, root: str) -> DataFrame:
+    """(start, path, span): the shortest way without another such document between the root or a document of ``crossed`` and one of these."""
+    into = edges.join(crossed.withColumnRenamed("path", "target"), "target", "left_semi")
+    into = into.join(pointers.select("path", "up", "span"), "path", "left")
+    start, span = F.coalesce("up", "path"), F.coalesce("span", F.lit(0)) + 1
+    ways = into.select(start.alias("start"), F.col("target").alias("path"), span.alias("span"))
+    ways = ways.groupBy("start", "path").agg(F.min("span").alias("span"))
+    starts = crossed.unionByName(literal_rows(edges.sparkSession, [(root,)], "path string")).withColumnRenamed("path", "start")
+    return cut_lineage(ways.join(starts, "start", "left_semi"), "ways")
+
+
+def _shortest(ways: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(path, depth): the least depth over ``ways`` of every document that one of the seeds leads to."""
+    state = changed = seeds
+    while True:
+        sent = changed.withColumnRenamed("path", "start").join(ways, "start")
+        sent = sent.select("path", (F.col("depth") + F.col("span")).alias("depth"), F.lit(None).cast("long").alias("_old"))
+        both = state.select("path", "depth", F.col("depth").alias("_old")).unionByName(sent)
+        best = both.groupBy("path").agg(F.min("depth").alias("depth"), F.min("_old").alias("_old"))
         seen = Observation()
-        step = edges.join(frontier.select("path"), "path", "left_semi").select(F.col("target").alias("path")).distinct()
-        fresh = step.join(reached.select("path"), "path", "left_anti").withColumn("depth", F.lit(depth))
-        frontier = cut_lineage(fresh.observe(seen, F.count(F.lit(1)).alias("n")), "frontier", seen)
+        moved = best.select("path", "depth", (~F.col("depth").eqNullSafe(F.col("_old"))).alias("_moved"))
+        moved = cut_lineage(moved.observe(seen, F.count_if("_moved").alias("n")), "depths", seen)
+        state = moved.drop("_moved")
         if not seen.get["n"]:
-            return reached
-        reached = reached.unionByName(frontier)
+            return state
+        changed = moved.where("_moved").drop("_moved")
 
 
 def subset(nodes: DataFrame, links: DataFrame, theme: str, collection: str) -> DataFrame:

@@ -6,6 +6,8 @@ import os
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from partlens.operators import graph, manifest, quality, release
@@ -77,8 +79,35 @@ def test_walk_ends_on_a_loop_and_goes_to_any_depth(frame):
                   "path string, rel string, href string")
     found = graph.walk(links, "a.json")
     assert {(r["path"], r["depth"]) for r in found.collect()} == {("a.json", 0), ("b.json", 1), ("c.json", 2)}
-    chain = frame([(f"{i}.json", "child", f"./{i + 1}.json") for i in range(12)], "path string, rel string, href string")
-    assert graph.walk(chain, "0.json").count() == 13
+    assert graph.walk(links.limit(0), "a.json").collect() == [("a.json", 0)]
+
+
+def test_a_long_chain_is_walked_in_few_rounds(spark, monkeypatch):
+    number = F.col("id").cast("string")
+    chain = spark.range(10_000).select(
+        F.concat(number, F.lit(".json")).alias("path"), F.lit("child").alias("rel"), F.concat(F.lit("./"), (F.col("id") + 1).cast("string"), F.lit(".json")).alias("href")
+    )
+    rounds = []
+    inner = graph.cut_lineage
+    monkeypatch.setattr(graph, "cut_lineage", lambda df, name, seen=None: rounds.append(name) or inner(df, name, seen))
+    found = graph.walk(chain, "0.json")
+    assert found.agg(F.count("path"), F.max("depth"), F.sum("depth")).first() == (10_001, 10_000, 50_005_000)
+    assert rounds.count("pointers") < 20 and len(rounds) < 24
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.sets(st.tuples(st.integers(0, 9), st.integers(0, 9)), max_size=22), st.integers(0, 9))
+def test_walk_equals_a_plain_walk(spark, pairs, root):
+    rows = [(f"{a}.json", "child" if (a + b) % 2 else "item", f"./{b}.json") for a, b in pairs]
+    links = spark.createDataFrame([*rows, ("0.json", "item", None), (None, "item", "./1.json")], "path string, rel string, href string")
+    depth, todo = {root: 0}, [root]
+    for at in todo:
+        for b in sorted(b for a, b in pairs if a == at):
+            if b not in depth:
+                depth[b] = depth[at] + 1
+                todo.append(b)
+    found = [(r.path, r.depth) for r in graph.walk(links, f"{root}.json").collect()]
+    assert sorted(found) == sorted((f"{n}.json", d) for n, d in depth.items())
 
 
 def test_subset_needs_its_child_links(frame):
