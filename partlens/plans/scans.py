@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from partlens.plans.registry import query
 from partlens.plans.relations import TABLES, WINDOWS, Data
 from partlens.plans.releases import diff
 from partlens.session import workspace
-from partlens.sources import documents, features, footers, sinks
+from partlens.sources import documents, features, footers, geoparquet, sinks
 
 
 def table_path(data: Data, name: str) -> str:
@@ -207,6 +209,85 @@ def geo_metadata(data):
     return footers.geo_facts(facts).withColumn("geometry_types", F.concat_ws(",", "geometry_types"))
 
 
+@query(
+    "src_6_footer_source",
+    """SELECT 'lineitem' AS name, count(*) AS row_cnt FROM lineitem UNION ALL SELECT 'orders', count(*) FROM orders""",
+)
+def footer_source(data):
+    found = geoparquet.scan_footers(data.spark, data.folder)
+    met = found.where(F.col("path").contains("lineitem.parquet") | F.col("path").contains("orders.parquet"))
+    return met.groupBy(file_table().alias("name")).agg(F.sum("rows").alias("row_cnt"))
+
+
+def geo_written(data: Data) -> str:
+    """The features as GeoParquet along the Hilbert curve, in small row groups."""
+    path = workspace(data.spark, "geoparquet")
+    geoparquet.write(geoparquet.in_order(data.features, 4), path, row_group_rows=256)
+    return path
+
+
+@query(
+    "src_6_geoparquet_harvest",
+    """SELECT count(*) AS row_cnt, '1.1.0' AS geoparquet_version, 'geometry' AS geometry_column, 'WKB' AS geometry_encoding,
+              true AS has_covering_bbox, 'Polygon' AS geometry_types, true AS capped FROM geo_boxes""",
+)
+def geoparquet_harvest(data):
+    """What the footers of written GeoParquet files say."""
+    facts = footers.part_facts(footers.list_parts(data.spark, geo_written(data)))
+    kept = ("geoparquet_version", "geometry_column", "geometry_encoding", "has_covering_bbox")
+    told = facts.groupBy(*kept, F.concat_ws(",", "geometry_types").alias("geometry_types"))
+    return told.agg(F.sum("rows").alias("row_cnt"), F.bool_and(F.col("max_row_group_rows") <= 256).alias("capped"))
+
+
+@query(
+    "src_6_geoparquet_ranges",
+    """SELECT 'bbox.xmin' AS "column", min(xmin) AS low, max(xmin) AS high, count(*) AS row_cnt FROM geo_boxes
+       UNION ALL SELECT 'bbox.ymax', min(ymax), max(ymax), count(*) FROM geo_boxes""",
+)
+def geoparquet_ranges(data):
+    """The covering column's statistics over all row groups, through the footer source."""
+    groups = geoparquet.scan_footers(data.spark, geo_written(data), chunks=True)
+    return groups.where(F.col("column").isin("bbox.xmin", "bbox.ymax")).groupBy("column").agg(
+        F.min("min_double").alias("low"), F.max("max_double").alias("high"), F.sum("num_rows").alias("row_cnt")
+    )
+
+
+@query(
+    "qc_4_hilbert_order",
+    """SELECT layout, layout = 'curve' AS ordered, (SELECT count(*) FROM geo_boxes) AS row_cnt FROM (VALUES ('given'), ('curve')) AS l(layout)""",
+)
+def hilbert_order(data):
+    """Whether all files' row groups lie apart, before and after ordering along the curve."""
+    given = workspace(data.spark, "given")
+    geoparquet.write(data.features.coalesce(4), given, row_group_rows=256)
+    groups = footers.row_groups(
+        footers.list_parts(data.spark, given).unionByName(footers.list_parts(data.spark, geo_written(data)))
+    )
+    measured = quality.spatial_order(quality.bbox_groups(groups)).withColumn("layout", F.when(F.col("path").contains("/given-"), "given").otherwise("curve"))
+    rows = groups.where("column = 'id'").groupBy("path").agg(F.sum("num_rows").alias("n"))
+    return measured.join(rows, "path").groupBy("layout").agg(F.bool_and("ordered").alias("ordered"), F.sum("n").alias("row_cnt"))
+
+
+@query("agg_1_rows_from_footers", " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n FROM {t}" for t in ("lineitem", "orders", "events")))
+def rows_from_footers(data):
+    counted = [
+        footers.row_count(footers.list_parts(data.spark, data.folder, f"{t}*")).select(F.lit(t).alias("name"), "n") for t in ("lineitem", "orders", "events")
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+@query(
+    "agg_15_nulls_from_footers",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS row_cnt, count(*) - count({c}) AS nulls FROM geo_boxes""" for c in ("sparse", "depth", "subtype")
+    ),
+)
+def nulls_from_footers(data):
+    path = staged(data, data.features, "nulls")
+    found = footers.null_counts(footers.list_parts(data.spark, path), ["sparse", "depth", "subtype"], path)
+    return found.withColumnRenamed("rows", "row_cnt")
+
+
 @query(
     "src_5_documents_from_files",
     """SELECT n_name AS id, 'Collection' AS type, CAST(k AS BIGINT) AS position, CASE k WHEN 0 THEN 'root' ELSE 'item' END AS rel,

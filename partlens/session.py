@@ -19,6 +19,7 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Recording the call site of every column expression costs more than planning does.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.sql.python.filterPushdown.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
