@@ -62,21 +62,38 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return pair.mapInPandas(run, schema).withColumnRenamed("_id", id_col)
 
 
-def _masks(kept: int) -> list[int]:
-    """A mask for each choice of ``kept`` of the eight bytes, as signed integers."""
+def _masks(least_bytes: int, held: int) -> list[int]:
+    """A mask for each choice of ``held`` positions that can be the first of ``least_bytes`` shared ones, as signed integers."""
     found = []
-    for chosen in combinations(range(BYTES), kept):
-        mask = sum(0xFF << (8 * byte) for byte in chosen)
-        found.append(mask - (1 << 64) if mask >> 63 else mask)
+    for chosen in combinations(range(BYTES), held):
+        if all(byte <= BYTES - least_bytes + place for place, byte in enumerate(chosen)):
+            mask = sum(0xFF << (8 * byte) for byte in chosen)
+            found.append(mask - (1 << 64) if mask >> 63 else mask)
     return found
 
 
+def bytes_of_a_list(rows: int, least_bytes: int, list_rows: int) -> int:
+    """How many positional bytes a posting list is about: as few as keep lists of evenly spread values short.
+
+    Always fewer than a pair must share, where that is over one, so that the tally decides.
+    """
+    held = 1
+    while held < least_bytes - 1 and rows > list_rows * 256**held:
+        held += 1
+    return held
+
+
+def shared_bytes(apart: np.ndarray) -> np.ndarray:
+    """In how many of the eight places two fingerprints have one byte, from what they differ in."""
+    return (apart.view(np.uint8).reshape(-1, BYTES) == 0).sum(axis=1)
+
+
 def _linker(most_bits: int):
     """Rows of lists, sorted by list, to links: a linked row and the smallest one of its cluster.
 
     Rows of one list are compared at every distance along the list, all lists of a batch
-    at once. A pair must agree in the guaranteed number of bytes, and is then verified bit
-    by bit. Clusters, not pairs, come out: at most one link per row.
+    at once. The bytes that each pair shares are tallied, pairs below the guaranteed number go, and
+    those left are verified bit by bit. Clusters, not pairs, come out: at most one link per row.
     """
     least_bytes = BYTES - most_bits
 
@@ -87,9 +104,9 @@ def _linker(most_bits: int):
             at = at[at + step < len(value)]
             at = at[group[at] == group[at + step]]
             apart = value[at] ^ value[at + step]
-            tally = (apart.view(np.uint8).reshape(-1, BYTES) == 0).sum(axis=1)
-            near = (tally >= least_bytes) & (np.bitwise_count(apart) <= most_bits)
-            one, other = at[near], at[near] + step
+            kept = np.flatnonzero(shared_bytes(apart) >= least_bytes)
+            near = at[kept[np.bitwise_count(apart[kept]) <= most_bits]]
+            one, other = near, near + step
             while len(one):
                 a, b = top[one], top[other]
                 differ = a != b
@@ -130,15 +147,20 @@ def near_links(prints: DataFrame, most_bits: int = MOST_BITS, list_rows: int = L
     """(a, b) links that connect all fingerprints at ``most_bits`` or fewer differing bits.
 
     ``prints`` has distinct ``fingerprint`` values. Of eight bytes, ``most_bits`` differing
-    bits leave at least 8 - most_bits equal in place, so two near fingerprints meet in the
-    list of some choice of that many positional bytes: a posting list per choice and bytes.
-    (Lists of one byte would each hold a 256th of the corpus.) A pair that agrees in m
-    bytes meets in C(m, 8 - most_bits) lists, so one meeting is the guaranteed count. Lists
-    over ``list_rows`` are cut into blocks, and each pair of blocks is a list of its own.
+    bits leave at least 8 - most_bits equal in place. A posting list holds the fingerprints with one byte at one
+    place, of the places that can be the first a pair shares: the first five, for four bits. The list says
+    only that a pair shares this byte; the tally of all shared bytes rejects most pairs, and the bits are verified.
+
+    A list of one byte holds a 256th of the corpus. Once that is over ``list_rows``, lists are refined by the
+    byte at a later place, and once more, so that they are about two or three bytes: still fewer
+    than a pair must share, and no pair is lost, as its first two or three shared bytes make such a list. Lists
+    that are long all the same are cut into blocks, and each pair of blocks is a list of its own.
     """
     if not 0 <= most_bits < BYTES:
         raise ValueError("most_bits must be from 0 to 7")
-    masks = _masks(BYTES - most_bits)
+    least_bytes = BYTES - most_bits
+    held = bytes_of_a_list(prints.count(), least_bytes, list_rows)
+    masks = _masks(least_bytes, held)
     choices = F.array(
         *[F.struct(F.lit(c).alias("c"), F.col("fingerprint").bitwiseAND(F.lit(m)).alias("key")) for c, m in enumerate(masks)]
     )

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import xxhash
 
 from partlens.llm import simhash
@@ -43,7 +44,7 @@ def test_against_all_pairs(docs):
     assert len(set(groups)) < len(set(values))
 
 
-def test_dense_clusters_whatever_the_block_size(spark, frame):
+def test_dense_clusters_whatever_the_lists(spark, frame, monkeypatch):
     rng = random.Random(5)
     values = set()
     for _ in range(6):
@@ -56,7 +57,8 @@ def test_dense_clusters_whatever_the_block_size(spark, frame):
     values = sorted(values)
     groups = plain_components(values, 4)
     signed = [int(np.uint64(v).view(np.int64)) for v in values]
-    for size in (1024, 7):
+    for size, held in ((1024, 1), (7, 1), (1024, 2), (1024, 3)):
+        monkeypatch.setattr(simhash, "bytes_of_a_list", lambda *_, held=held: held)
         links = simhash.near_links(frame([(v,) for v in signed], "fingerprint long"), list_rows=size).collect()
         assert all((r.a ^ r.b) != 0 for r in links)
         roots = {r.node: r.root for r in components(frame([(r.a, r.b) for r in links], "a long, b long")).collect()}
@@ -64,6 +66,36 @@ def test_dense_clusters_whatever_the_block_size(spark, frame):
         assert len({(n, g) for n, g in zip(named, groups)}) == len(set(named)) == len(set(groups))
 
 
+def test_the_tally_rejects_pairs_of_a_list(monkeypatch):
+    """Lists are about fewer bytes than a pair must share, so what a list holds is not yet near."""
+    rng = np.random.default_rng(2)
+    value = np.sort(rng.integers(0, 2**64, 400, dtype=np.uint64) & np.uint64(0xFFFFFFFF_FFFFFF00) | np.uint64(0x5A))
+    near = value[0] ^ np.uint64(0b1001 << 40)
+    value = np.append(value, [near])
+    tallies = []
+    inner = simhash.shared_bytes
+    monkeypatch.setattr(simhash, "shared_bytes", lambda apart: tallies.append(inner(apart)) or tallies[-1])
+    batch = pd.DataFrame({"_c": 0, "_key": 0x5A, "_i": 0, "_j": 0, "fingerprint": value.view(np.int64)})
+    found = pd.concat(list(simhash._linker(4)(iter([batch]))))
+    tallies = np.concatenate(tallies)
+    assert len(tallies) == 401 * 400 // 2 and (tallies >= 1).all()
+    assert (tallies < 4).sum() > 80_000 and (tallies >= 4).sum() >= 1
+    assert {frozenset((r.a, r.b)) for r in found.itertuples()} == {frozenset(map(int, (value[0].view(np.int64), near.view(np.int64))))}
+
+
+def test_lists_hold_every_pair_that_shares_enough():
+    for least in range(1, 9):
+        for held in range(1, max(2, least)):
+            masks = {m & (2**64 - 1) for m in simhash._masks(least, held)}
+            assert len(masks) == len(simhash._masks(least, held))
+            for shared in range(256):
+                if shared.bit_count() >= least:
+                    first = [b for b in range(8) if shared >> b & 1][:held]
+                    assert sum(0xFF << 8 * b for b in first) in masks
+    assert len(simhash._masks(4, 1)) == 5 and len(simhash._masks(4, 2)) == 15 and len(simhash._masks(4, 3)) == 35
+    assert [simhash.bytes_of_a_list(n, 4, 1024) for n in (0, 262_144, 262_145, 2**26, 2**26 + 1, 10**12)] == [1, 1, 2, 2, 3, 3]
+
+
 def test_long_chain_of_links(frame):
     order = list(range(300))
     random.Random(1).shuffle(order)
