@@ -429,6 +429,24 @@ def comment_lines(data):
     return meanings.comment_lines(data.enum_lines)
 
 
+# Every turn of a conversation as an item whose comment is what the turn says, line for line.
+SAID_IN_TURNS = SAID.replace(
+    "FROM enum_lines",
+    """FROM (SELECT conv_id AS file_id, turn * 1000000 + k AS line_no, CASE WHEN k = 1 THEN '- t' || turn || ' # ' ELSE '# ' END || lines[k] AS text
+       FROM (SELECT conv_id, turn, lines, unnest(range(1, len(lines) + 1)) AS k FROM (SELECT conv_id, turn, string_split(text, chr(10)) AS lines FROM conversations)))""",
+)
+
+
+@query("txt_2_comments_of_conversations", SAID_IN_TURNS + " SELECT * FROM comments")
+def comments_of_conversations(data):
+    lines = data.conversations.select("conv_id", "turn", F.posexplode(F.split("text", "\n")).alias("k", "line"))
+    head = F.when(F.col("k") == 0, F.concat(F.lit("- t"), F.col("turn").cast("string"), F.lit(" # "))).otherwise("# ")
+    text = lines.select(
+        F.col("conv_id").alias("file_id"), (F.col("turn") * 1_000_000 + F.col("k") + 1).alias("line_no"), F.concat(head, "line").alias("text")
+    )
+    return meanings.value_comments(text)
+
+
 @query(
     "join_10_enum_comments",
     SAID + """, e AS (SELECT c.conv_id AS collection, 'v' || CAST(v.k AS STRING) AS value, c.conv_id % 10 AS theme

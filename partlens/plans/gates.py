@@ -199,7 +199,7 @@ def spatial_order(data):
 
 @query(
     "qc_10_blob_verdict",
-    """WITH p AS (SELECT a.conv_id, a.turn, a.text AS probe, b.text AS blank FROM conversations a JOIN conversations b
+    """WITH p AS (SELECT a.conv_id, a.turn, a.text AS probe, coalesce(b.text, '') AS blank FROM conversations a LEFT JOIN conversations b
                   ON a.conv_id = b.conv_id AND a.turn = b.turn + 1)
        SELECT conv_id, turn, octet_length(encode(probe)) AS probe_bytes, octet_length(encode(blank)) AS blank_bytes,
               CASE WHEN sha256(probe) = sha256(blank) THEN 'FAIL-empty'
@@ -207,7 +207,9 @@ def spatial_order(data):
 )
 def blob_verdict(data):
     before = data.conversations.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("blank"))
-    pairs = data.conversations.select("conv_id", "turn", F.col("text").alias("probe")).join(before, ["conv_id", "turn"])
+    pairs = data.conversations.select("conv_id", "turn", F.col("text").alias("probe")).join(before, ["conv_id", "turn"], "left")
+    # A first turn has nothing before it.
+    pairs = pairs.withColumn("blank", F.coalesce("blank", F.lit("")))
     judged = quality.blob_verdict(pairs, "probe", "blank")
     size = lambda c: F.col(c).cast("bigint").alias(c)
     return judged.select("conv_id", "turn", size("probe_bytes"), size("blank_bytes"), "verdict")
@@ -215,28 +217,34 @@ def blob_verdict(data):
 
 @query(
     "qc_10_document_blobs",
-    """WITH p AS (SELECT item_id, b.text AS probe, d.text AS blank FROM benchmark b JOIN documents d ON d.doc_id = b.item_id)
+    """WITH p AS (SELECT item_id, d.text AS probe, b.text AS blank FROM documents d
+                  LEFT JOIN benchmark b ON b.item_id = d.doc_id % (SELECT max(item_id) + 1 FROM benchmark))
        SELECT CASE WHEN sha256(probe) = sha256(blank) THEN 'FAIL-empty'
                    WHEN octet_length(encode(probe)) < octet_length(encode(blank)) * 1.15 THEN 'WARN-sparse' ELSE 'PASS' END AS verdict,
               count(*) AS n FROM p GROUP BY ALL""",
 )
 def document_blobs(data):
-    blank = data.documents.select(F.col("doc_id").alias("item_id"), F.col("text").alias("blank"))
-    pairs = data.benchmark.select("item_id", F.col("text").alias("probe")).join(blank, "item_id")
+    """Every document against one of the benchmark's texts."""
+    items = data.benchmark.agg(F.max("item_id") + 1).first()[0]
+    blank = data.benchmark.select("item_id", F.col("text").alias("blank"))
+    pairs = data.documents.select((F.col("doc_id") % items).alias("item_id"), F.col("text").alias("probe")).join(blank, "item_id", "left")
     return quality.blob_verdict(pairs, "probe", "blank").groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
     "qc_11_guards",
-    """SELECT 'error' AS severity, 'no customer of ' || n_name AS message FROM nation
-       WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9900)""",
+    """SELECT 'error' AS severity, 'no ' || s.p_size || ' of ' || b.p_brand AS message
+       FROM (SELECT DISTINCT p_brand FROM part) b, (SELECT DISTINCT p_size FROM part) s
+       WHERE NOT EXISTS (SELECT 1 FROM part p WHERE p.p_brand = b.p_brand AND p.p_size = s.p_size)""",
 )
 def guards(data):
-    rich = data.customer.where(F.col("c_acctbal") > 9900).groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
-    counts = data.nation.join(rich, F.col("n_nationkey") == F.col("c_nationkey"), "left").select(
-        F.concat(F.lit("customer of "), "n_name").alias("what"), "n"
-    )
-    return quality.guards(counts)
+    """Every size of every brand has to have a part."""
+    # Fifty sizes at most.
+    every = sorted(r[0] for r in data.part.select("p_size").distinct().collect())
+    named = data.part.select("p_brand").distinct().select("p_brand", F.explode(F.array(*[F.lit(n) for n in every])).alias("p_size"))
+    counted = data.part.groupBy("p_brand", "p_size").agg(F.count(F.lit(1)).alias("n"))
+    counts = named.join(counted, ["p_brand", "p_size"], "left")
+    return quality.guards(counts.select(F.concat(F.col("p_size").cast("string"), F.lit(" of "), "p_brand").alias("what"), "n"))
 
 
 @query(

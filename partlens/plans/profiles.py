@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from partlens.operators import profile, spatial
@@ -22,6 +24,8 @@ COLOURS = (
 )
 PALETTE = ["#f2f7fb", "#d3e3f0", "#b0cde4", "#86b3d6", "#5d98c6", "#3c7db3", "#24639d", "#154b83", "#0c3566", "#072247"]
 
+# Stands for all rows of a sample.
+EVERY = "_every_row"
 TEXT_COLUMNS = ("subtype", "status", "cust", "dominant", "sparse", "band")
 LONG = " UNION ALL ".join(
     [f"""SELECT "window", '{c}' AS "column", 'text' AS kind, {c} AS text, CAST(NULL AS DOUBLE) AS number FROM {{source}} WHERE {c} IS NOT NULL""" for c in TEXT_COLUMNS]
@@ -141,18 +145,23 @@ SELECT "column", kind, total, round(dominance, 6) AS dominance, round(coverage,
        round(coverage * (1 - dominance), 6) AS score, round(total / (SELECT count(*) FROM {source}), 6) AS populated FROM m"""
 
 
+def measured_in_one_pass(data: Data, scope) -> DataFrame:
+    """The rows of the sample are the one value of a column more, so that they are counted with the others."""
+    sampled = spatial.sample(data.features, scope).withColumn(EVERY, F.lit(EVERY))
+    kinds = profile.column_kinds(data.features) | {EVERY: profile.TEXT}
+    rows = F.coalesce(F.max(F.when(F.col("column") == EVERY, F.col("total"))).over(W.partitionBy()), F.lit(0))
+    measured = profile.metrics(profile.total_counts(profile.value_counts(sampled, kinds)), rows).where(F.col("column") != EVERY)
+    return rounded(measured, "dominance", "coverage", "score", "populated")
+
+
 @query("agg_6_candidate_metrics", counts_sql("geo_sample") + "," + METRICS.format(source="geo_sample"))
 def candidate_metrics(data):
-    sampled = spatial.sample(data.features, WINDOWED)
-    totals = profile.total_counts(profile.value_counts(sampled, profile.column_kinds(data.features)))
-    return rounded(profile.metrics(totals, sampled.count()), "dominance", "coverage", "score", "populated")
+    return measured_in_one_pass(data, WINDOWED)
 
 
 @query("agg_6_candidate_metrics_whole", counts_sql(WHOLE_SOURCE) + "," + METRICS.format(source="geo_boxes"))
 def candidate_metrics_whole(data):
-    sampled = spatial.sample(data.features, WHOLE)
-    totals = profile.total_counts(profile.value_counts(sampled, profile.column_kinds(data.features)))
-    return rounded(profile.metrics(totals, sampled.count()), "dominance", "coverage", "score", "populated")
+    return measured_in_one_pass(data, WHOLE)
 
 
 @query(
@@ -228,18 +237,20 @@ def measure_whole(data):
     return measured_row(run(data, WHOLE))
 
 
-NUMERIC_ONLY = f"(SELECT \"window\", * EXCLUDE (\"window\", subtype, status, dominant, band), 'x' AS subtype, 'x' AS status, 'x' AS dominant, 'x' AS band FROM geo_sample)"
-
-
 @query(
     "prof_3_measure_numeric",
-    measure_sql(NUMERIC_ONLY, 7) + """ SELECT v."column", v.number AS value, v.n, round(c.dominance, 6) AS dominance
-FROM legend_values v JOIN chosen c ON c."column" = v."column" WHERE v.kind = 'numeric'""",
+    measure_sql("geo_sample", 7) + """ SELECT r."column", r.number AS value, r.n, round(m.dominance, 6) AS dominance, m.strict_ok
+FROM ranked r JOIN measured m ON m."column" = r."column" WHERE m.kind = 'numeric'""",
 )
 def measure_numeric(data):
-    prof = run(data, drop=("subtype", "status", "dominant", "band"))
-    best = prof.chosen.where(F.col("kind") == "numeric").select("column", F.round("dominance", 6).alias("dominance"))
-    return prof.values.join(best, "column").select("column", F.col("number").alias("value"), "n", "dominance")
+    """Every numeric candidate with its values, whichever column is chosen in the end."""
+    return numeric_values(run(data)).select("column", F.col("number").alias("value"), "n", "dominance", "strict_ok")
+
+
+def numeric_values(prof: profile.Profile) -> DataFrame:
+    measured = prof.measured.where(F.col("kind") == "numeric").select("column", F.round("dominance", 6).alias("dominance"), "strict_ok")
+    totals = profile.total_counts(profile.value_counts(prof.sampled, {c: k for c, k in prof.kinds.items() if k == "numeric"}))
+    return totals.join(measured, "column")
 
 
 CHOSEN = ' SELECT "column", kind, CAST(stage AS BIGINT) AS stage, CAST(place AS BIGINT) AS place, round(score, 6) AS score FROM chosen'
@@ -262,26 +273,23 @@ def choose_whole(data):
     return chosen_row(run(data, WHOLE))
 
 
-FEWER_TEXT = "(SELECT \"window\", * EXCLUDE (\"window\", sparse), CAST(NULL AS STRING) AS sparse FROM geo_sample)"
-
-
 @query(
     "sort_3_preferred_first",
-    measure_sql(FEWER_TEXT, 7) + """ SELECT "column", CAST(row_number() OVER (ORDER BY "column" <> 'status', score DESC, rank) AS BIGINT) AS place
+    measure_sql("geo_sample", 7) + """ SELECT "column", CAST(row_number() OVER (ORDER BY "column" <> 'status', score DESC, rank) AS BIGINT) AS place
 FROM chosen WHERE stage = 1""",
 )
 def preferred_first(data):
-    prof = run(data, drop=("sparse",), preferred="status")
+    prof = run(data, preferred="status")
     return prof.chosen.select("column", F.col("place").cast("bigint").alias("place"))
 
 
 @query(
     "prof_5_alternates",
-    measure_sql(FEWER_TEXT, 7) + """ SELECT c."column", count(*) AS confirmed FROM chosen c JOIN legend_values v ON v."column" = c."column"
+    measure_sql("geo_sample", 7) + """ SELECT c."column", count(*) AS confirmed FROM chosen c JOIN legend_values v ON v."column" = c."column"
 WHERE c.place > 1 GROUP BY c."column" HAVING count(*) >= 3""",
 )
 def alternates(data):
-    prof = run(data, drop=("sparse",))
+    prof = run(data)
     wanted = {c: prof.kinds[c] for c in ("subtype", "status", "dominant")}
     held = profile.confirm(prof.sampled, wanted, prof.values.where(F.col("place") > 1))
     return held.groupBy("column").agg(F.count(F.lit(1)).alias("confirmed")).where(F.col("confirmed") >= 3)
@@ -316,11 +324,14 @@ STEPS = "(VALUES " + ", ".join(f"({i}, '{c}')" for i, c in enumerate(PALETTE)) +
 
 @query(
     "prof_7_step_legend",
-    measure_sql(NUMERIC_ONLY, 7) + f""", numbered AS (SELECT "column", number, row_number() OVER (ORDER BY number) - 1 AS step FROM legend_values)
+    measure_sql("geo_sample", 7) + f""", numbered AS (
+  SELECT r."column", r.number, row_number() OVER (PARTITION BY r."column" ORDER BY r.number) - 1 AS step
+  FROM ranked r JOIN measured m ON m."column" = r."column" WHERE m.kind = 'numeric' AND m.strict_ok)
 SELECT "column", step, CASE WHEN step > 0 THEN number END AS from_value, colour FROM numbered JOIN {STEPS} ON p.i = step % {len(PALETTE)}""",
 )
 def step_legend(data):
-    return profile.step_legend(run(data, drop=("subtype", "status", "dominant", "band")).values, PALETTE)
+    """The steps of every usable numeric column, whichever column is chosen in the end."""
+    return profile.step_legend(numeric_values(run(data)).where("strict_ok"), PALETTE)
 
 
 NAMES = ", ".join(w.name for w in WINDOWS)
