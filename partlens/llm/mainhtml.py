@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import html
+import marshal
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
@@ -17,6 +18,8 @@ from partlens.llm.common import bounded_batches, stored, text_of
 
 LEAST_PAGES = 4
 LOW = 0.25
+# Within an article only what nearly every page of the site has is unimportant.
+LOW_INSIDE = 0.05
 DECAY = 0.9
 # Elements and names by what HTML and common usage say they hold.
 RAW = frozenset("script style textarea title xmp noembed noframes plaintext".split())
@@ -35,6 +38,12 @@ NAMED = frozenset(
     "notices popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended "
     "recommendations comment comments disqus respond reply replies pagination pager toolbar skip hidden".split()
 )
+# What names of elements add to say where or how large something is, not what.
+FILLERS = frozenset(
+    "main top bottom left right side inner outer upper lower page site global wrap wrapper box container content section block group item "
+    "items list row col column area bar panel unit slot zone holder body header head title link links button buttons icon icons count thread "
+    "tree form to up down first last small large big".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 TAG = re.compile(
@@ -53,6 +62,7 @@ class Node:
     path: int
     noise: bool
     parts: list = field(default_factory=list)
+    style: int | None = None
 
     def blocks(self) -> list[Node]:
         return [p for p in self.parts if isinstance(p, Node)]
@@ -64,7 +74,10 @@ def _hash(*words) -> int:
 
 
 def _named_noise(tag: str, attributes: dict[str, str], inside: bool) -> bool:
-    """Whether the element says itself that it is no article text. A header within an article heads it."""
+    """Whether the element says itself that it is no article text. A header within an article heads it.
+
+    Of a class or identifier every part must say so, but for those that say where it is: ``skip-link``, not ``skip-ahead``.
+    """
     if tag in NOT_TEXT or (tag == "header" and not inside):
         return True
     if not attributes:
@@ -73,8 +86,13 @@ def _named_noise(tag: str, attributes: dict[str, str], inside: bool) -> bool:
         return True
     if attributes.get("aria-hidden", "").lower() == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower():
         return True
-    names = {n.lower() for key in ("class", "id") for n in NAME_PART.findall(attributes.get(key, ""))}
-    return bool(names & NAMED) or ("header" in names and not inside and tag not in ("body", "main", "article", "html"))
+    for given in (attributes.get("class", "") + " " + attributes.get("id", "")).split():
+        names = {n.lower() for n in NAME_PART.findall(given)}
+        if names & NAMED and names <= NAMED | FILLERS:
+            return True
+        if "header" in names and names <= FILLERS and not inside and tag not in ("body", "main", "article", "html"):
+            return True
+    return False
 
 
 def parse(page: str, site: int = 0) -> Node:
@@ -158,6 +176,8 @@ def _runs(node: Node) -> Iterator[str]:
 
 def _style(node: Node) -> int:
     """The sequence of a node's blocks, repeats in a row as one: lists of any length look alike."""
+    if node.style is not None:
+        return node.style
     labels = [b.label for b in node.blocks()]
     return _hash(*[a for a, b in zip(labels, [None, *labels]) if a != b]) | 1
 
@@ -182,6 +202,41 @@ def signs(root: Node) -> set[tuple[int, int]]:
     return found
 
 
+def packed(root: Node) -> bytes:
+    """A page's tree as bytes: texts and blocks in page order, a block with its style and, where it ends, None."""
+    events: list = []
+    waiting: list = [root]
+    while waiting:
+        part = waiting.pop()
+        if isinstance(part, Node):
+            events.append((part.tag, part.path, part.noise, _style(part) if part.blocks() else 0))
+            waiting.append(None)
+            waiting += reversed(part.parts)
+        else:
+            events.append(part)
+    return zlib.compress(marshal.dumps(events), 1)
+
+
+def unpacked(held: bytes) -> Node:
+    """The tree of :func:`packed`."""
+    events = marshal.loads(zlib.decompress(held))
+    root, stack = None, []
+    for event in events:
+        if isinstance(event, tuple):
+            tag, path, noise, style = event
+            node = Node(tag, "", path, noise, [], style)
+            if stack:
+                stack[-1].parts.append(node)
+            else:
+                root = node
+            stack.append(node)
+        elif event is None:
+            stack.pop()
+        else:
+            stack[-1].parts.append(event)
+    return root
+
+
 def importance(node: Node, known: dict[tuple[int, int], float], most: dict[int, float]) -> float:
     """The composite importance of a branch: of its own styles, and the mean of what is in it.
 
@@ -226,16 +281,19 @@ def tops_of(root: Node, tag: str) -> list[Node]:
 def article(root: Node, known: dict[tuple[int, int], float]) -> str:
     """The texts of the article's blocks, one a line.
 
-    Within the article only branches that name themselves are left out. Without an article
-    element it is the page's main part, or else all of it, less the branches that the
-    site's tree finds unimportant.
+    The site's tree decides which branches stay, within an article element as in the page's main
+    part or, without either, in all of the page. A branch that names itself a menu, an advert and the like is
+    unimportant whatever the tree says. Within an article less is unimportant, since nearly all of it is text; where
+    nothing in it is important, the page is a copy of the site's others and not made of their frame, and stays whole.
     """
     wanted = next((tag for tag in ("article", "main") if tops_of(root, tag)), None)
     tops = tops_of(root, wanted) if wanted else [root]
+    low = LOW_INSIDE if wanted == "article" else LOW
     most: dict[int, float] = {}
-    if wanted != "article":
-        for top in tops:
-            importance(top, known, most)
+    for top in tops:
+        importance(top, known, most)
+    if wanted == "article" and all(most[id(top)] <= low for top in tops):
+        low = -1.0
     lines = []
 
     def walk(top: Node) -> None:
@@ -244,7 +302,7 @@ def article(root: Node, known: dict[tuple[int, int], float]) -> str:
             part = waiting.pop()
             if isinstance(part, str):
                 lines.append(part)
-            elif not part.noise and (part is top or most.get(id(part), 1.0) > LOW):
+            elif not part.noise and (part is top or most[id(part)] > low):
                 texts, ordered, held = _runs(part), [], False
                 for piece in [*part.parts, None]:
                     if isinstance(piece, str):
@@ -262,12 +320,6 @@ def article(root: Node, known: dict[tuple[int, int], float]) -> str:
     return "\n".join(lines)
 
 
-def _where(batch: pd.DataFrame, keep: list[bool]) -> pd.DataFrame:
-    """Some rows of a batch, as plain arrays."""
-    chosen = np.array(keep, bool)
-    return pd.DataFrame({c: batch[c].to_numpy()[chosen] for c in batch.columns})
-
-
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per row of ``pages``: the identifier, the url, and ``text``.
 
@@ -276,8 +328,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     Importance follows the entropy over a node's m pages: that of its styles to the base m,
     and 1 - log n / log m for a text on n of the pages. Nodes on fewer than
     ``LEAST_PAGES`` pages are taken as they are. Each page then gets the values of its own
-    branches and leaves out the unimportant ones. A page with an article element is read
-    where it lies, since the tree decides nothing in there; only other pages are shuffled.
+    branches and leaves out the unimportant ones. A page is parsed once: its tree is written, packed,
+    beside what it adds to the site's, and that is what is shuffled to meet the values.
 
     Null and empty pages have empty text. A null url is a host of its own name, the empty
     one. Repeated rows count as pages of their own and come out once each; a null
@@ -292,10 +344,14 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [(n, *sign) for n, site, raw in zip(batch["_page"], batch["_host"], batch["_html"]) for sign in signs(parse(raw, site))]
-            yield pd.DataFrame(np.array(found, np.int64).reshape(-1, 3), columns=["_page", "_path", "_sign"])
-
-    rows = stored(page.select("_page", "_host", "_html").mapInPandas(listed, "_page long, _path long, _sign long"), "signs")
+            roots = [parse(raw, site) for raw, site in zip(batch["_html"], batch["_host"])]
+            found = [(n, *sign) for n, root in zip(batch["_page"], roots) for sign in signs(root)]
+            trees = batch[["_page", "_id", "_url"]].assign(_tree=[packed(root) for root in roots])
+            yield pd.concat([trees, pd.DataFrame(found, columns=["_page", "_path", "_sign"]).astype("Int64")], ignore_index=True)
+
+    held = f"_page long, _id {kind}, _url string, _tree binary, _path long, _sign long"
+    parsed = stored(page.select("_page", "_host", "_id", "_url", "_html").mapInPandas(listed, held), "parsed")
+    rows = parsed.where("_path IS NOT NULL").select("_page", "_path", "_sign")
     counted = rows.groupBy("_path", "_sign").agg(F.count(F.lit(1)).alias("_n"))
     style = F.col("_sign") % 2 != 0
     nodes = counted.groupBy("_path").agg(
@@ -313,33 +369,15 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     own = rows.where("_sign != 0").join(told, ["_path", "_sign"]).groupBy("_page").agg(
         F.collect_set(F.struct("_path", "_sign", "_value")).alias("_known")
     )
-    fields = f"_page long, _host long, _id {kind}, _url string, _html string"
-    result = f"_id {kind}, _url string, text string"
-
-    def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            other = [not tops_of(parse(raw), "article") for raw in batch["_html"]]
-            if any(other):
-                yield _where(batch, other)
-
-    def plain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            roots = [parse(raw) for raw in batch["_html"]]
-            own_word = [bool(tops_of(root, "article")) for root in roots]
-            texts = [article(root, {}) for root, own in zip(roots, own_word) if own]
-            if texts:
-                yield _where(batch[["_id", "_url"]], own_word).assign(text=texts)
-
-    every = page.select("_page", "_host", "_id", "_url", "_html")
-    whole = every.mapInPandas(judged, fields).join(own, "_page", "left")
+    whole = parsed.where("_path IS NULL").select("_page", "_id", "_url", "_tree").join(own, "_page", "left")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = []
-            for raw, site, known in zip(batch["_html"], batch["_host"], batch["_known"]):
+            for tree, known in zip(batch["_tree"], batch["_known"]):
                 values = {(k["_path"], k["_sign"]): k["_value"] for k in known} if known is not None else {}
-                texts.append(article(parse(raw, site), values))
+                texts.append(article(unpacked(tree), values))
             yield pd.DataFrame({"_id": batch["_id"], "_url": batch["_url"], "text": texts})
 
-    done = every.mapInPandas(plain, result).unionByName(whole.mapInPandas(read, result))
+    done = whole.mapInPandas(read, f"_id {kind}, _url string, text string")
     return done.select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), "text")
