@@ -202,43 +202,63 @@ def signs(root: Node) -> set[tuple[int, int]]:
     return found
 
 
-def packed(root: Node) -> bytes:
-    """A page's tree as bytes: texts and blocks in page order, a block with its style and, where it ends, None."""
-    events: list = []
-    waiting: list = [root]
+def region(root: Node) -> tuple[list[Node], float]:
+    """The page's articles, or else its main part, or else all of it; and up to which importance a branch of it goes."""
+    for tag, low in (("article", LOW_INSIDE), ("main", LOW)):
+        tops = tops_of(root, tag)
+        if tops:
+            return tops, low
+    return [root], LOW
+
+
+def candidates(tops: list[Node]) -> set[tuple[int, int]]:
+    """The texts of a page's region, as its site's tree knows them."""
+    found, waiting = set(), list(tops)
+    while waiting:
+        node = waiting.pop()
+        found.update((node.path, _text(line)) for line in _runs(node))
+        waiting += [b for b in node.blocks() if not b.noise]
+    return found
+
+
+def packed(tops: list[Node], low: float) -> bytes:
+    """A page's region as bytes: texts and blocks in page order, a block with its style and, where it ends, None.
+
+    What names itself noise keeps its place alone.
+    """
+    events: list = [low]
+    waiting: list = list(reversed(tops))
     while waiting:
         part = waiting.pop()
         if isinstance(part, Node):
             events.append((part.tag, part.path, part.noise, _style(part) if part.blocks() else 0))
             waiting.append(None)
-            waiting += reversed(part.parts)
+            if not part.noise:
+                waiting += reversed(part.parts)
         else:
             events.append(part)
     return zlib.compress(marshal.dumps(events), 1)
 
 
-def unpacked(held: bytes) -> Node:
-    """The tree of :func:`packed`."""
-    events = marshal.loads(zlib.decompress(held))
-    root, stack = None, []
+def unpacked(held: bytes) -> tuple[list[Node], float]:
+    """The region of :func:`packed`."""
+    low, *events = marshal.loads(zlib.decompress(held))
+    tops, stack = [], []
     for event in events:
         if isinstance(event, tuple):
             tag, path, noise, style = event
             node = Node(tag, "", path, noise, [], style)
-            if stack:
-                stack[-1].parts.append(node)
-            else:
-                root = node
+            (stack[-1].parts if stack else tops).append(node)
             stack.append(node)
         elif event is None:
             stack.pop()
         else:
             stack[-1].parts.append(event)
-    return root
+    return tops, low
 
 
 def importance(node: Node, known: dict[tuple[int, int], float], most: dict[int, float]) -> float:
-    """The composite importance of a branch: of its own styles, and the mean of what is in it.
+    """The composite importance of a branch: of its own styles, and the mean of what is in it, less what names itself noise.
 
     A text on one page alone has importance 1, one on all pages 0. ``known`` has what the
     site's tree says; what it does not list is on one page. ``most`` gets, for each branch,
@@ -247,10 +267,11 @@ def importance(node: Node, known: dict[tuple[int, int], float], most: dict[int,
     found: dict[int, float] = {}
     order, waiting = [], [node]
     while waiting:
-        waiting += (top := waiting.pop()).blocks()
-        order.append(top)
+        one = waiting.pop()
+        waiting += [b for b in one.blocks() if not b.noise]
+        order.append(one)
     for one in reversed(order):
-        below = one.blocks()
+        below = [b for b in one.blocks() if not b.noise]
         texts = [known.get((one.path, _text(line)), 1.0) for line in _runs(one)]
         inner = [found[id(b)] for b in below] + texts
         if not inner:
@@ -258,7 +279,7 @@ def importance(node: Node, known: dict[tuple[int, int], float], most: dict[int,
             continue
         mean = sum(inner) / len(inner)
         weight = DECAY ** len(below)
-        own = known.get((one.path, _style(one)), 1.0) if below else mean
+        own = known.get((one.path, _style(one)), 1.0) if one.blocks() else mean
         found[id(one)] = (1 - weight) * own + weight * mean
         most[id(one)] = max([found[id(one)], *texts, *[most[id(b)] for b in below]])
     return found[id(node)]
@@ -286,13 +307,15 @@ def article(root: Node, known: dict[tuple[int, int], float]) -> str:
     unimportant whatever the tree says. Within an article less is unimportant, since nearly all of it is text; where
     nothing in it is important, the page is a copy of the site's others and not made of their frame, and stays whole.
     """
-    wanted = next((tag for tag in ("article", "main") if tops_of(root, tag)), None)
-    tops = tops_of(root, wanted) if wanted else [root]
-    low = LOW_INSIDE if wanted == "article" else LOW
+    return region_text(*region(root), known)
+
+
+def region_text(tops: list[Node], low: float, known: dict[tuple[int, int], float]) -> str:
+    """:func:`article` for a region already told from the page."""
     most: dict[int, float] = {}
     for top in tops:
         importance(top, known, most)
-    if wanted == "article" and all(most[id(top)] <= low for top in tops):
+    if low == LOW_INSIDE and all(most[id(top)] <= low for top in tops):
         low = -1.0
     lines = []
 
@@ -328,8 +351,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     Importance follows the entropy over a node's m pages: that of its styles to the base m,
     and 1 - log n / log m for a text on n of the pages. Nodes on fewer than
     ``LEAST_PAGES`` pages are taken as they are. Each page then gets the values of its own
-    branches and leaves out the unimportant ones. A page is parsed once: its tree is written, packed,
-    beside what it adds to the site's, and that is what is shuffled to meet the values.
+    branches and leaves out the unimportant ones. A page is parsed once: the part of its tree that may be text is
+    written, packed, beside what it adds to the site's tree. A branch goes only if it holds unimportant texts, so
+    values are fetched for pages with such texts alone; Spark shuffles the packed trees to them
+    unless those pages' values are few enough to be broadcast.
 
     Null and empty pages have empty text. A null url is a host of its own name, the empty
     one. Repeated rows count as pages of their own and come out once each; a null
@@ -345,13 +370,18 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             roots = [parse(raw, site) for raw, site in zip(batch["_html"], batch["_host"])]
-            found = [(n, *sign) for n, root in zip(batch["_page"], roots) for sign in signs(root)]
-            trees = batch[["_page", "_id", "_url"]].assign(_tree=[packed(root) for root in roots])
-            yield pd.concat([trees, pd.DataFrame(found, columns=["_page", "_path", "_sign"]).astype("Int64")], ignore_index=True)
-
-    held = f"_page long, _id {kind}, _url string, _tree binary, _path long, _sign long"
+            kept = [region(root) for root in roots]
+            trees = batch[["_page", "_id", "_url"]].assign(_tree=[packed(*part) for part in kept])
+            found = []
+            for number, root, (tops, low) in zip(batch["_page"], roots, kept):
+                mine = candidates(tops)
+                found += [(number, *sign, low if sign in mine else None) for sign in signs(root)]
+            added = pd.DataFrame(found, columns=["_page", "_path", "_sign", "_low"]).astype({"_path": "Int64", "_sign": "Int64", "_low": "float64"})
+            yield pd.concat([trees, added], ignore_index=True)
+
+    held = f"_page long, _id {kind}, _url string, _tree binary, _path long, _sign long, _low double"
     parsed = stored(page.select("_page", "_host", "_id", "_url", "_html").mapInPandas(listed, held), "parsed")
-    rows = parsed.where("_path IS NOT NULL").select("_page", "_path", "_sign")
+    rows = parsed.where("_path IS NOT NULL").select("_page", "_path", "_sign", "_low")
     counted = rows.groupBy("_path", "_sign").agg(F.count(F.lit(1)).alias("_n"))
     style = F.col("_sign") % 2 != 0
     nodes = counted.groupBy("_path").agg(
@@ -366,9 +396,14 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         .select("_path", "_sign", F.least(F.lit(1.0), F.greatest(F.lit(0.0), 1 - alike)).alias("_value")),
         "values",
     )
-    own = rows.where("_sign != 0").join(told, ["_path", "_sign"]).groupBy("_page").agg(
+    unimportant = stored(told.where((F.col("_sign") % 2 == 0) & (F.col("_value") <= LOW)), "unimportant")
+    met = rows.where("_low IS NOT NULL").join(unimportant, ["_path", "_sign"]).where("_value <= _low")
+    wanted = stored(met.select("_page").distinct(), "wanted")
+    own = rows.where("_sign != 0").join(wanted, "_page", "left_semi").join(told, ["_path", "_sign"]).groupBy("_page").agg(
         F.collect_set(F.struct("_path", "_sign", "_value")).alias("_known")
     )
+    # Written first, so that its size is known when the trees meet it.
+    own = stored(own, "known")
     whole = parsed.where("_path IS NULL").select("_page", "_id", "_url", "_tree").join(own, "_page", "left")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -376,7 +411,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             texts = []
             for tree, known in zip(batch["_tree"], batch["_known"]):
                 values = {(k["_path"], k["_sign"]): k["_value"] for k in known} if known is not None else {}
-                texts.append(article(unpacked(tree), values))
+                texts.append(region_text(*unpacked(tree), values))
             yield pd.DataFrame({"_id": batch["_id"], "_url": batch["_url"], "text": texts})
 
     done = whole.mapInPandas(read, f"_id {kind}, _url string, text string")

@@ -108,17 +108,17 @@ def plain_text(root, tree):
             if isinstance(part, str):
                 inner.append(1 - math.log(texts[part]) / math.log(pages) if told else 1.0)
                 most.append(inner[-1])
-            else:
+            elif not part.noise:
                 own, far = worth(way + (part.label,), part)
                 inner.append(own)
                 most.append(far)
         if not inner:
             return 0.0, 0.0
-        mean, below, own = sum(inner) / len(inner), len(node.blocks()), 1.0
-        if told and below:
+        mean, below, own = sum(inner) / len(inner), sum(not b.noise for b in node.blocks()), 1.0
+        if told and node.blocks():
             total = sum(styles.values())
             own = min(1.0, max(0.0, sum(n / total * -math.log(n / total, pages) for n in styles.values())))
-        elif not below:
+        elif not node.blocks():
             own = mean
         found = (1 - 0.9**below) * own + 0.9**below * mean
         return found, max([found, *most])
@@ -188,8 +188,10 @@ def test_copies_of_a_page_stay_whole(frame):
 def test_packed_trees_are_the_same_tree():
     for raw in ["", "<p>a<p>b", "<div>" * 5000 + "x", *mixed_site(1, 4)]:
         root = mainhtml.parse(raw, 7)
-        again = mainhtml.unpacked(mainhtml.packed(root))
-        assert mainhtml.signs(again) == mainhtml.signs(root) and mainhtml.article(again, {}) == mainhtml.article(root, {})
+        tops, low = mainhtml.region(root)
+        again = mainhtml.unpacked(mainhtml.packed(tops, low))
+        assert mainhtml.candidates(again[0]) == mainhtml.candidates(tops) <= mainhtml.signs(root)
+        assert again[1] == low and mainhtml.region_text(*again, {}) == mainhtml.article(root, {})
 
 
 def test_importance_is_entropy():
