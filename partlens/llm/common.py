@@ -39,6 +39,26 @@ def lower_words(text: str) -> list[bytes]:
     return WORD_BYTES.findall(text.encode("utf-8", "surrogatepass").lower())
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """The columns of ``df``, whatever their names hold."""
+    return [F.col(quoted(c)) for c in df.columns]
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many lines in front as make it no column of ``df``."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def text_of(name: str) -> Column:
     """The text of a row, null as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partlens.llm.common import stored, text_of
+from partlens.llm.common import columns_of, stored
 from partlens.session import workspace
 
 #: The state is on disk, takes only the disk it fills, and writes changes rather than whole copies.
@@ -25,15 +25,18 @@ def sha256(text: Column) -> Column:
 
 
 def located(df: DataFrame) -> DataFrame:
-    """``df`` with ``_at_file`` and ``_at_row``: where a row's content is stored.
+    """The rows of ``df`` in ``_held``, whatever their columns are called, with ``_at_file`` and ``_at_row``: where a row's content is stored.
 
     A table read from files has that already; any other is written to the shared folder.
     """
     places = [F.col("_metadata.file_path").alias("_at_file"), F.col("_metadata.row_index").alias("_at_row")]
-    try:
-        return df.select("*", *places)
-    except AnalysisException:
-        return stored(df, "located").select("*", *places)
+    held = F.struct(*[c.alias(name) for c, name in zip(columns_of(df), df.columns)]).alias("_held")
+    if "_metadata" not in {c.lower() for c in df.columns}:
+        try:
+            return df.select(held, *places)
+        except AnalysisException:
+            pass
+    return stored(df.select(held), "located").select("_held", *places)
 
 
 def fold(arrivals: DataFrame, state: str):
@@ -84,7 +87,7 @@ def copies(
     identifier stays.
 
     Rows arrive as a stream and are folded by digest into a state on disk. A digest that
-    came more than once is a hit; the whole texts of hits are compared as bytes by
+    came more than once is a hit; the whole texts of hits, and of no other rows, are compared as bytes by
     grouping on the text itself, combined before the shuffle, so a group of any size is a
     row per task. Different texts with one digest become groups of their own.
 
@@ -98,9 +101,10 @@ def copies(
 
 def _copies(places: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]) -> DataFrame:
     spark = places.sparkSession
-    text = text_of(text_col)
+    held = F.col("_held")
+    text = F.coalesce(held.getField(text_col).cast("string"), F.lit(""))
     rows = places.select(
-        F.col(id_col).alias("_id"), F.col("_at_file").alias("_file"), F.col("_at_row").alias("_row"), text.alias("_text")
+        held.getField(id_col).alias("_id"), F.col("_at_file").alias("_file"), F.col("_at_row").alias("_row"), text.alias("_text")
     )
     rows = rows.withColumns({"_digest": digest(F.col("_text")), "_sha": sha256(F.col("_text"))})
 
@@ -112,8 +116,10 @@ def _copies(places: DataFrame, id_col: str, text_col: str, digest: Callable[[Col
     groups = stored(read_state(spark, state), "groups")
 
     place = F.struct("_id", "_file", "_row")
-    variants = rows.groupBy("_digest", "_text").agg(F.max(place).alias("_top"), F.count(F.lit(1)).alias("_rows"))
-    hits = groups.where("_n > 1").select("_digest", "_keep")
+    # Written first, so that few hits are broadcast and no other text is shuffled.
+    hits = stored(groups.where("_n > 1").select("_digest", "_keep"), "hits")
+    met = rows.join(hits.select("_digest"), "_digest", "left_semi")
+    variants = met.groupBy("_digest", "_text").agg(F.max(place).alias("_top"), F.count(F.lit(1)).alias("_rows"))
     # The text whose last row is the one in the state is the state's; others share the digest only.
     others = stored(variants.join(hits, "_digest").where(F.col("_top") != F.col("_keep")).select("_digest").distinct(), "collided")
 
@@ -139,4 +145,5 @@ def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """The rows of ``df`` that stay, with the columns of ``df``."""
     places = located(df)
     stays = _copies(places, id_col, text_col, sha256).where("kept").select(F.col("file").alias("_at_file"), F.col("row").alias("_at_row"))
-    return places.join(stays, ["_at_file", "_at_row"], "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
+    left = places.join(stays, ["_at_file", "_at_row"], "left_semi")
+    return left.select(*[F.col("_held").getField(c).alias(c) for c in df.columns])

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from partlens.llm.common import stored
 
 MOST_LENGTH = 2048
+MOST_HELD = 16_384
 BUCKETS = 12
 BUDGET = 65_536
 STRETCH_ROWS = 100_000
@@ -21,6 +22,16 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text.cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
 
 
+def piece_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_length: int = MOST_LENGTH) -> DataFrame:
+    """:func:`pieces` of a text's words, with the words of each in ``content``, a space between."""
+    words = F.regexp_extract_all(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    split = docs.select(F.col(id_col).alias("_id"), words.alias("_words"))
+    cut = F.expr(f"""transform(sequence(0L, greatest(ceil(size(_words) / {most_length}D) - 1, 0)), p -> named_struct(
+        'piece', p, 'start', p * {most_length}L, 'length', least(size(_words) - p * {most_length}L, {most_length}L),
+        'content', array_join(slice(_words, CAST(p * {most_length} + 1 AS INT), {most_length}), ' ')))""")
+    return split.select("_id", F.explode(cut).alias("p")).select(F.col("_id").alias(id_col), "p.piece", "p.start", "p.length", "p.content")
+
+
 def pieces(docs: DataFrame, tokens: Column, id_col: str = "doc_id", most_length: int = MOST_LENGTH) -> DataFrame:
     """Each row's tokens cut into pieces of at most ``most_length``: id, ``piece``, ``start``, ``length``.
 
@@ -76,13 +87,17 @@ def packed(
     """``items`` with ``bucket``, ``padded`` (its greatest length), ``batch`` and ``slot``.
 
     Bucket boundaries are optimal for the histogram of all lengths; it has a row per
-    distinct length, so lengths must have a bound, as :func:`pieces` gives them. A batch
+    distinct length, so lengths must be at most ``MOST_HELD``, as :func:`pieces` makes them; longer ones
+    stop the job before a row is brought back. A batch
     holds as many rows as fit in ``budget`` tokens when padded, one at least, and every
     batch of a bucket but the last is full. Rows are numbered in stretches: each stretch
     orders its own rows, and a row per stretch carries the count on, so a bucket may hold
     any share of all rows.
     """
     kept = stored(items, "items")
+    longest = kept.agg(F.max(length)).first()[0] or 0
+    if longest > MOST_HELD:
+        raise ValueError(f"an item has {longest} tokens; cut items to {MOST_HELD} at most")
     histogram = kept.groupBy(length).agg(F.count(F.lit(1)).alias("n")).collect()
     ends = boundaries(np.array([r[0] for r in histogram]), np.array([r["n"] for r in histogram]), buckets)
     total = sum(r["n"] for r in histogram)
@@ -118,9 +133,10 @@ def batches(
     most_length: int = MOST_LENGTH,
     buckets: int = BUCKETS,
     budget: int = BUDGET,
+    content: bool = False,
 ) -> DataFrame:
     """Where every piece of every document goes: id, ``piece``, ``start``, ``length``, ``bucket``,
-    ``padded``, ``batch`` and ``slot``.
+    ``padded``, ``batch`` and ``slot``; with ``content`` the piece's words as well, a space between.
 
     Tokens are words. Texts over ``most_length`` words are cut into pieces, so no word is
     lost and the histogram has at most ``most_length`` + 1 rows. Null and empty texts are
@@ -128,5 +144,8 @@ def batches(
     the order of equal ones is open, and they are equal in all columns but their place. A
     null identifier stays. An empty table gives no rows, and other columns take no part.
     """
+    if content:
+        cut = piece_texts(docs, id_col, text_col, most_length)
+        return packed(cut, [id_col, "piece", "length", "content"], "length", buckets, budget)
     cut = pieces(docs, word_count(F.col(text_col)), id_col, most_length)
     return packed(cut, [id_col, "piece", "length"], "length", buckets, budget)

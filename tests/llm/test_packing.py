@@ -54,3 +54,16 @@ def test_batches(docs, monkeypatch, stretch):
 
 def test_empty(empty):
     assert packing.batches(empty).collect() == []
+
+
+def test_content_of_pieces(docs):
+    rows = packing.batches(docs, most_length=100, buckets=4, budget=300, content=True)
+    places = sorted(map(str, packing.batches(docs, most_length=100, buckets=4, budget=300).select("doc_id", "piece", "start", "length", "bucket", "padded").collect()))
+    assert sorted(map(str, rows.select("doc_id", "piece", "start", "length", "bucket", "padded").collect())) == places
+    want = sorted((str(r[0]), s // 100, " ".join(w[s : s + 100])) for r in table() for w in [WORD.findall(r[1] or "")] for s in range(0, max(len(w), 1), 100))
+    assert sorted((str(r.doc_id), r.piece, r.content) for r in rows.collect()) == want
+
+
+def test_lengths_need_a_bound(frame):
+    with pytest.raises(ValueError, match="cut items"):
+        packing.packed(frame([(1, 10**9)], "id long, length long"), ["id"])
