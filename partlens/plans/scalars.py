@@ -117,9 +117,9 @@ i AS (SELECT *, NOT wide AND (x0 < -half OR x1 > half) AS off,
 j AS (SELECT *, x0 + dx AS fx0, x1 + dx AS fx1, greatest(y0, -half) AS fy0, least(y1, half) AS fy1 FROM i)
 SELECT id, round({sql(LON, 'fx0')}, 6) AS lon0, round({sql(LAT, 'fy0')}, 6) AS lat0, round({sql(LON, 'fx1')}, 6) AS lon1, round({sql(LAT, 'fy1')}, 6) AS lat1,
   round((fx1 - fx0) / (fy1 - fy0), 2) AS aspect, round(least(dw / (fx1 - fx0), dh / (fy1 - fy0)), 3) AS fill,
-  concat_ws('; ', CASE WHEN flat_x THEN 'degenerate-x: span floored at 1 km' END, CASE WHEN flat_y THEN 'degenerate-y: span floored at 1 km' END,
-    CASE WHEN cut THEN 'cropped-y to reach 1.5:1' END, CASE WHEN wide THEN 'clamped-x: frame larger than the world' END,
-    CASE WHEN tall THEN 'clamped-y: frame larger than the world' END, CASE WHEN off THEN 'shifted-x' END) AS warnings
+  concat_ws('; ', CASE WHEN flat_x THEN 'no width: widened to 1 km' END, CASE WHEN flat_y THEN 'no height: raised to 1 km' END,
+    CASE WHEN cut THEN 'height cut for an aspect of 1.5' END, CASE WHEN wide THEN 'wider than the world' END,
+    CASE WHEN tall THEN 'taller than the world' END, CASE WHEN off THEN 'moved sideways into the world' END) AS warnings
 FROM j""",
 )
 def fit_frame(data):
