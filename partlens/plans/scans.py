@@ -219,10 +219,10 @@ def footer_source(data):
     return met.groupBy(file_table().alias("name")).agg(F.sum("rows").alias("row_cnt"))
 
 
-def geo_written(data: Data) -> str:
+def geo_written(data: Data, row_group_rows: int = 256) -> str:
     """The features as GeoParquet along the Hilbert curve, in small row groups."""
     path = workspace(data.spark, "geoparquet")
-    geoparquet.write(geoparquet.in_order(data.features, 4), path, row_group_rows=256)
+    geoparquet.write(geoparquet.in_order(data.features, 4), path, row_group_rows=row_group_rows)
     return path
 
 
@@ -259,9 +259,9 @@ def geoparquet_ranges(data):
 def hilbert_order(data):
     """Whether all files' row groups lie apart, before and after ordering along the curve."""
     given = workspace(data.spark, "given")
-    geoparquet.write(data.features.coalesce(4), given, row_group_rows=256)
+    geoparquet.write(data.features.coalesce(4), given, row_group_rows=32)
     groups = footers.row_groups(
-        footers.list_parts(data.spark, given).unionByName(footers.list_parts(data.spark, geo_written(data)))
+        footers.list_parts(data.spark, given).unionByName(footers.list_parts(data.spark, geo_written(data, 32)))
     )
     measured = quality.spatial_order(quality.bbox_groups(groups)).withColumn("layout", F.when(F.col("path").contains("/given-"), "given").otherwise("curve"))
     rows = groups.where("column = 'id'").groupBy("path").agg(F.sum("num_rows").alias("n"))
