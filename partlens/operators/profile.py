@@ -139,7 +139,7 @@ def unpivot(df: DataFrame, keep: Sequence[str], kinds: Mapping[str, str], column
     return long.where(F.col("text").isNotNull() | F.col("number").isNotNull())
 
 
-def _name_slots(long: DataFrame, kinds: Mapping[str, str], columns: Sequence[str]) -> DataFrame:
+def name_slots(long: DataFrame, kinds: Mapping[str, str], columns: Sequence[str]) -> DataFrame:
     """Put column and kind in place of ``slot``."""
     nth = lambda values: F.get(F.array(*(F.lit(v) for v in values)) if values else F.array().cast("array<string>"), "slot")
     named = long.withColumn("column", nth(list(columns))).withColumn("kind", nth([kinds[c] for c in columns]))
@@ -157,7 +157,7 @@ def value_counts(sampled: DataFrame, kinds: Mapping[str, str], columns: Sequence
         .groupBy("window", "slot", "text", "number")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return _name_slots(counted, kinds, wanted)
+    return name_slots(counted, kinds, wanted)
 
 
 def total_counts(counts: DataFrame) -> DataFrame:
@@ -347,7 +347,7 @@ def confirm(sampled: DataFrame, kinds: Mapping[str, str], values: DataFrame) ->
     read, and they reduce to their distinct values before the join.
     """
     columns = _comparable(kinds)
-    held = _name_slots(unpivot(sampled, [], kinds, columns).distinct(), kinds, columns).drop("kind")
+    held = name_slots(unpivot(sampled, [], kinds, columns).distinct(), kinds, columns).drop("kind")
     h = held.alias("h")
     v = values.alias("v")
     same = (
@@ -462,11 +462,18 @@ def profile(
     sampled = sample(features, scope, bbox)
     comparable = _comparable(kinds)
     seen = survey(sampled, comparable, rules.max_distinct)
-    over = [c for c in comparable if c not in seen.few]
     # Everything below reads these rows and not the sample.
     counts = cut_lineage(value_counts(sampled, kinds, seen.few), "counts")
+    return settle(sampled, kinds, seen, counts, len(scope.names), rules, preferred)
+
+
+def settle(
+    sampled: DataFrame, kinds: dict[str, str], seen: Survey, counts: DataFrame, scopes: int, rules: Rules, preferred: str | None
+) -> Profile:
+    """The stages that need counts alone: screen, measure, choose and rank the values."""
+    over = [c for c in _comparable(kinds) if c not in seen.few]
     totals = total_counts(counts)
-    screened = screen(counts, kinds, len(scope.names), rules, over, seen.sketched)
+    screened = screen(counts, kinds, scopes, rules, over, seen.sketched)
     measured = measure(screened, metrics(totals, seen.rows, rules.max_values), rules)
     chosen = choose(measured, preferred)
     values = _ranked(totals).join(chosen.select("column", "place", "stage"), "column")

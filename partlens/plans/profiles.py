@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from partlens.operators import profile, spatial
+from partlens.operators import kept, profile, spatial
 from partlens.plans.registry import query
 from partlens.plans.relations import WINDOWS, Data
-from partlens.session import literal_rows
+from partlens.session import literal_rows, workspace
 
 WINDOWED = spatial.Scope(False, tuple(WINDOWS))
 WHOLE = spatial.Scope(True, ())
@@ -194,6 +194,21 @@ def screen_whole(data):
     return long_ranks(run(data, WHOLE).screened)
 
 
+@query("prof_1_kept_screen", screen_sql(WHOLE_SOURCE, 1) + SCREENED)
+def kept_screen(data):
+    """The second release has one part of eight anew; the other seven are taken from the store."""
+    part = F.format_string("part-%d", F.pmod(F.xxhash64("id"), F.lit(8)))
+    second = data.features.withColumn("part", part)
+    changed = F.col("part") == "part-3"
+    first = second.withColumn("status", F.when(changed, F.col("cust")).otherwise(F.col("status")))
+    store = kept.Store(data.spark, workspace(data.spark, "kept"), profile.column_kinds(data.features))
+    for run, release in enumerate((first, second)):
+        marks = release.select("part", F.when(changed, str(run)).otherwise("0").alias("fingerprint")).distinct()
+        names = lambda wanted, release=release: release.where(F.col("part").isin(*wanted))
+        prof = kept.kept_profile(store, marks, names)
+    return long_ranks(prof.screened)
+
+
 @query(
     "sort_2_screen_rank",
     screen_sql("geo_sample", 7) + ' SELECT kind, CAST(rank AS BIGINT) AS rank, "column" FROM screened WHERE rank IS NOT NULL',

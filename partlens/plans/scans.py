@@ -14,7 +14,7 @@ from partlens.plans.registry import query
 from partlens.plans.relations import TABLES, WINDOWS, Data
 from partlens.plans.releases import diff
 from partlens.session import workspace
-from partlens.sources import documents, features, footers, geoparquet, sinks
+from partlens.sources import documents, features, footers, geoparquet, lines, published, sinks
 
 
 def table_path(data: Data, name: str) -> str:
@@ -433,3 +433,40 @@ def part_mirror(data):
     sinks.mirror_parts(data.parts.drop("box"), path)
     met = data.spark.read.parquet(path).where(overlaps("bbox", WINDOWS[0]))
     return met.groupBy("theme").agg(F.count(F.lit(1)).alias("parts"), F.sum("rows").alias("row_cnt"))
+
+
+@query(
+    "snk_1_published_changes",
+    """WITH was AS (SELECT c_name AS key, c_nationkey AS nation FROM customer WHERE c_custkey % 30 <> 0),
+       now AS (SELECT c_name AS key, CASE WHEN c_custkey % 10 = 1 THEN c_nationkey + 100 ELSE c_nationkey END AS nation FROM customer WHERE c_custkey % 40 <> 7)
+       SELECT coalesce(was.key, now.key) AS key, 2 AS version,
+              CASE WHEN now.key IS NOT NULL THEN '{"name":"' || now.key || '","nation":' || CAST(now.nation AS STRING) || '}' END AS json,
+              CASE WHEN was.key IS NULL THEN 'appeared' WHEN now.key IS NULL THEN 'disappeared' WHEN was.nation <> now.nation THEN 'changed' END AS change
+       FROM was FULL JOIN now ON was.key = now.key""",
+)
+def published_changes(data):
+    """Two versions and a third of the same documents, which is none."""
+    nation = F.when(F.col("c_custkey") % 10 == 1, F.col("c_nationkey") + 100).otherwise(F.col("c_nationkey"))
+    was = data.customer.where(F.col("c_custkey") % 30 != 0).select(F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"))
+    now = data.customer.where(F.col("c_custkey") % 40 != 7).select(F.col("c_name").alias("name"), nation.alias("nation"))
+    path = workspace(data.spark, "published")
+    for side in (was, now, now):
+        version = published.publish(side.select("name", F.struct("name", "nation").alias("doc")), "doc", "name", path)
+    found = published.published(data.spark, path)
+    return found.join(published.changes(data.spark, path, 1, version), "key", "full_outer").select(
+        "key", F.lit(version).alias("version"), "json", "change"
+    )
+
+
+@query(
+    "txt_1_split_lines",
+    """SELECT row_number() OVER (ORDER BY doc_id, place) AS line_no, line AS text
+       FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place
+             FROM documents WHERE text IS NOT NULL)""",
+)
+def split_lines(data):
+    """All texts as one text in many files, its lines numbered from the splits that are read."""
+    each = data.documents.where(F.col("text").isNotNull()).select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
+    path = workspace(data.spark, "lines")
+    each.orderBy("doc_id", "place").select("line").write.text(path)
+    return lines.numbered_lines(data.spark, path, across=True).select("line_no", "text")
