@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partlens.llm.common import bounded_batches, crc_bucket, text_of, words_of
+from partlens.llm.common import bounded_batches, crc_bucket, stored, text_of, words_of
 
 FEATURE_BITS = 18
 MOST_ROWS = 20_000
@@ -29,7 +29,7 @@ ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165
 
 def shape(word: bytes) -> bytes:
     """Runs of capitals, other letters and digits as one sign each; punctuation stays, runs cut to three."""
-    return PUNCTUATION_RUN.sub(rb"\1\1\1", LETTER_RUN.sub(rb"\1", word.translate(SIGNS)))[:12]
+    return PUNCTUATION_RUN.sub(rb"\1\1\1", LETTER_RUN.sub(rb"\1", word.translate(SIGNS)))
 
 
 class _Known(dict):
@@ -166,9 +166,10 @@ def scored(
     does not leave ``held`` by ``folds``. Their identifiers are sent to the tasks, which bring
     back hashed indicators only; log-count ratios and the hinge-loss weights are fitted on
     those and sent to the tasks that score every whole text. The score follows the text alone.
+    Should an identifier have many rows, ``most_rows`` bounds the rows as well, again by hashes.
 
-    Null and empty texts have no indicator and the score of the intercept. Repeated rows of a
-    labelled document count each. A null identifier is never learnt from. Without labelled
+    Null and empty texts have no indicator and the score of the intercept. Rows of a labelled
+    document count once for each text that they hold. A null identifier is never learnt from. Without labelled
     rows every score is 0.5. Labels that contradict each other are left out. An empty table
     gives no rows, and other columns take no part.
     """
@@ -195,13 +196,16 @@ def scorer(
     def indicators(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [features(t).tobytes() for t in batch["_text"]]
-            yield pd.DataFrame({"_id": batch["_id"], "_label": batch["_label"], "_found": found})
+            yield pd.DataFrame({"_id": batch["_id"], "_mark": batch["_mark"], "_label": batch["_label"], "_found": found})
 
     # At most ``most_rows`` pairs of numbers, so the hint has a bound.
     chosen = F.broadcast(sample(docs, labels, id_col, label_col, folds, held, most_rows))
     texts = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
-    learnt = texts.join(chosen, "_id").select("_id", "_label", "_text").mapInPandas(indicators, f"_id {kind}, _label int, _found binary")
-    got = sorted(learnt.collect(), key=lambda r: (r["_id"], bytes(r["_found"])))
+    labelled = texts.join(chosen, "_id").select("_id", F.xxhash64("_text").alias("_mark"), "_label", "_text")
+    marked = labelled.mapInPandas(indicators, f"_id {kind}, _mark long, _label int, _found binary")
+    learnt = stored(marked.groupBy("_id", "_mark").agg(F.max("_label").alias("_label"), F.max("_found").alias("_found")), "indicators")
+    first = learnt.select("_id", "_mark").orderBy(F.xxhash64("_id"), "_id", "_mark").limit(most_rows)
+    got = sorted(learnt.join(F.broadcast(first), ["_id", "_mark"]).collect(), key=lambda r: (r["_id"], bytes(r["_found"])))
     rows = [np.frombuffer(r["_found"], np.int32) for r in got]
     model = spark.sparkContext.broadcast(fit(rows, np.array([r["_label"] for r in got], np.int64)))
 

@@ -112,7 +112,7 @@ _URL_KEY = r"""
     regexp_replace(lower(regexp_extract({bare}, '^[^/?]*')), '^www[0-9]*\.|:(80|443)$', '', 'g')
     || regexp_replace(regexp_extract({bare}, '^[^/?]*([^?]*)', 1), '/+$', '')
     || coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(regexp_extract({bare}, '\?(.*)$', 1), '&'),
-         lambda p: p <> '' AND NOT regexp_matches(lower(p), '^(utm_[a-z]+|ref|fbclid|gclid|sessionid|sid)(=|$)'))), '&'), ''), '')
+         lambda p: p <> '' AND NOT regexp_matches(lower(p), '^(utm_[a-z]+|fbclid|gclid|sessionid|sid)(=|$)'))), '&'), ''), '')
 """
 
 

@@ -11,8 +11,9 @@ from partlens.llm.common import stored
 # The headers that a 304 answer may bring anew (RFC 9110, 15.4.5) and Last-Modified,
 # and query parameters that name the way to a page, not the page.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
-TRACKING = r"^(utm_[a-z]+|ref|fbclid|gclid|sessionid|sid)(=|$)"
-RANGES = 200
+TRACKING = r"^(utm_[a-z]+|fbclid|gclid|sessionid|sid)(=|$)"
+# Records in a range, which one task sorts.
+RANGE_ROWS = 100_000
 
 
 def url_key(url: Column) -> Column:
@@ -68,17 +69,19 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
 
     ``state`` is ``resolved``, ``validator differs``, ``no validator`` (nothing to compare) or ``no earlier
     response``; only resolved revisits have ``refers_to``, ``payload`` and merged headers, others keep
-    their own. Null urls are one url of their own; a null time precedes all; null headers
+    their own. Null urls are one url of their own, apart from empty ones, and ``url_key`` stays
+    null for them; a null time precedes all; null headers
     are none. Other kinds of records and other columns take no part. Repeated revisits
     come out each. An empty table gives no rows.
 
     Records are sorted over ranges of (url, time), so one url may fill many tasks. Each
     range finds the last response within itself, and a row per url and range carries it
-    to the ranges that follow.
+    to the ranges that follow. There is a range for every ``RANGE_ROWS`` records, and no fewer
+    than the session has slots, so a task sorts as many rows at any size.
     """
     none = F.create_map().cast("map<string,string>")
     events = records.where(F.col("kind").isin("response", "revisit")).select(
-        F.coalesce(url_key(F.col("url")), F.lit("")).alias("url_key"),
+        url_key(F.col("url")).alias("url_key"),
         "at",
         (F.col("kind") == "response").alias("_full"),
         F.col("record_id"),
@@ -87,17 +90,21 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     )
     order = ["url_key", "at", "_full", "record_id"]
     # The ranges are written with the rows: a task run again must not deal them anew.
-    ranged = stored(events.repartitionByRange(RANGES, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    spark = records.sparkSession
+    ranges = max(spark.sparkContext.defaultParallelism, -(-events.select(F.count(F.lit(1))).first()[0] // RANGE_ROWS))
+    ranged = stored(events.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "ranges")
     full = F.when(F.col("_full"), F.struct("record_id", "headers", "payload"))
     inside = W.partitionBy("_range", "url_key").orderBy("at", "_full", "record_id").rowsBetween(W.unboundedPreceding, -1)
     own = ranged.withColumn("_here", F.last(full, ignorenulls=True).over(inside)).where(~F.col("_full"))
     latest = ranged.where("_full").groupBy("_range", "url_key").agg(
         F.max_by(F.struct("record_id", "headers", "payload"), F.struct("at", "record_id")).alias("_last")
     )
-    met = ranged.select("_range", "url_key").distinct().join(latest, ["_range", "url_key"], "left")
+    same = lambda a, b: (a["_range"] == b["_range"]) & a["url_key"].eqNullSafe(b["url_key"])
+    urls = ranged.select("_range", "url_key").distinct()
+    met = urls.join(latest, same(urls, latest), "left").select(urls["_range"], urls["url_key"], "_last")
     earlier = W.partitionBy("url_key").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     carried = met.select("_range", "url_key", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
-    found = own.join(carried, ["_range", "url_key"]).withColumn("_from", F.coalesce("_here", "_carried"))
+    found = own.join(carried, same(own, carried)).drop(carried["_range"], carried["url_key"]).withColumn("_from", F.coalesce("_here", "_carried"))
 
     theirs = F.col("_from.headers")
     mine = F.col("headers")
