@@ -59,22 +59,14 @@ class _Files(ds.InputPartition):
     paths: tuple[str, ...]
 
 
-class FooterReader(ds.DataSourceReader):
-    """Footers of the files that filters on ``path`` leave, and of these the row groups that filters on ``row_group`` leave."""
+class WholeFooterReader(ds.DataSourceReader):
+    """Footers of all files below a folder; Spark itself filters the rows."""
 
     def __init__(self, schema: StructType, path: str, chunks: bool, files_per_task: int):
         self.schema = to_arrow_schema(schema)
         self.path, self.chunks, self.files_per_task = path, chunks, files_per_task
         self.filters: list = []
 
-    def pushFilters(self, filters: list) -> Iterable:
-        columns = {("path",), ("row_group",)} if self.chunks else {("path",)}
-        for f in filters:
-            if getattr(f, "attribute", None) in columns and type(f) in TESTS:
-                self.filters.append(f)
-            else:
-                yield f
-
     def _keeps(self, column: str, value) -> bool:
         return all(TESTS[type(f)](value, f.value) for f in self.filters if f.attribute == (column,))
 
@@ -89,6 +81,21 @@ class FooterReader(ds.DataSourceReader):
             yield pa.RecordBatch.from_pylist(held, schema=self.schema)
 
 
+class FooterReader(WholeFooterReader):
+    """Footers of the files that filters on ``path`` leave, and of these the row groups that filters on ``row_group`` leave.
+
+    Spark refuses a reader that takes filters where ``spark.sql.python.filterPushdown.enabled`` is not set.
+    """
+
+    def pushFilters(self, filters: list) -> Iterable:
+        columns = {("path",), ("row_group",)} if self.chunks else {("path",)}
+        for f in filters:
+            if getattr(f, "attribute", None) in columns and type(f) in TESTS:
+                self.filters.append(f)
+            else:
+                yield f
+
+
 TESTS = {
     ds.EqualTo: lambda a, b: a == b,
     ds.In: lambda a, b: a in b,
@@ -103,7 +110,10 @@ TESTS = {
 
 
 class FooterSource(ds.DataSource):
-    """``spark.read.format("partlens_footers")``: a row per file below a folder, or with ``of`` = ``chunks`` one per column chunk."""
+    """``spark.read.format("partlens_footers")``: a row per file below a folder, or with ``of`` = ``chunks`` one per column chunk.
+
+    With ``push_filters`` = ``true`` it takes filters, which the session then has to allow.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -114,7 +124,8 @@ class FooterSource(ds.DataSource):
 
     def reader(self, schema: StructType) -> ds.DataSourceReader:
         size = int(self.options.get("files_per_task", FILES_PER_TASK))
-        return FooterReader(schema, self.options["path"], self.options.get("of") == "chunks", size)
+        kind = FooterReader if self.options.get("push_filters") == "true" else WholeFooterReader
+        return kind(schema, self.options["path"], self.options.get("of") == "chunks", size)
 
 
 def box_polygons(boxes: pa.StructArray) -> pa.Array:
@@ -242,9 +253,13 @@ def register(spark: SparkSession) -> None:
 
 
 def scan_footers(spark: SparkSession, path: str, chunks: bool = False, files_per_task: int = FILES_PER_TASK) -> DataFrame:
-    """Footers below a folder. Where ``spark.sql.python.filterPushdown.enabled`` is set, files that a filter on ``path`` rules out stay shut."""
+    """Footers below a folder. Where ``spark.sql.python.filterPushdown.enabled`` is set, files that a filter on ``path`` rules out stay shut.
+
+    Where it is not, all footers are read and the filters follow.
+    """
     register(spark)
-    source = spark.read.format("partlens_footers").option("files_per_task", files_per_task)
+    pushed = str(spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")).lower()
+    source = spark.read.format("partlens_footers").option("files_per_task", files_per_task).option("push_filters", pushed)
     return (source.option("of", "chunks") if chunks else source).load(path)
 
 

@@ -124,6 +124,22 @@ def test_source_through_spark(spark, tmp_path):
     assert geoparquet.scan_footers(spark, f"{tmp_path}/none").collect() == []
 
 
+def test_source_where_the_session_pushes_no_filters(spark, tmp_path):
+    for n in range(5):
+        pq.write_table(pa.table({"a": list(range(n))}), f"{tmp_path}/part-{n}.parquet")
+    name = "spark.sql.python.filterPushdown.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        found = geoparquet.scan_footers(spark, str(tmp_path), files_per_task=2)
+        assert found.agg(F.sum("rows")).first()[0] == 10
+        assert [r.rows for r in found.where(F.col("path").endswith("part-4.parquet")).collect()] == [4]
+        chunks = geoparquet.scan_footers(spark, str(tmp_path), chunks=True).where("column = 'a' AND row_group = 0 AND num_rows > 2")
+        assert sorted((r.num_rows, r.max_double) for r in chunks.collect()) == [(3, 2.0), (4, 3.0)]
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_null_counts_read_files_without_statistics_only(spark, tmp_path):
     table = pa.table({"a": pa.array([1, None, 3]), "b": ["x", None, None]})
     pq.write_table(table, f"{tmp_path}/part-0.parquet")
