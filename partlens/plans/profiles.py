@@ -252,14 +252,34 @@ def measure_whole(data):
     return measured_row(run(data, WHOLE))
 
 
+# The first numeric column in rank order that is usable at all, whether or not a text column is usable too.
+NUMERIC_CHOICE = """,
+usable AS (SELECT "column", rank, CASE WHEN strict_ok THEN 2 WHEN relaxed_ok THEN 4 END AS stage FROM measured WHERE kind = 'numeric'),
+picked AS (SELECT "column", stage, row_number() OVER (ORDER BY rank) AS place FROM usable WHERE stage = (SELECT min(stage) FROM usable))"""
+
+
 @query(
     "prof_3_measure_numeric",
-    measure_sql("geo_sample", 7) + """ SELECT r."column", r.number AS value, r.n, round(m.dominance, 6) AS dominance, m.strict_ok
-FROM ranked r JOIN measured m ON m."column" = r."column" WHERE m.kind = 'numeric'""",
+    measure_sql("geo_sample", 7) + NUMERIC_CHOICE + """ SELECT r."column", r.number AS value, r.n, round(m.dominance, 6) AS dominance, m.strict_ok,
+CAST(row_number() OVER (PARTITION BY r."column" ORDER BY r.number) AS BIGINT) AS step, CAST(r.position AS BIGINT) AS position,
+round(m.populated, 6) AS populated, m.relaxed_ok, CAST(m.rank AS BIGINT) AS rank, CAST(p.stage AS BIGINT) AS stage, p.stage IS NOT NULL AS chosen
+FROM ranked r JOIN measured m ON m."column" = r."column" LEFT JOIN picked p ON p."column" = r."column" AND p.place = 1 WHERE m.kind = 'numeric'""",
 )
 def measure_numeric(data):
-    """Every numeric candidate with its values, whichever column is chosen in the end."""
-    return numeric_values(run(data)).select("column", F.col("number").alias("value"), "n", "dominance", "strict_ok")
+    """Every numeric candidate with its values in order, and which of the candidates is the first usable one."""
+    return numeric_choice(run(data))
+
+
+def numeric_choice(prof: profile.Profile) -> DataFrame:
+    numeric = prof.measured.where(F.col("kind") == "numeric")
+    best = profile.choose(numeric).select("column", F.col("stage").cast("bigint").alias("stage"))
+    facts = rounded(numeric, "populated").select("column", "populated", "relaxed_ok", F.col("rank").cast("bigint").alias("rank"))
+    by_value, by_count = W.partitionBy("column").orderBy("number"), W.partitionBy("column").orderBy(F.desc("n"), "text", "number")
+    return numeric_values(prof).join(facts, "column").join(best, "column", "left").select(
+        "column", F.col("number").alias("value"), "n", "dominance", "strict_ok",
+        F.row_number().over(by_value).cast("bigint").alias("step"), F.row_number().over(by_count).cast("bigint").alias("position"),
+        "populated", "relaxed_ok", "rank", "stage", F.col("stage").isNotNull().alias("chosen"),
+    )
 
 
 def numeric_values(prof: profile.Profile) -> DataFrame:

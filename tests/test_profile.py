@@ -229,3 +229,24 @@ def test_first_step_has_no_lower_edge(frame):
     steps = profile.step_legend(values, [f"#{i}" for i in range(4)]).orderBy("step").collect()
     assert [r["from_value"] for r in steps] == [None, *depths[1:]]
     assert [r["colour"] for r in steps] == ["#0", "#1", "#2", "#3", "#0", "#1", "#2", "#3", "#0", "#1"]
+
+
+def test_the_first_usable_numeric_column_is_chosen_beside_text(frame):
+    from partlens.plans.profiles import numeric_choice
+
+    # "most" has one value in 29 rows of 30, "few" and "more" are usable, and so is the text column.
+    rows = [("abc"[i % 3], max(i - 27, 0) * 10, (i * 7) % 4, (i * 7) % 5) for i in range(90)]
+    rows = [(t, m if i < 30 else 0, f, n) for i, (t, m, f, n) in enumerate(rows)]
+    prof = profile.profile(frame(rows, "kind_of string, most int, few int, more int"), WHOLE)
+    found = numeric_choice(prof).orderBy("column", "step").collect()
+    assert [r.column for r in prof.chosen.collect()] == ["kind_of"]
+    by_column = {}
+    for r in found:
+        by_column.setdefault(r.column, []).append(r)
+    assert {c: (rs[0].strict_ok, rs[0].relaxed_ok, rs[0].chosen, rs[0].stage) for c, rs in by_column.items()} == {
+        "most": (False, True, False, None), "few": (True, True, False, None), "more": (True, True, True, 2),
+    }
+    assert [(r.step, r.value) for r in by_column["more"]] == [(i + 1, float(i)) for i in range(5)]
+    assert sorted(r.position for r in by_column["few"]) == [1, 2, 3, 4]
+    # Of equal counts the smaller value comes first.
+    assert [(r.value, r.n, r.position) for r in by_column["most"]] == [(0.0, 88, 1), (10.0, 1, 2), (20.0, 1, 3)]
