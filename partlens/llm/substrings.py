@@ -17,7 +17,9 @@ LEAST_WORDS = 50
 # Every difference modulo 31 is one of two members of this set.
 PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
-BLOCK_WORDS = 600_000
+BLOCK_WORDS = 150_000
+SENT_ROWS = 32_768
+BATCH_ROWS = 64
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -76,6 +78,17 @@ def _settled(keys: list[np.ndarray], ids: np.ndarray) -> tuple[np.ndarray, np.nd
     return order, first, (np.bincount(group) if len(group) else group)[group] > 1
 
 
+def _joined(held: list) -> tuple[list[np.ndarray], np.ndarray]:
+    return [np.concatenate(k) for k in zip(*[k for k, _ in held])], np.concatenate([i for _, i in held])
+
+
+def _sent(order: np.ndarray, columns: dict[str, np.ndarray], marks: dict[str, np.ndarray]) -> Iterator[pd.DataFrame]:
+    """``columns`` in ``order`` beside ``marks``, few rows at a time: a batch is held by the worker and by Spark at once."""
+    for i in range(0, len(order), SENT_ROWS):
+        part = slice(i, i + SENT_ROWS)
+        yield pd.DataFrame({n: c[order[part]] for n, c in columns.items()} | {n: m[part] for n, m in marks.items()})
+
+
 def _blocks(batches: Iterator[pd.DataFrame], find) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
     """Keys and identifiers of all documents of a block, a block being about ``BLOCK_WORDS`` words."""
     held, size = [], 0
@@ -86,10 +99,10 @@ def _blocks(batches: Iterator[pd.DataFrame], find) -> Iterator[tuple[list[np.nda
                 held.append((keys, np.full(len(keys[0]), row[0], np.int64)))
                 size += words
             if size >= BLOCK_WORDS:
-                yield [np.concatenate(k) for k in zip(*[k for k, _ in held])], np.concatenate([i for _, i in held])
-                held, size = [], 0
+                block, held, size = _joined(held), [], 0
+                yield block
     if held:
-        yield [np.concatenate(k) for k in zip(*[k for k, _ in held])], np.concatenate([i for _, i in held])
+        yield _joined(held)
 
 
 def _apart(settled: Column, *keys: Column) -> Column:
@@ -111,7 +124,7 @@ def shared_anchors(texts: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for (anchors,), ids in _blocks(batches, find):
             at, first, many = _settled([anchors], ids)
-            yield pd.DataFrame({"_a": anchors[at], "_id": ids[at], "_many": many, "_sent": ~first})
+            yield from _sent(at, {"_a": anchors, "_id": ids}, {"_many": many, "_sent": ~first})
 
     found = texts.mapInPandas(run, "_a long, _id long, _many boolean, _sent boolean")
     same = W.partitionBy(_apart(F.col("_sent"), F.col("_a")))
@@ -147,7 +160,7 @@ def repeated_windows(candidates: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for (one, two), ids in _blocks(batches, find):
             at, first, _ = _settled([one, two], ids)
-            yield pd.DataFrame({"_h": one[at], "_g": two[at], "_id": ids[at], "_later": ~first})
+            yield from _sent(at, {"_h": one, "_g": two, "_id": ids}, {"_later": ~first})
 
     found = candidates.mapInPandas(run, "_h long, _g int, _id long, _later boolean")
     same = W.partitionBy(_apart(F.col("_later"), F.col("_h"), F.col("_g")), "_g")
@@ -200,7 +213,7 @@ def without_repeats(
     """
     if least < PERIOD + 1:
         raise ValueError(f"windows must have over {PERIOD} words")
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, BATCH_ROWS)
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), text_of(text_col).alias("_text"))
     named = texts.where("_id IS NOT NULL")

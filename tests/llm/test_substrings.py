@@ -69,3 +69,36 @@ def test_text_is_shuffled_once(docs):
 
 def test_empty(empty):
     assert got(empty) == []
+
+
+def test_a_worker_sends_few_rows_at_a_time(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(substrings, "SENT_ROWS", 4)
+    order = np.arange(10)[::-1]
+    sent = list(substrings._sent(order, {"_a": np.arange(10) * 2}, {"_m": order > 6}))
+    assert [len(s) for s in sent] == [4, 4, 2]
+    assert [a for s in sent for a in s["_a"]] == [18, 16, 14, 12, 10, 8, 6, 4, 2, 0]
+    assert [m for s in sent for m in s["_m"]] == [True] * 3 + [False] * 7
+
+
+def test_a_block_is_let_go_before_the_next_is_read():
+    import gc
+    import weakref
+
+    import numpy as np
+    import pandas as pd
+
+    held = []
+
+    def find(row):
+        keys = np.arange(substrings.BLOCK_WORDS // 2)
+        held.append(weakref.ref(keys))
+        return [keys], len(keys)
+
+    batches = iter([pd.DataFrame({"_id": [1, 2, 3, 4], "_text": [""] * 4})])
+    for block in substrings._blocks(batches, find):
+        del block
+        gc.collect()
+        # What a document has put in lives on in the copy alone; the document read last is still at hand.
+        assert sum(r() is not None for r in held) <= 1
