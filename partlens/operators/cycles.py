@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from partlens.session import cut_lineage
 
 
-def _count(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     """``df`` written to the shared folder, and its rows."""
     seen = Observation()
     kept = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n")), name, seen)
@@ -23,7 +23,7 @@ def _trimmed(edges: DataFrame, rows: int) -> tuple[DataFrame, int]:
     while rows:
         starts = edges.select(F.col("src").alias("dst")).distinct()
         ends = edges.select(F.col("dst").alias("src")).distinct()
-        edges, left = _count(edges.join(starts, "dst", "left_semi").join(ends, "src", "left_semi").select("src", "dst"), "trimmed")
+        edges, left = counted(edges.join(starts, "dst", "left_semi").join(ends, "src", "left_semi").select("src", "dst"), "trimmed")
         if left > 0.9 * rows:
             return edges, left
         rows = left
@@ -67,13 +67,13 @@ def cycle_groups(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFr
     pairs = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).where("src IS NOT NULL AND dst IS NOT NULL").distinct()
     pairs = cut_lineage(pairs, "pairs")
     alone = pairs.where("src = dst").select(F.col("src").alias("node"), F.col("src").alias("group"))
-    left, rows = _trimmed(*_count(pairs.where("src != dst"), "left"))
+    left, rows = _trimmed(*counted(pairs.where("src != dst"), "left"))
     while rows:
         marks = cut_lineage(_least(left), "marks")
         here = marks.select(F.col("node").alias("src"), F.struct("before", "after").alias("_from"))
         there = marks.select(F.col("node").alias("dst"), F.struct("before", "after").alias("_to"))
         within = left.join(here, "src").join(there, "dst").where("_from = _to").select("src", "dst")
-        left, kept = _count(within, "left")
+        left, kept = counted(within, "left")
         if kept == rows:
             several = marks.select("node", F.col("before").alias("group"))
             return cut_lineage(several.unionByName(alone.join(several.select("node"), "node", "left_anti")), "groups")

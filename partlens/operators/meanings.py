@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from partlens.functions.paths import resolve
 from partlens.functions.text import tidy
-from partlens.operators.cycles import cycle_groups
+from partlens.operators.cycles import counted, cycle_groups
 from partlens.scale import BLOCK_ROWS, running_last
-from partlens.session import cut_lineage
+from partlens.session import cut_lineage, workspace
 
 # A node's own properties are above those of any member.
 OWN = 2**31 - 1
@@ -90,26 +91,33 @@ def flatten_properties(members: DataFrame, properties: DataFrame) -> DataFrame:
     round, the largest first. See :func:`container_cycles`.
 
     A node's value of a name is its own, or what the last member that has the name has. So values rise
-    level by level, and a round sends on only those that the one before has changed; the rounds
-    follow the depth of the containers. Only values are kept, one for each name of a node, not the ways to them.
+    level by level: a node is settled once all its members are, and then its values are written and sent on, once.
+    A round handles the values of open nodes alone; the rounds follow the depth of the containers.
+    Only values are kept, one for each name of a node, not the ways to them.
     """
     edges, own = _condensed(members, properties)
-    edges = cut_lineage(edges, "members")
-    state = changed = cut_lineage(own, "values")
-    none = F.lit(None).cast(state.schema["given"].dataType)
-    while True:
-        seen = Observation()
-        sent = changed.select(F.col("node").alias("member"), "name", "given").join(edges, "member")
-        sent = sent.select("node", "name", "order", "given", none.alias("_old"), F.lit(1).alias("_new"))
-        both = state.select("node", "name", "order", "given", F.col("given").alias("_old"), F.lit(0).alias("_new")).unionByName(sent)
-        best = both.groupBy("node", "name").agg(F.max(F.struct("order", "_new", "given")).alias("b"), F.max("_old").alias("_old"))
-        moved = best.select("node", "name", "b.order", "b.given", (~F.col("b.given").eqNullSafe(F.col("_old"))).alias("_moved"))
-        moved = cut_lineage(moved.observe(seen, F.count_if("_moved").alias("n")), "values", seen)
-        state = moved.drop("_moved")
-        if not seen.get["n"]:
+    spark, folder, names = members.sparkSession, workspace(members.sparkSession, "values"), ["node", "name", "order", "given"]
+    waiting, left = counted(edges.select("node", "order", "member"), "members")
+    best = own.select(*names)
+    for level in count():
+        opened = waiting.select("node").distinct().withColumn("_open", F.lit(True))
+        path = f"{folder}/level={level}"
+        marked = best.join(opened, "node", "left")
+        marked.write.parquet(path)
+        marked = spark.read.schema(marked.schema).parquet(path)
+        if not left:
             break
-        changed = moved.where("_moved").drop("_moved")
-    return state.where(F.col("node.kind") == NODE).select("node.node", "name", "given.value")
+        settled = marked.where("_open IS NULL").select(F.col("node").alias("member"), "name", "given")
+        rest = marked.where("_open").select(*names)
+        known = rest.unionByName(settled.join(waiting, "member").select(*names)).groupBy("node", "name")
+        best = known.agg(F.max(F.struct("order", "given")).alias("b")).select("node", "name", "b.order", "b.given")
+        still = waiting.join(opened.select(F.col("node").alias("member")), "member", "left_semi")
+        waiting, after = counted(still.select("node", "order", "member"), "members")
+        if after == left:
+            raise ValueError("containers lead back to themselves")
+        left = after
+    found = spark.read.schema(marked.schema).parquet(folder).where("_open IS NULL")
+    return found.where(F.col("node.kind") == NODE).select("node.node", "name", "given.value")
 
 
 def container_cycles(members: DataFrame) -> DataFrame:

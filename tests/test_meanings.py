@@ -244,3 +244,21 @@ def test_an_empty_description_is_left_out(frame):
     known = frame([("c", "a", ""), ("c", "z", "not a column")], "collection string, column string, description string")
     got = meanings.table_columns(tables, known).orderBy("position").collect()
     assert [(r["column"], r["description"]) for r in got] == [("b", None), ("a", None)]
+
+
+def test_settled_values_are_written_once(spark, monkeypatch):
+    folders = []
+    plain = meanings.workspace
+    monkeypatch.setattr(meanings, "workspace", lambda s, name: folders.append((name, plain(s, name))) or folders[-1][1])
+    # A chain of five containers over forty leaves, which all settle in the first round.
+    members = [(n, 1, n + 1) for n in range(1, 5)] + [(5, k, 100 + k) for k in range(40)]
+    own = [(100 + k, f"p{k % 4}", f"v{k}") for k in range(40)] + [(1, "p0", "top")]
+    found = meanings.flatten_properties(
+        spark.createDataFrame(members, "node long, ordinal int, member long"), spark.createDataFrame(own, "node long, name string, value string")
+    ).collect()
+    values = {(r.node, r.name): r.value for r in found}
+    assert len(found) == 40 + 5 * 4 and values[(2, "p0")] == "v36" and values[(1, "p0")] == "top" and values[(1, "p3")] == "v39"
+    (path,) = [p for name, p in folders if name == "values"]
+    written = spark.read.parquet(path)
+    assert written.where("_open IS NULL").count() == 60
+    assert written.where("node.node >= 100").count() == 40
