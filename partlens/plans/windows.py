@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from partlens.functions import paths
 from partlens.functions.boxes import Box, corner_within, overlaps
-from partlens.operators import graph, manifest, profile, spatial
+from partlens.operators import graph, manifest, profile, spatial, totals
 from partlens.plans.registry import query
 from partlens.plans.relations import WINDOWS
 from partlens.sources.features import group_count
@@ -212,8 +212,8 @@ def many_windows(data):
         F.col("c_custkey").alias("window_id"),
         F.struct(x.alias("xmin"), y.alias("ymin"), (x + 3).alias("xmax"), (y + 2).alias("ymax")).alias("window_bbox"),
     )
-    met = spatial.overlap_join(data.features, windows, salt_by=["id"])
-    return met.groupBy("window_id").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+    met = totals.overlap_totals(data.features, windows, "id")
+    return met.groupBy("window_id").agg(F.sum("n").alias("n"), F.sum("total").alias("ids"))
 
 
 # City blocks, a few countries and, once in a thousand, the whole world, on either side of the join.
@@ -254,8 +254,8 @@ def mixed_extents(data):
         number.alias("window_id"),
         F.struct(x.alias("xmin"), y.alias("ymin"), (x + wide).alias("xmax"), (y + wide).alias("ymax")).alias("window_bbox"),
     )
-    met = spatial.overlap_join(features, windows, salt_by=["id"])
-    return met.groupBy("window_id").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+    met = totals.overlap_totals(features, windows, "id")
+    return met.groupBy("window_id").agg(F.sum("n").alias("n"), F.sum("total").alias("ids"))
 
 
 @query("agg_1_row_count", "SELECT count(*) AS n FROM geo_boxes")
