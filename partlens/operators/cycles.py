@@ -15,6 +15,15 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     return kept, seen.get["n"]
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` as the side of a join that goes by key to the tasks, however few its rows.
+
+    A round joins several times, and there are many rounds: sides that Spark broadcasts, each small enough by
+    itself, together grow faster than the edges, and all of them pass through the driver.
+    """
+    return df.hint("merge")
+
+
 def _trimmed(edges: DataFrame, rows: int) -> tuple[DataFrame, int]:
     """Without edges from nodes that none leads to and to nodes that lead nowhere, round by round.
 
@@ -23,7 +32,7 @@ def _trimmed(edges: DataFrame, rows: int) -> tuple[DataFrame, int]:
     while rows:
         starts = edges.select(F.col("src").alias("dst")).distinct()
         ends = edges.select(F.col("dst").alias("src")).distinct()
-        edges, left = counted(edges.join(starts, "dst", "left_semi").join(ends, "src", "left_semi").select("src", "dst"), "trimmed")
+        edges, left = counted(edges.join(dealt(starts), "dst", "left_semi").join(dealt(ends), "src", "left_semi").select("src", "dst"), "trimmed")
         if left > 0.9 * rows:
             return edges, left
         rows = left
@@ -41,7 +50,7 @@ def _least(edges: DataFrame) -> DataFrame:
     state = changed = cut_lineage(nodes.withColumn("label", F.col("node")), "labels")
     none = F.lit(None).cast(state.schema["label"].dataType)
     while True:
-        sent = changed.withColumnRenamed("node", "src").join(both, ["ahead", "src"]).select("ahead", F.col("dst").alias("node"), "label")
+        sent = changed.withColumnRenamed("node", "src").join(dealt(both), ["ahead", "src"]).select("ahead", F.col("dst").alias("node"), "label")
         met = state.withColumn("_old", F.col("label")).unionByName(sent.withColumn("_old", none))
         lowest = met.groupBy("ahead", "node").agg(F.min("label").alias("label"), F.min("_old").alias("_old"))
         seen = Observation()
@@ -72,10 +81,10 @@ def cycle_groups(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFr
         marks = cut_lineage(_least(left), "marks")
         here = marks.select(F.col("node").alias("src"), F.struct("before", "after").alias("_from"))
         there = marks.select(F.col("node").alias("dst"), F.struct("before", "after").alias("_to"))
-        within = left.join(here, "src").join(there, "dst").where("_from = _to").select("src", "dst")
+        within = left.join(dealt(here), "src").join(dealt(there), "dst").where("_from = _to").select("src", "dst")
         left, kept = counted(within, "left")
         if kept == rows:
             several = marks.select("node", F.col("before").alias("group"))
-            return cut_lineage(several.unionByName(alone.join(several.select("node"), "node", "left_anti")), "groups")
+            return cut_lineage(several.unionByName(alone.join(dealt(several.select("node")), "node", "left_anti")), "groups")
         left, rows = _trimmed(left, kept)
     return alone

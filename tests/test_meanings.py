@@ -118,6 +118,21 @@ def test_cycles_that_meet_and_follow(spark):
     compare(spark, edges, {(n, f"p{n % 4}"): f"v{n}" for n in range(1, 10)})
 
 
+def test_rounds_over_a_graph_broadcast_nothing(frame, monkeypatch):
+    """However small a round's tables are, they do not pass through the driver."""
+    plans, cut = [], cycles.cut_lineage
+
+    def noted(df, *rest):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df, *rest)
+
+    monkeypatch.setattr(cycles, "cut_lineage", noted)
+    edges = frame([(1, 2), (2, 1), (2, 3), (3, 4), (4, 5), (5, 3), (5, 5), (6, 1), (7, 7), (8, 9)], "src int, dst int")
+    assert sorted(cycles.cycle_groups(edges).collect()) == [(1, 1), (2, 1), (3, 3), (4, 3), (5, 3), (7, 7)]
+    assert sum("SortMergeJoin" in p for p in plans) >= 4
+    assert not any("Broadcast" in p for p in plans)
+
+
 def test_many_ways_to_a_container_are_one_value(frame):
     """Fourteen levels with two ways a step: 16,384 ways from top to bottom, one value a node."""
     rows = [(level, ordinal, level + 1) for level in range(14) for ordinal in (1, 2)]
