@@ -50,7 +50,8 @@ def spatial_order(groups: DataFrame, threshold: float = 0.5) -> DataFrame:
     per file; at or below ``threshold`` the file is ordered. A file with one row group is.
     Pairs without statistics are ``unknown`` and take no part in the average; a file that
     would else be ordered has ``ordered`` null then. Neighbours meet by equality on (file,
-    row group), so a file with very many row groups is still spread.
+    row group), so a file with very many row groups is still spread. They meet in a merge join: Spark would
+    broadcast a side by the size of the list of files, and keep to that once the row groups are known.
     """
     after = groups.select(
         "path",
@@ -67,7 +68,7 @@ def spatial_order(groups: DataFrame, threshold: float = 0.5) -> DataFrame:
     sides = [F.col(n + c) for n in ("", "n_") for c in ("xmin", "ymin", "xmax", "ymax")]
     stated = reduce(lambda a, b: a & b, (c.isNotNull() for c in sides))
     ratio = F.when(~stated, None).when(area > 0, shared / area).when((across >= 0) & (up >= 0), 1.0).otherwise(0.0)
-    met = groups.join(after.withColumn("_pair", F.lit(True)), ["path", "row_group"], "left")
+    met = groups.join(after.withColumn("_pair", F.lit(True)).hint("merge"), ["path", "row_group"], "left")
     measured = met.groupBy("path").agg(
         F.count("_pair").alias("pairs"),
         F.count_if(F.col("_pair") & ~stated).alias("unknown"),

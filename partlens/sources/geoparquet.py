@@ -26,6 +26,8 @@ from partlens.sources import footers
 
 FILES_PER_TASK = 64
 ROW_GROUP_ROWS = 100_000
+# Row groups times columns of one file; a footer takes about 2 KB of memory for each.
+FILE_CHUNKS = 32_768
 SIDES = ("xmin", "ymin", "xmax", "ymax")
 # The version and names of the GeoParquet metadata, and the geometry kinds of WKB by number.
 VERSION = "1.1.0"
@@ -142,17 +144,38 @@ def box_polygons(boxes: pa.StructArray) -> pa.Array:
     return pc.if_else(pa.array(~missing), whole, pa.scalar(None, pa.binary()))
 
 
+def _leaves(kind: pa.DataType) -> int:
+    """How many Parquet columns a field of this type takes."""
+    return sum(_leaves(kind.field(i).type) for i in range(kind.num_fields)) or 1
+
+
 @dataclass
 class _Written(ds.WriterCommitMessage):
-    held: str
-    final: str
-    rows: int
+    files: tuple[tuple[str, str], ...]
+
+
+class _OpenFile:
+    """A file that a task is writing, and what its footer will tell."""
+
+    def __init__(self, path: str, schema: pa.Schema):
+        filesystem, local = _filesystem(path)
+        self.stream = filesystem.open_output_stream(local)
+        self.writer = pq.ParquetWriter(self.stream, schema)
+        self.groups, self.kinds, self.edges = 0, set(), []
+
+    def close(self, told: dict) -> None:
+        self.writer.add_key_value_metadata({"geo": json.dumps(told)})
+        self.writer.close()
+        self.stream.close()
 
 
 class GeoWriter(ds.DataSourceArrowWriter):
-    """Every task writes one file aside; the files appear together once all tasks are done.
+    """Every task writes files aside; all files appear together once all tasks are done.
 
-    A task that is run again writes a file of its own, and only the one that was told of is kept.
+    A row group holds ``row_group_rows`` rows, however the rows come in; only the last of a task may hold
+    fewer. A footer is held whole by who writes or reads it, so a task goes on in another file where one
+    has ``file_chunks`` column chunks. A task that is run again writes files of its own, and only those that
+    were told of are kept.
     """
 
     def __init__(self, path: str, options: dict, overwrite: bool):
@@ -161,39 +184,51 @@ class GeoWriter(ds.DataSourceArrowWriter):
         self.geometry = options.get("geometry", "geometry")
         self.bbox = options.get("bbox", "bbox")
         self.group_rows = int(options.get("row_group_rows", ROW_GROUP_ROWS))
+        self.file_chunks = int(options.get("file_chunks", FILE_CHUNKS))
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> ds.WriterCommitMessage:
         context = TaskContext.get()
-        name = f"part-{context.partitionId():05d}"
-        held = f"{self.aside}/{name}-{context.taskAttemptId()}.parquet"
-        filesystem, local = _filesystem(held)
-        filesystem.create_dir(local.rsplit("/", 1)[0])
-        writer, rows, waiting, kinds, edges = None, 0, [], set(), []
-
-        def flush() -> None:
-            nonlocal writer
+        name, attempt = f"part-{context.partitionId():05d}", context.taskAttemptId()
+        filesystem, local = _filesystem(self.aside)
+        filesystem.create_dir(local)
+        files, current, waiting = [], None, []
+
+        def close() -> None:
+            nonlocal current
+            current.close(self._told(current.kinds, current.edges))
+            current = None
+
+        def flush(rows: int) -> None:
+            """The first ``rows`` rows that wait, as row groups."""
+            nonlocal current, waiting
             table = pa.Table.from_batches(waiting)
-            if writer is None:
-                writer = pq.ParquetWriter(filesystem.open_output_stream(local), table.schema)
-            writer.write_table(table, row_group_size=self.group_rows)
-            waiting.clear()
+            waiting = table.slice(rows).to_batches()
+            table = table.slice(0, rows)
+            most = max(1, self.file_chunks // sum(_leaves(f.type) for f in table.schema))
+            while table.num_rows:
+                if current is None:
+                    held = f"{self.aside}/{name}-{attempt}-{len(files):05d}.parquet"
+                    files.append((held, f"{self.path}/{name}-{self.job}-{len(files):05d}.parquet"))
+                    current = _OpenFile(held, table.schema)
+                room = (most - current.groups) * self.group_rows
+                some, table = table.slice(0, room), table.slice(room)
+                current.writer.write_table(some, row_group_size=self.group_rows)
+                current.groups += -(-some.num_rows // self.group_rows)
+                for values in some.column(self.geometry).chunks:
+                    current.kinds |= {int.from_bytes(v[1:5], "little" if v[0] else "big") % 1000 for v in values.to_pylist() if v}
+                current.edges.append([pc.min_max(pc.struct_field(some.column(self.bbox), s)).as_py() for s in SIDES])
+                if current.groups >= most:
+                    close()
 
         for batch in iterator:
-            batch = self._with_geometry(batch)
-            kinds |= {int.from_bytes(v[1:5], "little" if v[0] else "big") % 1000 for v in batch.column(self.geometry).to_pylist() if v}
-            edges.append([pc.min_max(pc.struct_field(batch.column(self.bbox), s)).as_py() for s in SIDES])
-            rows += batch.num_rows
-            waiting.append(batch)
-            if sum(b.num_rows for b in waiting) >= self.group_rows:
-                flush()
-        if waiting:
-            flush()
-        if writer is None:
-            return _Written("", "", 0)
-        writer.add_key_value_metadata({"geo": json.dumps(self._told(kinds, edges))})
-        writer.close()
-        writer.file_handle = None
-        return _Written(held, f"{self.path}/{name}-{self.job}.parquet", rows)
+            waiting.append(self._with_geometry(batch))
+            if (held := sum(b.num_rows for b in waiting)) >= self.group_rows:
+                flush(held - held % self.group_rows)
+        if held := sum(b.num_rows for b in waiting):
+            flush(held)
+        if current is not None:
+            close()
+        return _Written(tuple(files))
 
     def _with_geometry(self, batch: pa.RecordBatch) -> pa.RecordBatch:
         if self.geometry in batch.schema.names:
@@ -213,9 +248,9 @@ class GeoWriter(ds.DataSourceArrowWriter):
     def commit(self, messages: list) -> None:
         before = _files(self.path) if self.overwrite else []
         for message in messages:
-            if message is not None and message.rows:
-                filesystem, held = _filesystem(message.held)
-                filesystem.move(held, _filesystem(message.final)[1])
+            for held, final in message.files if message is not None else ():
+                filesystem, local = _filesystem(held)
+                filesystem.move(local, _filesystem(final)[1])
         for old in before:
             filesystem, name = _filesystem(old)
             filesystem.delete_file(name)
@@ -269,8 +304,13 @@ def in_order(df: DataFrame, files: int, bbox: str = "bbox", bits: int = 16) -> D
     return key.repartitionByRange(files, "_key").sortWithinPartitions("_key").drop("_key")
 
 
-def write(df: DataFrame, path: str, mode: str = "append", row_group_rows: int = ROW_GROUP_ROWS, bbox: str = "bbox") -> None:
-    """``df`` as GeoParquet, a file per partition; see :func:`in_order` for the order."""
+def write(
+    df: DataFrame, path: str, mode: str = "append", row_group_rows: int = ROW_GROUP_ROWS, bbox: str = "bbox", file_chunks: int = FILE_CHUNKS
+) -> None:
+    """``df`` as GeoParquet, a file per partition, or more where a footer would pass ``file_chunks`` column chunks.
+
+    See :func:`in_order` for the order. The files of a partition follow each other by name.
+    """
     register(df.sparkSession)
     writer = df.write.format("partlens_geoparquet").mode(mode)
-    writer.option("row_group_rows", row_group_rows).option("bbox", bbox).save(path)
+    writer.option("row_group_rows", row_group_rows).option("bbox", bbox).option("file_chunks", file_chunks).save(path)

@@ -226,6 +226,14 @@ def test_spatial_order(frame):
     assert got == {"f": (0.5, True), "g": (0.0, True), "p": (1.0, False)}
 
 
+def test_neighbours_meet_without_a_broadcast(spark):
+    groups = spark.range(3).selectExpr("'f' AS path", "CAST(id AS INT) AS row_group", "0D AS xmin", "0D AS ymin", "1D AS xmax", "1D AS ymax")
+    measured = quality.spatial_order(groups)
+    plan = measured._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert [(r.pairs, r.overlap, r.ordered) for r in measured.collect()] == [(2, 1.0, False)]
+
+
 def test_parts_per_collection_reports_the_empty_one(frame):
     nodes = frame([("t/a/collection.json", "Collection"), ("t/b/collection.json", "Collection"), ("t/c/collection.json", "Collection"), ("t/catalog.json", "Catalog")], "path string, type string")
     links = frame([("t/a/collection.json", "item"), ("t/a/collection.json", "item"), ("t/a/collection.json", "root")], "path string, rel string")

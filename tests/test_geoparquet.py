@@ -79,6 +79,50 @@ def test_written_files_tell_their_geometry(spark, boxes, tmp_path):
     assert spark.read.parquet(path).count() == 7 and len(os.listdir(path)) == 1
 
 
+def group_sizes(folder):
+    """The rows of every row group of every file, by file name."""
+    metas = {n: pq.ParquetFile(f"{folder}/{n}").metadata for n in sorted(os.listdir(folder))}
+    return {n: [m.row_group(g).num_rows for g in range(m.num_row_groups)] for n, m in metas.items()}
+
+
+def test_no_footer_grows_with_the_rows_of_a_task(spark, boxes, tmp_path):
+    path = f"{tmp_path}/geo"
+    geoparquet.write(boxes.repartition(1), path, row_group_rows=1)
+    # id, four sides and the geometry
+    sizes = group_sizes(path)
+    assert [len(g) for g in sizes.values()] == [geoparquet.FILE_CHUNKS // 6, 6000 - geoparquet.FILE_CHUNKS // 6]
+    assert spark.read.parquet(path).agg(F.count("id"), F.countDistinct("id"), F.sum("id")).first() == (6000, 6000, 5999 * 3000)
+
+
+def test_files_of_a_task_follow_each_other_and_tell_of_their_own_rows(spark, boxes, tmp_path):
+    path = f"{tmp_path}/geo"
+    lines = boxes.withColumn("geometry", F.when(F.col("id") == 17, F.expr("X'0101000000'"))).withColumn("place", box_key("bbox"))
+    geoparquet.write(geoparquet.in_order(lines, 1), path, row_group_rows=100, file_chunks=7 * 20)
+    sizes = group_sizes(path)
+    assert [*sizes.values()] == [[100] * 20] * 3
+    keys, told = [], []
+    for name in sizes:
+        table = pq.read_table(f"{path}/{name}", partitioning=None)
+        keys += table["place"].to_pylist()
+        geo = json.loads(pq.ParquetFile(f"{path}/{name}").metadata.metadata[b"geo"])["columns"]["geometry"]
+        told.append(geo["geometry_types"])
+        sides = [[b[s] for b in table["bbox"].to_pylist() if b] for s in geoparquet.SIDES]
+        assert geo["bbox"] == [min(sides[0]), min(sides[1]), max(sides[2]), max(sides[3])]
+    assert keys[0] is None and keys[1:] == sorted(keys[1:]) and len(keys) == 6000
+    assert told == [["Point"], [], []]
+
+
+def test_row_groups_are_full_however_rows_come_in(spark, boxes, tmp_path):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "70")
+    try:
+        geoparquet.write(boxes.repartition(1).limit(1010), f"{tmp_path}/geo", row_group_rows=200)
+    finally:
+        spark.conf.set(name, before)
+    assert [*group_sizes(f"{tmp_path}/geo").values()] == [[200] * 5 + [10]]
+
+
 def test_a_failed_write_leaves_nothing(spark, boxes, tmp_path):
     path = f"{tmp_path}/geo"
     bad = boxes.withColumn("id", F.when(F.col("id") < 5990, F.col("id")).otherwise(F.raise_error(F.lit("broken row")).cast("long")))
